@@ -55,18 +55,28 @@ def minmax_avg(low: Column, high: Column) -> Column:
     )
 
 
-def pair_averages(values: Column, names: Sequence[str], complete_pairs: bool) -> list[Column]:
-    """Named averages of a flat min/max array.
+def pair_averages(values: Column, complete_pairs: Column | bool) -> Column:
+    """Averages of the min/max pairs of a flat array, as an array.
 
     With ``complete_pairs`` a trailing single value is ignored, otherwise it is kept.
     """
-    columns = []
-    for i, name in enumerate(names):
-        pair = minmax_avg(F.get(values, F.lit(2 * i)), F.get(values, F.lit(2 * i + 1)))
-        if complete_pairs:
-            pair = F.when(F.size(values) > 2 * i + 1, pair)
-        columns.append(pair.alias(name))
-    return columns
+    cells = F.transform(values, safe_float)
+    size = F.size(values)
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.ceil(size / 2), F.lit(1)).cast("int") - 1),
+        lambda i: F.struct(
+            F.get(cells, 2 * i).alias("low"), F.get(cells, 2 * i + 1).alias("high"),
+            (2 * i + 1 < size).alias("complete")),
+    )
+    ignore = F.lit(complete_pairs) if isinstance(complete_pairs, bool) else complete_pairs
+
+    def mean(pair: Column) -> Column:
+        low, high = pair["low"], pair["high"]
+        return F.when(ignore & ~pair["complete"], F.lit(None).cast("double")).when(
+            low.isNotNull() & high.isNotNull(), F.round((low + high) / 2, 4)
+        ).otherwise(F.coalesce(low, high))
+
+    return F.transform(pairs, mean)
 
 
 def year_to_date(year: Column) -> Column:

@@ -9,7 +9,7 @@ from rivulet import schema as S
 from rivulet.functions import detect as D
 from rivulet.functions.numbers import pair_averages
 from rivulet.functions.text import collapse_ws, strip
-from rivulet.operators.shaping import drop_all_null_params, drop_invalid_rows
+from rivulet.operators.shaping import bind, drop_all_null_params, drop_invalid_rows
 
 
 def skip_header_rows(rows: DataFrame) -> DataFrame:
@@ -30,11 +30,10 @@ def with_layout(rows: DataFrame) -> DataFrame:
 
 
 def with_state(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("state", D.detect_state(F.col("cells")))
-
-
-def _by_layout(coastal: Column, other: Column) -> Column:
-    return F.when(F.col("layout") == "coastal", coastal).otherwise(other)
+    """Adds the state named by each cell (an array) and by the row."""
+    bound = bind(rows, cell_states=F.transform("cells", lambda c: D.state_of_cell(c)))
+    return bound.withColumn(
+        "state", F.get(F.filter("cell_states", lambda s: s.isNotNull()), F.lit(0)))
 
 
 def parse_rows_by_schema(rows: DataFrame) -> DataFrame:
@@ -42,38 +41,35 @@ def parse_rows_by_schema(rows: DataFrame) -> DataFrame:
 
     River and groundwater rows hold code, location, an optional state, then min/max pairs; coastal
     rows hold the water body type before the optional state. River rows ignore a lone last value.
+    Input: compact cells with layout, water_body_type and cell_states.
     """
-    cells = F.col("cells")
-    slot = F.get(cells, _by_layout(F.lit(3), F.lit(2)))
-    has_state = D.state_of_cell(slot).isNotNull()
-    start = _by_layout(F.lit(4), F.lit(3)) + F.when(has_state, 1).otherwise(0)
-    placed = rows.withColumn("_start", start).withColumn(
-        "_values", F.slice(cells, F.col("_start"), F.size(cells))
-    )
-    values = F.col("_values")
-    river = dict(zip(S.RIVER_PARAMETERS, pair_averages(values, S.RIVER_PARAMETERS, True)))
-    coastal = dict(zip(S.RIVER_PARAMETERS, pair_averages(values, S.RIVER_PARAMETERS, False)))
-    ground = dict(zip(
-        S.GROUNDWATER_PARAMETERS, pair_averages(values, S.GROUNDWATER_PARAMETERS, False)
-    ))
-    parameters = {
-        name: F.when(F.col("layout") == "groundwater", ground.get(name))
-        .when(F.col("layout") == "coastal", coastal.get(name))
-        .otherwise(river.get(name)).cast("double")
-        for name in S.ALL_PARAMETERS
-    }
+    coastal = F.col("layout") == "coastal"
+    cells, first = F.col("cells"), F.when(coastal, 3).otherwise(2)
+    has_state = F.get("cell_states", first).isNotNull()
+    values = F.slice(cells, first + F.when(has_state, 2).otherwise(1), F.size(cells))
+    bound = bind(rows, _avgs=pair_averages(values, F.col("layout") == "river"))
+
+    def position(names: list[str], name: str) -> Column:
+        if name not in names:
+            return F.lit(None).cast("double")
+        return F.get("_avgs", F.lit(names.index(name)))
+
     own_type = F.nullif(strip(F.get(cells, F.lit(2))), F.lit(""))
-    return placed.withColumns({
+    return bound.withColumns({
         "stn_code": strip(F.get(cells, F.lit(0))),
         "monitoring_location": collapse_ws(F.get(cells, F.lit(1))),
-        "water_body_type": _by_layout(
-            F.coalesce(own_type, F.col("water_body_type")), F.col("water_body_type")),
-        **parameters,
-    }).drop("_start", "_values")
+        "water_body_type": F.when(coastal, F.coalesce(own_type, F.col("water_body_type")))
+        .otherwise(F.col("water_body_type")),
+        **{
+            name: F.when(F.col("layout") == "groundwater", position(S.GROUNDWATER_PARAMETERS, name))
+            .otherwise(position(S.RIVER_PARAMETERS, name))
+            for name in S.ALL_PARAMETERS
+        },
+    }).drop("_avgs")
 
 
 def extract_samples(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Page rows to extracted samples, without any shuffle."""
-    parsed = parse_rows_by_schema(compact_cells(with_state(with_layout(skip_header_rows(rows)))))
+    parsed = parse_rows_by_schema(with_state(compact_cells(with_layout(skip_header_rows(rows)))))
     samples = drop_invalid_rows(parsed).select(*S.EXTRACTED_COLUMNS, *(keep or []))
     return drop_all_null_params(samples)

@@ -5,15 +5,35 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet import schema as S
 from rivulet.functions.geo import valid_coordinate
-from rivulet.functions.numbers import finite, to_double, to_int, to_text
+from rivulet.functions.numbers import finite, pair_averages, to_double, to_int, to_text
 from rivulet.functions.text import strip
 
 
+def bind(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once per row.
+
+    Later filters and projections would otherwise repeat a costly expression each time they name
+    it. The optimizer does not move them below a generator, so the values pass through one.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(row)))
+
+
+def pairwise_param_avgs(
+    df: DataFrame, values: str, names: Sequence[str], complete_pairs: bool = False
+) -> DataFrame:
+    """Adds the named averages of a flat min/max array column."""
+    bound = bind(df, _avgs=pair_averages(F.col(values), complete_pairs))
+    return bound.withColumns(
+        {name: F.get("_avgs", F.lit(i)) for i, name in enumerate(names)}).drop("_avgs")
+
+
 def drop_invalid_rows(df: DataFrame) -> DataFrame:
     """Rows with a state, a location and a possible pH; an unknown pH is kept."""
     return df.filter(

@@ -47,8 +47,8 @@ SELECT CAST(l.l_partkey AS VARCHAR(20)) AS stn_code,
   CASE WHEN l.l_linenumber = 5 THEN NULL WHEN l.l_linenumber <= 2 THEN l.l_extendedprice / 2000
        ELSE l.l_extendedprice / 50 END AS fecal_coliform_avg,
   CASE WHEN l.l_orderkey % 5 = 0 THEN NULL ELSE l.l_extendedprice / 10 END AS total_coliform_avg,
-  CASE WHEN l.l_partkey % 13 = 0 THEN NULL ELSE 8 + (l.l_partkey % 290) * 0.1 END AS latitude,
-  CASE WHEN l.l_partkey % 13 = 0 THEN NULL ELSE 68 + (l.l_partkey % 290) * 0.1 END AS longitude
+  CASE WHEN l.l_partkey % 13 = 0 THEN NULL ELSE 8 + (l.l_partkey % 290) * 0.1::DOUBLE END AS latitude,
+  CASE WHEN l.l_partkey % 13 = 0 THEN NULL ELSE 68 + (l.l_partkey % 290) * 0.1::DOUBLE END AS longitude
 FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
 LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey)"""

@@ -11,6 +11,7 @@ from rivulet.functions import detect as D
 from rivulet.functions import geo, numbers, replies, scoring, text
 from rivulet.functions import violations as V
 from rivulet.operators import explain, extract, knowledge, latest, score
+from rivulet.operators.shaping import pairwise_param_avgs as pairwise
 from rivulet.plans import ctes as Q
 from rivulet.plans.registry import query
 from rivulet.sources.tables import page_rows, samples, table
@@ -52,7 +53,7 @@ def minmax_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, name in enumerate(S.GROUNDWATER_PARAMETERS)) + f" FROM (SELECT {_ROW}, cells[5:] AS v FROM page_rows)"))
 def pairwise_param_avgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = page_rows(spark, sf_dir).withColumn("v", F.slice("cells", F.lit(5), F.size("cells")))
-    return rows.select(*ROW, *numbers.pair_averages(F.col("v"), S.GROUNDWATER_PARAMETERS, False))
+    return pairwise(rows, "v", S.GROUNDWATER_PARAMETERS).select(*ROW, *S.GROUNDWATER_PARAMETERS)
 
 
 @query("collapse_ws", "SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[\\s\\p{Z}]+', ' ', 'g')) AS text FROM documents")
@@ -69,7 +70,7 @@ def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", text.title_case(F.concat(F.lit("  "), name)).alias("title"))
 
 
-@query("normalize_alpha", "SELECT doc_id, regexp_replace(upper(text), '[^A-Z0-9]', '', 'g') AS letters FROM documents")
+@query("normalize_alpha", "SELECT doc_id, regexp_replace(upper(replace(text, 'ß', 'SS')), '[^A-Z0-9]', '', 'g') AS letters FROM documents")
 def normalize_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         "doc_id", text.normalize_alpha(F.col("text")).alias("letters"))
@@ -289,7 +290,8 @@ extracted AS (SELECT {_ROW}, trim(c[1]) AS stn_code, trim(regexp_replace(c[2], '
     f"SELECT {_ROW}, stn_code, monitoring_location, water_body_type, {', '.join(S.ALL_PARAMETERS)} FROM extracted",
     Q.CELL_STATES, _ROW_STATES, _EXTRACTED))
 def parse_rows_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = extract.compact_cells(extract.with_layout(extract.skip_header_rows(page_rows(spark, sf_dir))))
+    rows = extract.with_layout(extract.skip_header_rows(page_rows(spark, sf_dir)))
+    rows = extract.with_state(extract.compact_cells(rows))
     return extract.parse_rows_by_schema(rows).select(
         *ROW, "stn_code", "monitoring_location", "water_body_type", *S.ALL_PARAMETERS)
 

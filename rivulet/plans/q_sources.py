@@ -80,8 +80,8 @@ def scan_text_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 CACHE_SQL = """cache AS (
 SELECT p_name || ' ' || CAST(p_partkey AS VARCHAR) AS monitoring_location,
   'NATION_' || CAST(p_partkey % 25 AS VARCHAR) AS state,
-  CASE WHEN p_size % 4 = 0 THEN NULL ELSE 8 + (p_partkey % 290) * 0.1 END AS lat,
-  CASE WHEN p_size % 4 = 0 THEN NULL ELSE 68 + (p_partkey % 290) * 0.1 END AS lng,
+  CASE WHEN p_size % 4 = 0 THEN NULL ELSE 8 + (p_partkey % 290) * 0.1::DOUBLE END AS lat,
+  CASE WHEN p_size % 4 = 0 THEN NULL ELSE 68 + (p_partkey % 290) * 0.1::DOUBLE END AS lng,
   p_type AS query, p_size % 4 <> 0 AS success FROM part)"""
 
 

@@ -20,7 +20,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     """Session for tests and the local bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("rivulet")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
