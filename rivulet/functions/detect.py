@@ -11,11 +11,17 @@ from rivulet import rules as R
 from rivulet.functions.text import contains_any, first_type, normalize_alpha, strip
 
 
-def is_heading(cells: Column) -> Column:
-    """True for heading rows: the joined non-empty cells match a heading pattern."""
-    kept = F.filter(cells, lambda c: c.isNotNull() & (c != ""))
-    text = F.lower(F.array_join(kept, " "))
-    return text.rlike("|".join(f"(?:{p})" for p in R.HEADING_PATTERNS))
+def row_text(cells: Column) -> Column:
+    """Lower-case text of a row's non-empty cells."""
+    return F.lower(F.array_join(F.array_remove(cells, ""), " "))
+
+
+def is_heading(text: Column) -> Column:
+    """True for the row text of a heading: it holds a heading text or pattern."""
+    found = contains_any(text, R.HEADING_TEXTS)
+    for pattern in R.HEADING_PATTERNS:
+        found = found | text.rlike(pattern)
+    return found
 
 
 def compact_cells(cells: Column) -> Column:
@@ -56,46 +62,72 @@ def has_type_column(file_name: Column) -> Column:
     return F.contains(F.lower(file_name), F.lit(R.TYPE_COLUMN_FILE_HINT))
 
 
-def _norm(state: str) -> str:
+def _letters(state: str) -> str:
     return "".join(ch for ch in state.upper() if ch.isascii() and ch.isalnum())
 
 
-def state_of_cell(cell: Column, states: Sequence[str] = R.STATES) -> Column:
-    """State named by one cell, NULL when there is none.
+def _ranked(states: Sequence[str]) -> dict[str, str]:
+    """Letters -> state, longest first, then by name: independent of the order of the list."""
+    ranked: dict[str, str] = {}
+    for state in sorted(states, key=lambda s: (-len(_letters(s)), -len(s), s)):
+        ranked.setdefault(_letters(state), state)
+    return ranked
+
+
+def _state_pattern(states: Sequence[str]) -> str:
+    """Letters of any state; the look-ahead skips digits and other letters cheaply."""
+    letters = list(_ranked(states))
+    initials = "".join(sorted({text[0] for text in letters}))
+    return f"(?=[{initials}])(?:{'|'.join(letters)})"
 
-    Tried in turn: exact text, text with single spaces, letters and digits only, and a state
-    contained in the cell's letters and digits. Equal candidates are ranked longest first, then
-    by name, so the answer does not depend on the order of the list.
-    """
-    ranked = sorted(states, key=lambda s: (-len(_norm(s)), -len(s), s))
-    upper = F.upper(strip(cell))
-    single = strip(F.regexp_replace(upper, r"(?U)\s+", " "))
-    letters = normalize_alpha(upper)
-
-    names = F.array(*[F.lit(s) for s in ranked])
-    exact_letters: dict[str, str] = {}
-    for state in ranked:
-        exact_letters.setdefault(_norm(state), state)
-    by_letters = F.create_map(*[F.lit(x) for pair in exact_letters.items() for x in pair])
-    contained = F.lit(None).cast("string")
-    for norm, state in reversed(list(exact_letters.items())):
-        contained = F.when(F.contains(letters, F.lit(norm)), F.lit(state)).otherwise(contained)
 
+def names_state(cell: Column, states: Sequence[str] = R.STATES) -> Column:
+    """True when a cell names a state in any of the accepted ways."""
+    return F.coalesce(normalize_alpha(cell).rlike(_state_pattern(states)), F.lit(False))
+
+
+def state_of_text(upper: Column, letters: Column, states: Sequence[str] = R.STATES) -> Column:
+    """State named by a cell, given its stripped upper-case text and its letters.
+
+    Tried in turn: exact text, text with single spaces, and a state whose letters and digits are
+    contained in those of the cell; the longest such state wins. NULL when there is none.
+    """
+    ranked = _ranked(states)
+    single = F.regexp_replace(upper, r"(?U)\s+", " ")
+    names = F.array(*[F.lit(s) for s in states])
+    all_letters = F.array(*[F.lit(text) for text in ranked])
+    by_letters = F.create_map(*[F.lit(x) for pair in ranked.items() for x in pair])
+    contained = F.get(F.filter(all_letters, lambda text: F.contains(letters, text)), F.lit(0))
     return F.coalesce(
         F.when(F.array_contains(names, upper), upper),
         F.when(F.array_contains(names, single), single),
-        F.try_element_at(by_letters, letters),
-        # A cell without letters (a measure) cannot contain a state.
-        F.when(letters.rlike("[A-Z]"), contained),
+        F.try_element_at(by_letters, contained),
     )
 
 
-def detect_state(cells: Column, states: Sequence[str] = R.STATES) -> Column:
-    """State of the first cell that names one."""
-    found = F.filter(
-        F.transform(cells, lambda c: state_of_cell(c, states)), lambda s: s.isNotNull()
-    )
-    return F.get(found, F.lit(0))
+# Separates the cells of a row that is searched as one text.
+CELL_MARK = "\x01"
+
+
+def row_letters(cells: Column) -> Column:
+    """Upper-case letters and digits of all cells, with a mark between cells."""
+    return F.regexp_replace(
+        F.upper(F.array_join(cells, CELL_MARK, "")), f"[^A-Z0-9{CELL_MARK}]", "")
+
+
+def before_state(letters: Column, states: Sequence[str] = R.STATES) -> Column:
+    """Row letters in front of the first state, NULL when no state is named.
+
+    All accepted ways imply that a cell contains the letters of a state, so one search over the
+    row finds the first cell that names one.
+    """
+    at = F.nullif(F.regexp_instr(letters, F.lit(_state_pattern(states))), F.lit(0))
+    return F.substring(letters, F.lit(1), at - 1)
+
+
+def cell_position(before: Column) -> Column:
+    """Number of cells ended in a part of the row letters."""
+    return F.length(before) - F.length(F.replace(before, F.lit(CELL_MARK), F.lit("")))
 
 
 def invalid_report_name(file_name: Column, year: Column) -> Column:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.text import strip
 
-PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# A plain decimal number below 1e308; other spellings a JVM would read (1d, 0x1p3) are no numbers.
+PLAIN_NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?0*(?:[0-2]?\d{1,2}|30[0-7]))?"
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
@@ -20,6 +21,11 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return result
 
 
+def known(value: Column) -> Column:
+    """Number with NaN read as missing."""
+    return F.nanvl(value, F.lit(None).cast("double"))
+
+
 def finite(value: Column) -> Column:
     """Double value, NULL for NaN and infinities."""
     number = value.try_cast("double")
@@ -28,8 +34,8 @@ def finite(value: Column) -> Column:
 
 def to_double(value: Column) -> Column:
     """Text or number to double, NULL for blank, malformed, NaN and infinite values."""
-    trimmed = strip(value.cast("string"))
-    return finite(F.when(trimmed.rlike(PLAIN_NUMBER), trimmed))
+    number = F.regexp_extract(value.cast("string"), rf"(?U)^\s*({PLAIN_NUMBER})\s*$", 1)
+    return number.try_cast("double")
 
 
 def to_int(value: Column) -> Column:
@@ -47,36 +53,14 @@ def safe_float(value: Column) -> Column:
     return to_double(value)
 
 
-def minmax_avg(low: Column, high: Column) -> Column:
-    """Mean of a min/max pair of cells at 4 decimals; a lone value is kept as it is."""
-    a, b = safe_float(low), safe_float(high)
-    return F.when(a.isNotNull() & b.isNotNull(), F.round((a + b) / 2, 4)).otherwise(
-        F.coalesce(a, b)
-    )
-
+def mean_of_pair(low: Column, high: Column) -> Column:
+    """Mean of two numbers at 4 decimals; a lone value is kept as it is."""
+    return F.coalesce(F.round((low + high) / 2, 4), low, high)
 
-def pair_averages(values: Column, complete_pairs: Column | bool) -> Column:
-    """Averages of the min/max pairs of a flat array, as an array.
 
-    With ``complete_pairs`` a trailing single value is ignored, otherwise it is kept.
-    """
-    cells = F.transform(values, safe_float)
-    size = F.size(values)
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.ceil(size / 2), F.lit(1)).cast("int") - 1),
-        lambda i: F.struct(
-            F.get(cells, 2 * i).alias("low"), F.get(cells, 2 * i + 1).alias("high"),
-            (2 * i + 1 < size).alias("complete")),
-    )
-    ignore = F.lit(complete_pairs) if isinstance(complete_pairs, bool) else complete_pairs
-
-    def mean(pair: Column) -> Column:
-        low, high = pair["low"], pair["high"]
-        return F.when(ignore & ~pair["complete"], F.lit(None).cast("double")).when(
-            low.isNotNull() & high.isNotNull(), F.round((low + high) / 2, 4)
-        ).otherwise(F.coalesce(low, high))
-
-    return F.transform(pairs, mean)
+def minmax_avg(low: Column, high: Column) -> Column:
+    """Mean of a min/max pair of cells."""
+    return mean_of_pair(safe_float(low), safe_float(high))
 
 
 def year_to_date(year: Column) -> Column:

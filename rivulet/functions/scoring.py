@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rivulet import rules as R
-from rivulet.functions.numbers import any_of, finite
+from rivulet.functions.numbers import any_of, known
 
 
 def _value(name: str) -> Column:
-    return finite(F.col(name))
+    return known(F.col(name))
 
 
 # ---- 0-100 score and BIS label of cleaned samples -------------------------

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from rivulet import schema as S
 from rivulet.functions import detect as D
-from rivulet.functions.numbers import pair_averages
-from rivulet.functions.text import collapse_ws, strip
-from rivulet.operators.shaping import bind, drop_all_null_params, drop_invalid_rows
+from rivulet.functions.text import collapse_ws, normalize_alpha, strip
+from rivulet.operators.shaping import bind, bind_pairs, drop_all_null_params, drop_invalid_rows
 
 
 def skip_header_rows(rows: DataFrame) -> DataFrame:
     """Table rows without headings."""
-    return rows.filter(~D.is_heading(F.col("cells")))
+    named = bind(rows, _text=D.row_text(F.col("cells")))
+    return named.filter(~D.is_heading(F.col("_text"))).drop("_text")
 
 
 def compact_cells(rows: DataFrame) -> DataFrame:
@@ -24,16 +24,22 @@ def compact_cells(rows: DataFrame) -> DataFrame:
 
 def with_layout(rows: DataFrame) -> DataFrame:
     """Adds the page's table layout and water body type."""
-    layout = D.detect_schema(F.col("page_text"), D.has_type_column(F.col("file_name")))
-    body = D.detect_water_body(F.col("path"), F.col("page_text"), F.col("layout"))
-    return rows.withColumn("layout", layout).withColumn("water_body_type", body)
+    texts = bind(rows, _page=F.upper(F.coalesce("page_text", F.lit(""))))
+    layout = D.detect_schema(F.col("_page"), D.has_type_column(F.col("file_name")))
+    lowered = bind(texts, layout=layout, _page=F.lower("page_text"), _path=F.lower("path"))
+    body = D.detect_water_body(F.col("_path"), F.col("_page"), F.col("layout"))
+    return bind(lowered, water_body_type=body).drop("_page", "_path")
 
 
 def with_state(rows: DataFrame) -> DataFrame:
-    """Adds the state named by each cell (an array) and by the row."""
-    bound = bind(rows, cell_states=F.transform("cells", lambda c: D.state_of_cell(c)))
-    return bound.withColumn(
-        "state", F.get(F.filter("cell_states", lambda s: s.isNotNull()), F.lit(0)))
+    """Adds the state of the first cell that names one."""
+    joined = bind(rows, _letters=D.row_letters(F.col("cells")))
+    found = bind(joined, _before=D.before_state(F.col("_letters")))
+    cell = bind(found, _cell=F.get("cells", D.cell_position(F.col("_before"))))
+    text = bind(cell, _upper=F.upper(strip("_cell")), _letters=normalize_alpha(F.col("_cell")))
+    state = F.when(F.col("_cell").isNotNull(),
+                   D.state_of_text(F.col("_upper"), F.col("_letters")))
+    return bind(text, state=state).drop("_letters", "_before", "_cell", "_upper")
 
 
 def parse_rows_by_schema(rows: DataFrame) -> DataFrame:
@@ -41,18 +47,19 @@ def parse_rows_by_schema(rows: DataFrame) -> DataFrame:
 
     River and groundwater rows hold code, location, an optional state, then min/max pairs; coastal
     rows hold the water body type before the optional state. River rows ignore a lone last value.
-    Input: compact cells with layout, water_body_type and cell_states.
+    Input: compact cells with layout and water_body_type.
     """
     coastal = F.col("layout") == "coastal"
     cells, first = F.col("cells"), F.when(coastal, 3).otherwise(2)
-    has_state = F.get("cell_states", first).isNotNull()
+    has_state = D.names_state(F.get(cells, first))
     values = F.slice(cells, first + F.when(has_state, 2).otherwise(1), F.size(cells))
-    bound = bind(rows, _avgs=pair_averages(values, F.col("layout") == "river"))
+    count = len(S.GROUNDWATER_PARAMETERS)
+    bound = bind_pairs(rows, values, count, F.col("layout") == "river")
 
     def position(names: list[str], name: str) -> Column:
         if name not in names:
             return F.lit(None).cast("double")
-        return F.get("_avgs", F.lit(names.index(name)))
+        return F.col(f"_avg{names.index(name)}")
 
     own_type = F.nullif(strip(F.get(cells, F.lit(2))), F.lit(""))
     return bound.withColumns({
@@ -65,7 +72,7 @@ def parse_rows_by_schema(rows: DataFrame) -> DataFrame:
             .otherwise(position(S.RIVER_PARAMETERS, name))
             for name in S.ALL_PARAMETERS
         },
-    }).drop("_avgs")
+    }).drop(*[f"_avg{i}" for i in range(count)])
 
 
 def extract_samples(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:

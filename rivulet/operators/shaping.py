@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from rivulet import schema as S
 from rivulet.functions.geo import valid_coordinate
-from rivulet.functions.numbers import finite, pair_averages, to_double, to_int, to_text
+from rivulet.functions.numbers import (
+    finite, mean_of_pair, safe_float, to_double, to_int, to_text,
+)
 from rivulet.functions.text import strip
 
 
@@ -25,13 +27,31 @@ def bind(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(row)))
 
 
+def bind_pairs(
+    df: DataFrame, values: Column, count: int, complete_pairs: Column | bool = False
+) -> DataFrame:
+    """Adds _avg0, _avg1, ...: averages of the min/max pairs of a flat array of cells.
+
+    Every cell is read into a column of its own, which keeps the parsing in generated code and
+    parses each cell once. With ``complete_pairs`` a trailing single value is ignored.
+    """
+    numbers = {f"_v{i}": safe_float(F.get("_cells", F.lit(i))) for i in range(2 * count)}
+    parsed = bind(bind(df, _cells=values), _size=F.size("_cells"), **numbers).drop("_cells")
+    ignore = F.lit(complete_pairs) if isinstance(complete_pairs, bool) else complete_pairs
+    means = {}
+    for i in range(count):
+        mean = mean_of_pair(F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"))
+        means[f"_avg{i}"] = F.when(~ignore | (F.col("_size") > 2 * i + 1), mean)
+    return bind(parsed, **means).drop("_size", *numbers)
+
+
 def pairwise_param_avgs(
     df: DataFrame, values: str, names: Sequence[str], complete_pairs: bool = False
 ) -> DataFrame:
     """Adds the named averages of a flat min/max array column."""
-    bound = bind(df, _avgs=pair_averages(F.col(values), complete_pairs))
-    return bound.withColumns(
-        {name: F.get("_avgs", F.lit(i)) for i, name in enumerate(names)}).drop("_avgs")
+    bound = bind_pairs(df, F.col(values), len(names), complete_pairs)
+    named = {name: F.col(f"_avg{i}") for i, name in enumerate(names)}
+    return bound.withColumns(named).drop(*[f"_avg{i}" for i in range(len(names))])
 
 
 def drop_invalid_rows(df: DataFrame) -> DataFrame:

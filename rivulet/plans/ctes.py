@@ -196,7 +196,7 @@ SELECT replace({_pick(PAGE_FILES, 'l_partkey')}, '{{}}', CAST(YEAR(l_shipdate) A
 
 CELLS_TEXT = "array_to_string(list_transform(cells, lambda c: coalesce(c, '<null>')), '|')"
 
-_HEADING = "|".join(f"(?:{p})" for p in R.HEADING_PATTERNS)
+_HEADING = "|".join(f"(?:{p})" for p in R.HEADING_TEXTS + R.HEADING_PATTERNS)
 
 
 def is_heading(cells: str = "cells") -> str:

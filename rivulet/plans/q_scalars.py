@@ -291,8 +291,7 @@ extracted AS (SELECT {_ROW}, trim(c[1]) AS stn_code, trim(regexp_replace(c[2], '
     Q.CELL_STATES, _ROW_STATES, _EXTRACTED))
 def parse_rows_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = extract.with_layout(extract.skip_header_rows(page_rows(spark, sf_dir)))
-    rows = extract.with_state(extract.compact_cells(rows))
-    return extract.parse_rows_by_schema(rows).select(
+    return extract.parse_rows_by_schema(extract.compact_cells(rows)).select(
         *ROW, "stn_code", "monitoring_location", "water_body_type", *S.ALL_PARAMETERS)
 
 

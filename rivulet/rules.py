@@ -150,17 +150,12 @@ STATES = [
     "J & K",
 ]
 
-# A table row whose joined lower-case text matches one of these is a heading.
-HEADING_PATTERNS = [
-    r"primary water quality criteria",
-    r"monitoring location",
-    r"state name",
-    r"stn\s*code",
-    r"temperature",
-    r"dissolved oxygen",
-    r"min\s+max",
-    r"^\s*$",
+# A table row whose joined lower-case text contains one of these texts or patterns is a heading.
+HEADING_TEXTS = [
+    "primary water quality criteria", "monitoring location", "state name", "temperature",
+    "dissolved oxygen",
 ]
+HEADING_PATTERNS = [r"stn\s*code", r"min\s+max", r"^\s*$"]
 
 # Page layout markers, upper case, in order of precedence.
 COASTAL_HEADING = "TYPE WATER BODY"

@@ -11,6 +11,7 @@ from rivulet import rules as R
 from rivulet import schema as S
 from rivulet.functions.numbers import to_double, to_int
 from rivulet.functions.text import slug_from_stem, state_name, state_slug, strip, year_from_stem
+from rivulet.operators.shaping import bind
 
 # Widest accepted sample file.
 MAX_CSV_COLUMNS = 24
@@ -35,26 +36,33 @@ def scan_samples_csv(
     is_header = F.array_contains(F.col("cells"), "monitoring_location") & F.array_contains(
         F.col("cells"), "stn_code"
     )
-    # One small row per file; Spark broadcasts it while it is under its size threshold.
-    headers = raw.filter(is_header).select(
-        "path", F.transform("cells", lambda c: F.lower(strip(c))).alias("header")
-    ).dropDuplicates(["path"])
+    # One small row per file: where in its rows each wanted column stands (0: nowhere). Spark
+    # broadcasts this side while it is under its size threshold.
+    header = F.transform("cells", lambda c: F.lower(strip(c)))
+    headers = raw.filter(is_header).dropDuplicates(["path"]).withColumn("header", header).select(
+        "path", F.array(*[
+            F.coalesce(F.array_position("header", F.lit(name)), F.lit(0)).cast("int")
+            for name in columns
+        ]).alias("at"),
+    )
     placed = raw.filter(~F.coalesce(is_header, F.lit(False))).join(headers, "path")
+    texts = bind(placed, **{
+        name: F.when(F.get("at", F.lit(i)) > 0, F.get("cells", F.get("at", F.lit(i)) - 1))
+        for i, name in enumerate(columns)
+    })
 
-    def cell(name: str):
-        position = F.array_position("header", F.lit(name)).cast("int")
-        text = F.get(F.col("cells"), F.nullif(position, F.lit(0)) - 1)
-        value = F.when(~strip(text).isin(*R.MISSING_TEXTS), text)
+    def typed(name: str):
+        value = F.when(~strip(name).isin(*R.MISSING_TEXTS), F.col(name))
         kind = S.column_type(name).simpleString()
         if kind == "double":
-            return to_double(value).alias(name)
+            return to_double(F.col(name)).alias(name)
         if kind == "int":
-            return to_int(value).alias(name)
+            return to_int(F.col(name)).alias(name)
         if kind == "boolean":
             return value.try_cast("boolean").alias(name)
         return value.alias(name)
 
-    return placed.select("path", *[cell(name) for name in columns])
+    return bind(texts, **{name: typed(name) for name in columns}).select("path", *columns)
 
 
 def with_file_parts(df: DataFrame) -> DataFrame:

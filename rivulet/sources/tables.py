@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.operators.shaping import bind
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -108,7 +109,7 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     heading = F.array(*[F.lit(t) for t in
                         ("Stn Code", "Monitoring Location", "State Name", "Min", "Max")])
-    return l.select(
+    rows = l.select(
         F.concat(F.lit("/reports/"), year.cast("string"), F.lit("/"), file_name).alias("path"),
         file_name.alias("file_name"), year.alias("year"),
         (order_no % 100).cast("int").alias("page_no"),
@@ -117,3 +118,4 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(order_no % 20 == 0, heading).otherwise(body).alias("cells"),
         order_no.alias("k1"), line.alias("k2"), price.alias("k3"), part_no.alias("k4"),
     )
+    return bind(rows, cells=F.col("cells"))
