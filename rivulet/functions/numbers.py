@@ -75,6 +75,15 @@ def text_to_year(text: Column) -> Column:
     return F.substring(text, 1, 4).try_cast("int")
 
 
+def round_mean(mean: Column, digits: int) -> Column:
+    """Rounded mean.
+
+    The first step removes the noise left by the order in which partial sums were added, so that
+    a mean on a rounding tie gives the same digits on every run.
+    """
+    return F.round(F.round(mean, digits + 4), digits)
+
+
 def fixed_point(value: Column) -> Column:
     """Value in millionths as a whole number.
 

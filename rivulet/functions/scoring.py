@@ -111,12 +111,16 @@ def contributions() -> dict[str, Column]:
     }
 
 
-def blended_score(parts: dict[str, Column]) -> Column:
-    """0-10 score: largest share and weighted mean of the known shares; NULL if none is known."""
-    total_weight = F.lit(0.0)
+def known_weight(parts: dict[str, Column]) -> Column:
+    """Sum of the weights of the known shares; NULL if none is known."""
+    total = F.lit(0.0)
     for name, part in parts.items():
-        total_weight = total_weight + F.when(part.isNotNull(), R.CLASS_A_WEIGHTS[name]).otherwise(0.0)
-    weight = F.nullif(total_weight, F.lit(0.0))
+        total = total + F.when(part.isNotNull(), R.CLASS_A_WEIGHTS[name]).otherwise(0.0)
+    return F.nullif(total, F.lit(0.0))
+
+
+def blended_score(parts: dict[str, Column], weight: Column) -> Column:
+    """0-10 score: largest share and weighted mean of the known shares; NULL if none is known."""
     weighted = F.lit(0.0)
     for name, part in parts.items():
         weighted = weighted + F.coalesce(part * (F.lit(R.CLASS_A_WEIGHTS[name]) / weight), F.lit(0.0))

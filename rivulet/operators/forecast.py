@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.functions.numbers import date_to_text, fixed_point, text_to_year, year_to_date
+from rivulet.functions.numbers import (
+    date_to_text, fixed_point, round_mean, text_to_year, year_to_date,
+)
 
 # Years are counted from here to keep the sums of squares small.
 BASE_YEAR = 2000
@@ -186,8 +188,8 @@ def forecast_backtest(df: DataFrame, cut: int, value: str = "pollution_score") -
 
 def backtest_means(metrics: DataFrame) -> DataFrame:
     return metrics.agg(
-        F.count("*").alias("stations"), F.round(F.avg("mae"), 4).alias("mae"),
-        F.round(F.avg("rmse"), 4).alias("rmse"), F.round(F.avg("mape"), 4).alias("mape"),
+        F.count("*").alias("stations"), round_mean(F.avg("mae"), 4).alias("mae"),
+        round_mean(F.avg("rmse"), 4).alias("rmse"), round_mean(F.avg("mape"), 4).alias("mape"),
     )
 
 

@@ -10,7 +10,7 @@ from rivulet import schema as S
 from rivulet.functions import scoring as C
 from rivulet.functions.text import stn_code, title_case
 from rivulet.functions.violations import violation_structs
-from rivulet.operators.shaping import project_known_columns, require_columns
+from rivulet.operators.shaping import bind, project_known_columns, require_columns
 
 
 def stn_code_fill(df: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def violations_bis(df: DataFrame) -> DataFrame:
 def score_100(df: DataFrame, name: str = "pollution_score") -> DataFrame:
     parts = {f"_part_{k}": v for k, v in C.sub_scores_100().items()}
     score = C.mean_of_known([F.col(p) for p in parts], cap=100.0, digits=2)
-    return df.withColumns(parts).withColumn(name, score).drop(*parts)
+    return bind(df, **parts).withColumn(name, score).drop(*parts)
 
 
 def clean_samples(df: DataFrame) -> DataFrame:
@@ -77,7 +77,9 @@ def score_10(df: DataFrame, name: str = "pollution_score") -> DataFrame:
     require_columns(df)
     parts = {f"_part_{k}": v for k, v in C.contributions().items()}
     by_name = {k: F.col(f"_part_{k}") for k in R.CLASS_A_WEIGHTS}
-    return df.withColumns(parts).withColumn(name, C.blended_score(by_name)).drop(*parts)
+    weighed = bind(bind(df, **parts), _weight=C.known_weight(by_name))
+    return weighed.withColumn(name, C.blended_score(by_name, F.col("_weight"))).drop(
+        "_weight", *parts)
 
 
 def classify_class_a(df: DataFrame) -> DataFrame:

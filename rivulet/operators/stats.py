@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet import schema as S
-from rivulet.functions.numbers import fixed_point
+from rivulet.functions.numbers import round_mean
 from rivulet.functions.scoring import change_direction, class_a_conditions, risk_bucket
 from rivulet.functions.text import split_list, strip
 from rivulet.operators.latest import last_per_station_year, latest_per_station
@@ -36,7 +36,7 @@ def overview_stats(df: DataFrame, year: int | None = None) -> DataFrame:
     latest = latest_per_station(filter_samples(df, year), columns=LABEL_COLUMNS)
     return latest.agg(
         F.count("*").alias("total_stations"), *label_counts(),
-        F.round(F.avg("pollution_score"), 2).alias("avg_pollution_score"),
+        round_mean(F.avg("pollution_score"), 2).alias("avg_pollution_score"),
     ).withColumns({
         "safe_percentage": share(F.col("safe_count"), F.col("total_stations"), 1),
         "unsafe_percentage": F.round(
@@ -48,7 +48,7 @@ def yearly_trend(df: DataFrame) -> DataFrame:
     """Per year the mean score and label counts of each station's last state in that year."""
     states = last_per_station_year(df, columns=["pollution_score", "safety_label"])
     return states.groupBy("year").agg(
-        F.round(F.avg("pollution_score"), 4).alias("avg_score"), *label_counts()
+        round_mean(F.avg("pollution_score"), 4).alias("avg_score"), *label_counts()
     )
 
 
@@ -98,7 +98,7 @@ def parameter_stats(
         ]
         entries.append(F.struct(
             F.lit(column).alias("parameter"), F.lit(label).alias("label"),
-            F.round(f"avg_{column}", 4).alias("avg_value"),
+            round_mean(F.col(f"avg_{column}"), 4).alias("avg_value"),
             F.round(f"min_{column}", 4).alias("min_value"),
             F.round(f"max_{column}", 4).alias("max_value"),
             F.col(f"beyond_{column}").alias("violation_count"),
@@ -155,9 +155,9 @@ def trend_summary(df: DataFrame, columns: Sequence[str] = R.TREND_PARAMETERS) ->
     for c in columns:
         entry = F.struct("year", F.col(c).alias("v"))
         ends += [
-            F.round(F.min(c), 3).alias(f"min_{c}"), F.round(F.max(c), 3).alias(f"max_{c}"),
-            F.round(F.min(entry)["v"], 3).alias(f"first_{c}"),
-            F.round(F.max(entry)["v"], 3).alias(f"last_{c}"),
+            round_mean(F.min(c), 3).alias(f"min_{c}"), round_mean(F.max(c), 3).alias(f"max_{c}"),
+            round_mean(F.min(entry)["v"], 3).alias(f"first_{c}"),
+            round_mean(F.max(entry)["v"], 3).alias(f"last_{c}"),
         ]
     entries = [
         F.struct(
@@ -221,7 +221,7 @@ def batch_summary(df: DataFrame) -> DataFrame:
 def location_year_avg(df: DataFrame, keys: Sequence[str] = ("year",), digits: int = 1) -> DataFrame:
     """Mean score of rows with a position."""
     located = df.dropna(subset=["latitude", "longitude"])
-    return located.groupBy(*keys).agg(F.round(F.avg("pollution_score"), digits).alias("avg_score"))
+    return located.groupBy(*keys).agg(round_mean(F.avg("pollution_score"), digits).alias("avg_score"))
 
 
 def yoy_delta(yearly: DataFrame) -> DataFrame:
@@ -272,7 +272,3 @@ def cleanest(df: DataFrame, k: int = 10, ties: Sequence[str] = ("stn_code",)) ->
 def limit_results(df: DataFrame, order: Sequence[str], limit: int = R.API_ROW_LIMIT) -> DataFrame:
     """First page of a result after an explicit sort."""
     return df.orderBy(*order).limit(limit)
-
-
-def exact_sum(value: str) -> Column:
-    return F.sum(fixed_point(F.col(value)))

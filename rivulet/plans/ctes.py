@@ -8,8 +8,13 @@ from rivulet.sources.tables import PAGE_FILES, PAGE_STATES, PAGE_TEXTS
 
 
 def rnd(expression: str, digits: int) -> str:
-    """Half-up rounding of the decimal digits, the rule Spark applies to doubles."""
-    return f"CAST(ROUND(CAST({expression} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    """Half-up rounding of the written decimal digits, the rule Spark applies to doubles."""
+    return (f"CAST(ROUND(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)")
+
+
+def rnd_mean(expression: str, digits: int) -> str:
+    """Rounding in two steps, so that a mean on a tie does not depend on the order of its sum."""
+    return rnd(rnd(expression, digits + 4), digits)
 
 
 def text(value: str) -> str:
