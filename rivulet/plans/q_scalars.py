@@ -228,6 +228,12 @@ def year_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
         numbers.text_to_year(numbers.date_to_text(ds)).alias("year"))
 
 
+@query("date_to_year", "SELECT event_id, CAST(year(ts) AS INT) AS year FROM events")
+def date_to_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        "event_id", numbers.text_to_year(numbers.date_to_text(F.col("ts"))).alias("year"))
+
+
 @query("truncate_text", "SELECT doc_id, substr(text, 1, 30) AS t30, substr(text, 1, 80) AS t80, substr(text, 1, 500) AS t500 FROM documents")
 def truncate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", *[
