@@ -40,7 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     Only where that is unset, as in local tests, a folder of this machine is taken.
     """
     global _local_dir
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
