@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.numbers import fixed_point
+from rivulet.operators.shaping import not_null
 
 LABELS = ["Safe", "Unsafe"]
 
@@ -58,32 +61,30 @@ def value_counts(df: DataFrame, value: str, keys: list[str] | None = None) -> Da
     Scores have three decimals, so there are at most some ten thousand of them whatever the size
     of the table: the exact quantiles below work on these counts.
     """
-    return df.dropna(subset=[value]).groupBy(*(keys or []), value).agg(F.count("*").alias("n"))
+    return not_null(df, value).groupBy(*(keys or []), value).agg(F.count("*").alias("n"))
 
 
-def histogram(counts: DataFrame, value: str, bins: int) -> DataFrame:
-    """Equal bins between smallest and largest value; the last bin includes the largest.
+def histogram(
+    counts: DataFrame, value: str, bins: int, lo: Column, hi: Column, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Equal bins between two ends, per key; the last bin includes the upper end.
 
-    ``counts`` holds values and their frequency n. The range is read by a scalar subquery.
+    ``counts`` holds values and their frequency n. Equal ends are moved apart by one half.
     """
-    ends = counts.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     flat = F.col("lo") == F.col("hi")
-    ends = ends.select(F.struct(
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    ).alias("ends"))
-    placed = counts.withColumn("ends", ends.scalar()).withColumns({
-        "lo": F.col("ends.lo"), "hi": F.col("ends.hi"),
+    placed = counts.withColumns({"lo": lo, "hi": hi}).withColumns({
+        "lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")),
+        "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")),
     }).withColumn("bin", F.least(
         F.floor((F.col(value) - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))),
         F.lit(bins - 1)) + 1)
-    row = placed.agg(
+    row = placed.groupBy(*keys).agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"),
         *[F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0)).alias(f"n{i}")
           for i in range(1, bins + 1)],
     )
     width = (F.col("hi") - F.col("lo")) / bins
-    return row.select(F.inline(F.array(*[
+    return row.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(i).alias("bin"), (F.col("lo") + width * (i - 1)).alias("lower"),
                  F.col(f"n{i}").alias("n"))
         for i in range(1, bins + 1)
@@ -91,7 +92,13 @@ def histogram(counts: DataFrame, value: str, bins: int) -> DataFrame:
 
 
 def score_histogram(df: DataFrame, value: str = "pollution_score", bins: int = 30) -> DataFrame:
-    return histogram(value_counts(df, value), value, bins)
+    """Distribution of the scores in one pass.
+
+    The window without a key sees only the counts, of which there are some ten thousand at most.
+    """
+    everything = Window.partitionBy()
+    return histogram(value_counts(df, value), value, bins,
+                     F.min(value).over(everything), F.max(value).over(everything))
 
 
 def score_centre(df: DataFrame, value: str = "pollution_score") -> DataFrame:
@@ -105,25 +112,45 @@ def score_centre(df: DataFrame, value: str = "pollution_score") -> DataFrame:
 
 
 def error_histogram(metrics: DataFrame, bins: int = 20) -> DataFrame:
-    """Distribution of each forecast error over stations."""
-    parts = []
-    for name in ("mae", "rmse", "mape"):
-        rows = metrics.select(F.col(name).alias("error")).dropna().withColumn("n", F.lit(1))
-        parts.append(histogram(rows, "error", bins).select(F.lit(name).alias("metric"), "*"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Distribution of each forecast error over stations.
+
+    Errors are as many as stations, so the ends are read first, by scalar subqueries.
+    """
+    names = ("mae", "rmse", "mape")
+    ends = metrics.agg(F.struct(*[
+        f(n).alias(f"{a}_{n}") for n in names for a, f in (("lo", F.min), ("hi", F.max))
+    ]).alias("ends"))
+    long = metrics.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).alias("error"), F.lit(1).alias("n"))
+        for n in names
+    ])))
+    placed = not_null(long, "error").withColumn("ends", ends.scalar())
+
+    def end(which: str) -> Column:
+        chosen = F.when(F.col("metric") == names[0], F.col(f"ends.{which}_{names[0]}"))
+        for name in names[1:]:
+            chosen = chosen.when(F.col("metric") == name, F.col(f"ends.{which}_{name}"))
+        return chosen
+
+    return histogram(placed, "error", bins, end("lo"), end("hi"), ["metric"])
 
 
 def box_stats(
     df: DataFrame, key: str = "water_body_type", value: str = "pollution_score"
 ) -> DataFrame:
-    """Quartiles, whiskers (within 1.5 quartile ranges) and outlier count per group."""
-    counts = value_counts(df, value, [key])
-    quartiles = counts.groupBy(key).agg(
-        F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"),
-    ).select(key, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    """Quartiles, whiskers (within 1.5 quartile ranges) and outlier count per group, in one pass.
+
+    The window works on the counts, some ten thousand per group at most.
+    """
+    shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    q = F.percentile(value, shares, F.col("n")).over(Window.partitionBy(key))
+    counts = value_counts(df, value, [key]).withColumn("q", q).withColumns({
+        "q1": F.col("q")[0], "median": F.col("q")[1], "q3": F.col("q")[2],
+    })
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    return counts.join(quartiles, key).groupBy(key, "q1", "median", "q3").agg(
+    return counts.groupBy(key).agg(
+        F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(inside, F.col(value))).alias("low_whisker"),
         F.max(F.when(inside, F.col(value))).alias("high_whisker"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.numbers import (
     date_to_text, fixed_point, round_mean, text_to_year, year_to_date,
 )
+from rivulet.operators.shaping import not_null
 
 # Years are counted from here to keep the sums of squares small.
 BASE_YEAR = 2000
@@ -24,7 +25,7 @@ def yearly_series(df: DataFrame, value: str = "pollution_score") -> DataFrame:
     """Mean per station and year in millionths (y), over known values."""
     y = F.round(F.sum(fixed_point(F.col(value))) / F.count(value)).cast("bigint")
     return (
-        df.dropna(subset=["stn_code", "year", value]).groupBy("stn_code", "year")
+        not_null(df, "stn_code", "year", value).groupBy("stn_code", "year")
         .agg(y.alias("y"))
     )
 

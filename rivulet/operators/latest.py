@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet import schema as S
-from rivulet.operators.shaping import drop_missing_coords, filter_samples
+from rivulet.operators.shaping import drop_missing_coords, filter_samples, not_null
 from rivulet.functions.text import strip
 
 
@@ -31,7 +31,7 @@ def latest_known(
     order = [c for c in order if c in df.columns and c not in keys]
     wanted = [c for c in (columns or df.columns) if c not in keys]
     return (
-        df.dropna(subset=list(keys)).groupBy(*keys)
+        not_null(df, *keys).groupBy(*keys)
         .agg(*[last_known(c, order) for c in wanted])
     )
 
@@ -55,7 +55,7 @@ def latest_row(
     order = [c for c in order if c in df.columns and c not in keys]
     others = [c for c in df.columns if c not in keys and c not in order]
     row = F.max(F.struct(*order, *others)).alias("row")
-    picked = df.dropna(subset=[*keys, "year"]).groupBy(*keys).agg(row)
+    picked = not_null(df, *keys, "year").groupBy(*keys).agg(row)
     return picked.select(*keys, "row.*").select(*df.columns)
 
 
@@ -78,7 +78,7 @@ def first_row(
 def available_years(df: DataFrame) -> DataFrame:
     """Sorted distinct years per station."""
     years = F.array_sort(F.collect_set("year")).alias("available_years")
-    return df.dropna(subset=["stn_code", "year"]).groupBy("stn_code").agg(years)
+    return not_null(df, "stn_code", "year").groupBy("stn_code").agg(years)
 
 
 def locations_feed(
@@ -97,7 +97,7 @@ def locations_feed(
     order = [c for c in order if c in df.columns]
     if year is None:
         years = F.array_sort(F.collect_set("year")).alias("available_years")
-        feed = base.dropna(subset=["stn_code", "year"]).groupBy("stn_code").agg(
+        feed = not_null(base, "stn_code", "year").groupBy("stn_code").agg(
             *[last_known(c, order) for c in shown], F.max("year").alias("year"), years
         )
     else:

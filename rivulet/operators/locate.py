@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.geo import geocode_candidates, geocode_simplify
+from rivulet.operators.shaping import not_null
 
 KEYS = ["monitoring_location", "state"]
 
@@ -39,7 +40,7 @@ def join_gazetteer_ranked(locations: DataFrame, gazetteer: DataFrame) -> DataFra
     ``gazetteer`` has one row per query with lat and lng. A location without a hit keeps its first
     search text and success = false, so that it is not looked up again.
     """
-    distinct = locations.select(*KEYS).dropna(subset=KEYS).distinct()
+    distinct = not_null(locations.select(*KEYS), *KEYS).distinct()
     tried = candidate_queries(distinct).join(gazetteer, "query", "left")
     hit = F.min(F.when(F.col("lat").isNotNull(), F.struct("rank", "query", "lat", "lng")))
     first = F.min(F.struct("rank", "query"))

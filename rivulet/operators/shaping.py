@@ -27,6 +27,13 @@ def bind(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(row)))
 
 
+def not_null(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows in which all given columns are known; plain tests that reach the file scan."""
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull())
+    return df
+
+
 def bind_pairs(
     df: DataFrame, values: Column, count: int, complete_pairs: Column | bool = False
 ) -> DataFrame:
@@ -105,7 +112,7 @@ def filter_station(df: DataFrame, station: str | int) -> DataFrame:
 
 
 def drop_missing_coords(df: DataFrame) -> DataFrame:
-    return df.dropna(subset=["latitude", "longitude"])
+    return not_null(df, "latitude", "longitude")
 
 
 def valid_coordinates(df: DataFrame, key: str, lat: str, lon: str) -> DataFrame:

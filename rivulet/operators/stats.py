@@ -13,7 +13,7 @@ from rivulet.functions.numbers import round_mean
 from rivulet.functions.scoring import change_direction, class_a_conditions, risk_bucket
 from rivulet.functions.text import split_list, strip
 from rivulet.operators.latest import last_per_station_year, latest_per_station
-from rivulet.operators.shaping import filter_samples, filter_type_ci
+from rivulet.operators.shaping import filter_samples, filter_type_ci, not_null
 
 LABEL_COLUMNS = ["year", "pollution_score", "safety_label"]
 
@@ -54,9 +54,8 @@ def yearly_trend(df: DataFrame) -> DataFrame:
 
 def extreme_stations(df: DataFrame) -> DataFrame:
     """Most polluted and cleanest station by latest score; ties go to the lower code."""
-    latest = latest_per_station(
-        df, columns=["year", "monitoring_location", "pollution_score"]
-    ).dropna(subset=["pollution_score"])
+    latest = not_null(latest_per_station(
+        df, columns=["year", "monitoring_location", "pollution_score"]), "pollution_score")
     info = F.struct(strip("monitoring_location").alias("name"),
                     F.round("pollution_score", 4).alias("score"), "year", "stn_code")
     worst = F.min_by(info, F.struct((-F.col("pollution_score")).alias("s"), "stn_code"))
@@ -140,7 +139,7 @@ def station_year_means(
     df: DataFrame, columns: Sequence[str] = R.TREND_PARAMETERS
 ) -> DataFrame:
     """Mean of each column per station and year."""
-    return df.dropna(subset=["stn_code", "year"]).groupBy("stn_code", "year").agg(
+    return not_null(df, "stn_code", "year").groupBy("stn_code", "year").agg(
         *[F.avg(c).alias(c) for c in columns]
     )
 
@@ -186,12 +185,13 @@ def type_safety_breakdown(df: DataFrame) -> DataFrame:
 def unsafe_combos(df: DataFrame) -> DataFrame:
     """Distinct (violations, water body) of unsafe samples."""
     keys = ["violated_params", "water_body_type"]
-    return df.filter(F.col("safety_label") == "Unsafe").dropna(subset=keys).select(*keys).distinct()
+    unsafe = df.filter(F.col("safety_label") == "Unsafe")
+    return not_null(unsafe, *keys).select(*keys).distinct()
 
 
 def counts_with_total(df: DataFrame, key: str, name: str = "n") -> DataFrame:
     """Rows per key and, with a NULL key, in total."""
-    return df.dropna(subset=[key]).rollup(key).agg(F.count("*").alias(name))
+    return not_null(df, key).rollup(key).agg(F.count("*").alias(name))
 
 
 def extraction_report(df: DataFrame) -> DataFrame:
@@ -220,7 +220,7 @@ def batch_summary(df: DataFrame) -> DataFrame:
 
 def location_year_avg(df: DataFrame, keys: Sequence[str] = ("year",), digits: int = 1) -> DataFrame:
     """Mean score of rows with a position."""
-    located = df.dropna(subset=["latitude", "longitude"])
+    located = not_null(df, "latitude", "longitude")
     return located.groupBy(*keys).agg(round_mean(F.avg("pollution_score"), digits).alias("avg_score"))
 
 

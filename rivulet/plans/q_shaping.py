@@ -25,7 +25,7 @@ def skip_header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     "list_filter(cells, lambda x: x IS NOT NULL) AS c FROM page_rows) WHERE len(c) >= 4"))
 def compact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.compact_cells(page_rows(spark, sf_dir)).select(
-        *ROW, F.size("cells").alias("n_cells"), F.array_join("cells", "|").alias("cells"))
+        *ROW, F.size("cells").cast("bigint").alias("n_cells"), F.array_join("cells", "|").alias("cells"))
 
 
 @query("drop_invalid_rows", Q.on_samples(
