@@ -23,8 +23,8 @@ def bind(df: DataFrame, **columns: Column) -> DataFrame:
     it. The optimizer does not move them below a generator, so the values pass through one.
     """
     kept = [c for c in df.columns if c not in columns]
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select(*kept, F.inline(F.array(row)))
+    computed = df.select(*kept, *[value.alias(name) for name, value in columns.items()])
+    return computed.select(*kept, F.inline(F.array(F.struct(*columns))))
 
 
 def not_null(df: DataFrame, *columns: str) -> DataFrame:
