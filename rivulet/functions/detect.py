@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rivulet import rules as R
-from rivulet.functions.text import contains_any, first_type, normalize_alpha, strip
+from rivulet.functions.text import contains_any, first_type, normalize_alpha
 
 
 def row_text(cells: Column) -> Column:

@@ -135,12 +135,16 @@ def _block_topk(
             if batch.empty:
                 continue
             vectors = np.stack(batch[vector].to_numpy()).astype(np.float64)
+            numbers = batch[chunk_id].to_numpy()
             for i, query in enumerate(queries):
                 gap = vectors - query
-                found = pd.DataFrame({
-                    "chunk_id": batch[chunk_id].to_numpy(),
-                    "distance": np.einsum("ij,ij->i", gap, gap),
-                })
+                distance = np.einsum("ij,ij->i", gap, gap)
+                if len(distance) > k:
+                    # Only rows up to the k-th distance, ties included, need sorting.
+                    near = distance <= np.partition(distance, k - 1)[k - 1]
+                    found = pd.DataFrame({"chunk_id": numbers[near], "distance": distance[near]})
+                else:
+                    found = pd.DataFrame({"chunk_id": numbers, "distance": distance})
                 merged = found if best[i] is None else pd.concat([best[i], found])
                 best[i] = merged.sort_values(["distance", "chunk_id"]).head(k)
         for i, rows in enumerate(best):
