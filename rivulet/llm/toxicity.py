@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 import pickle
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,44 +15,72 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import arrow_schema, smallest_hashes, texts_of
+from rivulet.llm.quality import calibrate
 
 WORD = re.compile(r"[^\W\d_]+")
+#: Words, and the stops that end a sentence.
+TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 #: A sequence of the field is a run of words without a stop between them, of at most so many words;
 #: longer runs go on in a new sequence.
-STOP = re.compile(r"[.!?\n]+")
 SEQUENCE = 64
-DIMENSIONS = 1 << 18
+DIMENSIONS = 1 << 18  # a power of two
 #: Word beginnings that are features besides the word itself.
-PREFIXES = (4, 5, 6)
-#: A word is labelled toxic when its best feature occurs in so many toxic sample documents and is
-#: so much likelier there (natural logarithm of the ratio) than in the others.
+PREFIXES = (4, 5, 6, 7, 8)
+#: A feature marks toxic words when it occurs in so many toxic sample documents and is so much
+#: likelier there (natural logarithm of the ratio) than in the others.
 LEAST_DOCUMENTS = 4
-LEAST_RATIO = 3.0
-KEPT_WORDS = 400_000
+LEAST_RATIO = 2.0
+KEPT_WORDS = 600_000
 
 
 def features_of(word: str) -> list[str]:
-    """The word, and its beginnings with their length."""
-    return ["=" + word, *[word[:n] + "+" for n in PREFIXES if len(word) > n]]
+    """The word, and its beginnings."""
+    return ["=" + word, *[word[:n] for n in PREFIXES if len(word) > n]]
 
 
 def slot(feature: str) -> int:
-    value = 0xCBF29CE484222325
-    for b in feature.encode("utf-8", "surrogatepass"):
-        value = ((value ^ b) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-    return (value ^ value >> 29) % DIMENSIONS
+    return zlib.crc32(feature.encode()) & (DIMENSIONS - 1)
+
+
+def starts_of(stops: np.ndarray) -> np.ndarray:
+    """Sizes of the sequences of a document, given which of its tokens are stops."""
+    runs = np.diff(np.flatnonzero(np.concatenate([[True], stops, [True]]))) - 1
+    runs = runs[runs > 0]
+    whole, rest = runs // SEQUENCE, runs % SEQUENCE
+    parts = whole + (rest > 0)
+    sizes = np.full(int(parts.sum()), SEQUENCE, dtype=np.int64)
+    ends = np.cumsum(parts) - 1
+    sizes[ends] = np.where(rest > 0, rest, SEQUENCE)
+    return sizes
 
 
 def sequences(text: str) -> list[list[str]]:
     """Lower-cased words of a text in sequences of bounded length; every word is in one."""
-    out = []
-    for sentence in STOP.split(text.lower()):
-        words = WORD.findall(sentence)
-        for at in range(0, len(words), SEQUENCE):
-            out.append(words[at:at + SEQUENCE])
+    tokens = TOKEN.findall(text.lower())
+    words = [t for t in tokens if t not in ".!?\n"]
+    out, at = [], 0
+    for size in starts_of(np.array([t in ".!?\n" for t in tokens], dtype=bool)).tolist():
+        out.append(words[at:at + size])
+        at += size
     return out
 
 
+class WordScores(dict):
+    """How much the features of a word favour toxic over clean; stops have no number."""
+
+    def __init__(self, weights: np.ndarray, bias: float) -> None:
+        super().__init__((stop, np.nan) for stop in ".!?\n")
+        self.weights, self.bias = weights.tolist(), bias
+
+    def __missing__(self, word: str) -> float:
+        weights, found = self.weights, self.bias
+        for feature in features_of(word):
+            found += weights[slot(feature)]
+        if len(self) < KEPT_WORDS:
+            self[word] = found
+        return found
+
+
 class ToxicField:
     """State scores of features, transitions between clean (0) and toxic (1), and the calibration."""
 
@@ -58,34 +88,54 @@ class ToxicField:
                  calibration: np.ndarray | None = None) -> None:
         self.weights, self.transitions, self.bias = weights, transitions, bias
         self.calibration = calibration
-        self._known: dict[str, float] = {}
+        self._known: WordScores | None = None
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "_known": {}}
-
-    def word_score(self, word: str) -> float:
-        """How much the features of a word favour toxic over clean."""
-        found = self._known.get(word)
-        if found is None:
-            found = self.bias + float(sum(self.weights[slot(f)] for f in features_of(word)))
-            if len(self._known) < KEPT_WORDS:
-                self._known[word] = found
-        return found
+        return {**self.__dict__, "_known": None}
+
+    @property
+    def known(self) -> WordScores:
+        if self._known is None:
+            self._known = WordScores(self.weights, self.bias)
+        return self._known
+
+    def tagged(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of all words of a text in a row, and the sizes of its sequences."""
+        tokens = TOKEN.findall(text.lower())
+        scores = np.fromiter(map(self.known.__getitem__, tokens), dtype=np.float64, count=len(tokens))
+        stops = np.isnan(scores)
+        return scores[~stops], starts_of(stops)
 
     def marginals(self, scores: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Probability of toxic for every word; ``scores`` has the words of all sequences in a row.
 
-        Forward and backward passes in log-odds form, for all sequences of a batch at once.
+        Forward and backward passes over the odds of toxic, for all sequences of a batch at once.
         """
-        return forward_backward(scores, sizes, self.transitions)[0]
+        x, inside = _padded(scores, sizes)
+        n, width = x.shape
+        (t00, t01), (t10, t11) = np.exp(self.transitions)
+        e = np.ascontiguousarray(np.exp(np.clip(x, -30, 30)).T)
+        odds = np.empty((width, n))
+        odds[0] = e[0]
+        for i in range(1, width):
+            odds[i] = e[i] * (t01 + odds[i - 1] * t11) / (t00 + odds[i - 1] * t10)
+        later = np.ones(n)
+        within = np.ascontiguousarray(inside.T)
+        for i in range(width - 1, 0, -1):
+            odds[i] *= later
+            weight = e[i] * later
+            later = np.where(within[i], (t10 + t11 * weight) / (t00 + t01 * weight), 1.0)
+        odds[0] *= later
+        return (odds / (1 + odds)).T[inside]
 
     def document(self, probabilities: np.ndarray) -> list[float]:
-        """What the calibration sees: expected toxic words, the chance of any, the surest word."""
+        """What the calibration sees: expected toxic words and their share, the surest word."""
         if not len(probabilities):
-            return [0.0, 0.0, 0.0]
-        none = np.log1p(-np.minimum(probabilities, 1 - 1e-9)).sum()
-        return [float(np.log1p(probabilities.sum())), float(-np.expm1(none)),
-                float(probabilities.max())]
+            return [0.0, 0.0, 0.0, 0.0]
+        total = float(probabilities.sum())
+        second = float(np.partition(probabilities, -2)[-2]) if len(probabilities) > 1 else 0.0
+        return [float(np.log1p(total)), float(np.log1p(100 * total / len(probabilities))),
+                float(probabilities.max()), second]
 
     def score(self, aggregates: np.ndarray) -> np.ndarray:
         if self.calibration is None:
@@ -191,10 +241,10 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
                              label_column, sample_rows)
     sample = sample.select(F.xxhash64(id_column).alias("h"), F.col(label_column).cast("int").alias("y"),
                            F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    lexicon = _lexicon(sample)
+    candidates = _candidates(sample)
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"model": [pickle.dumps(_learn(rows, lexicon))]})
+        return pd.DataFrame({"model": [pickle.dumps(_learn(rows, candidates))]})
 
     rows = sample.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "model binary").collect()
     return pickle.loads(rows[0]["model"]) if rows else _empty()
@@ -204,8 +254,8 @@ def _empty() -> ToxicField:
     return ToxicField(np.zeros(DIMENSIONS, dtype=np.float32), np.zeros((2, 2)), -20.0)
 
 
-def _lexicon(sample: DataFrame, most: int = 5000) -> set[str]:
-    """Features that mark toxic documents: the strongest of the sample, ``most`` at most."""
+def _candidates(sample: DataFrame, most: int = 5000) -> dict[str, float]:
+    """Features likelier in toxic documents, with the ratio: the strongest, ``most`` at most."""
     schema = arrow_schema("feature string, y int")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,54 +268,81 @@ def _lexicon(sample: DataFrame, most: int = 5000) -> set[str]:
 
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if set(sizes) != {0, 1}:
-        return set()
+        return {}
     toxic, clean = F.col("toxic"), F.col("clean")
     ratio = F.log((toxic + 0.5) / (sizes[1] + 1)) - F.log((clean + 0.5) / (sizes[0] + 1))
     counted = (sample.select("y", "text").mapInArrow(run, "feature string, y int")
                .groupBy("feature").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")))
     few = max(2, min(LEAST_DOCUMENTS, sizes[1] // 4))
     strong = counted.where((toxic >= few) & (ratio >= min(LEAST_RATIO, float(np.log(sizes[0] + 1)))))
-    return {r["feature"] for r in strong.orderBy(ratio.desc(), toxic.desc(), "feature").limit(most).collect()}
+    best = strong.orderBy((ratio * F.sqrt(toxic)).desc(), "feature").limit(most)
+    return {r["feature"]: r["ratio"] for r in best.select("feature", ratio.alias("ratio")).collect()}
 
 
-def _learn(rows: pd.DataFrame, lexicon: set[str]) -> ToxicField:
+def explaining(candidates: dict[str, float], documents: list[set[str]], least: float) -> set[str]:
+    """Features that explain the toxic documents one after the other.
+
+    Always the feature is taken that is strongest over the documents not explained yet; a document
+    counts less with each feature found in it. So words that toxic documents share only because they are
+    copies of each other are not needed once the truly toxic words are taken.
+    """
+    holders: dict[str, list[int]] = {}
+    for i, found in enumerate(documents):
+        for f in found:
+            holders.setdefault(f, []).append(i)
+    lists = {f: np.array(i) for f, i in holders.items()}
+    open_share, hits, chosen = np.ones(len(documents)), np.zeros(len(documents)), set()
+    heap = [(-candidates[f] * np.sqrt(len(i)), f) for f, i in lists.items()]
+    heapq.heapify(heap)
+    while heap:
+        _, f = heapq.heappop(heap)
+        left = open_share[lists[f]].sum()
+        now = -candidates[f] * np.sqrt(left)
+        if left < least:
+            continue
+        if heap and now > heap[0][0]:
+            heapq.heappush(heap, (now, f))
+            continue
+        chosen.add(f)
+        hits[lists[f]] += 1
+        open_share = (1 + hits) ** -1.5
+    return chosen
+
+
+def _learn(rows: pd.DataFrame, candidates: dict[str, float]) -> ToxicField:
     rows = rows.sort_values(["h", "y"], kind="stable").reset_index(drop=True)
     y = rows["y"].to_numpy()
     if len(np.unique(y)) < 2:
         return _empty()
     documents = [sequences(t) for t in rows["text"]]
+    toxic = [{f for s in d for w in set(s) for f in features_of(w) if f in candidates}
+             for d, label in zip(documents, y) if label]
+    lexicon = explaining(candidates, toxic, min(LEAST_DOCUMENTS, len(toxic) / 8) * 0.6)
     fitted = np.arange(len(y)) % 4 != 3 if len(y) >= 40 else np.ones(len(y), dtype=bool)
-    tokens, labels, plain = [], [], []
+    tokens, labels, plain, marked = [], [], [], {}
     for i in np.flatnonzero(fitted):
         for words in documents[i]:
-            marks = [int(bool(y[i]) and any(f in lexicon for f in features_of(w))) for w in words]
+            marks = [marked[w] if w in marked else marked.setdefault(
+                w, int(any(f in lexicon for f in features_of(w)))) for w in words]
             if any(marks):
                 tokens.append(words)
-                labels.append(marks)
+                labels.append(marks if y[i] else [0] * len(words))
             else:
                 plain.append(words)
-    step = max(1, len(plain) // max(2000, 4 * len(tokens)))
+    step = max(1, len(plain) // max(2000, 2 * len(tokens)))
     tokens += plain[::step]
     labels += [[0] * len(w) for w in plain[::step]]
     if not any(map(any, labels)):
         return _empty()
     field = train_field(tokens, labels)
     rest = np.flatnonzero(~fitted) if not fitted.all() else np.arange(len(y))
-    x = np.array([field.document(_probabilities(field, documents[i])) for i in rest])
-    from rivulet.llm.quality import calibrate
-
+    x = np.array([field.document(field.marginals(*tagged) if len((tagged := field.tagged(t))[0])
+                                 else np.zeros(0)) for t in rows["text"][rest]])
     x = np.concatenate([np.ones((len(x), 1)), x], axis=1)
     field.calibration = calibrate(x, y[rest].astype(float), penalty=0.05)
     return field
 
 
-def _probabilities(field: ToxicField, words: list[list[str]]) -> np.ndarray:
-    if not words:
-        return np.zeros(0)
-    scores = np.array([field.word_score(w) for s in words for w in s])
-    return field.marginals(scores, np.array([len(s) for s in words]))
-
-
 def score(docs: DataFrame, field: ToxicField, id_column: str = "doc_id", text_column: str = "text",
           least: float = 0.5) -> DataFrame:
     """id, score (0 to 1) and spans (offending places as ``start:end``, comma-joined) of every row.
@@ -277,15 +354,15 @@ def score(docs: DataFrame, field: ToxicField, id_column: str = "doc_id", text_co
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            ids, at, held, words = batch.column("id"), 0, [], 0
+            ids, at, held, size = batch.column("id"), 0, [], 0
             for i, text in enumerate(texts_of(batch.column("text"))):
-                held.append((text, sequences(text)))
-                words += len(text)
-                if words >= 4 << 20 or i + 1 == batch.num_rows:
+                held.append(text)
+                size += len(text)
+                if size >= 4 << 20 or i + 1 == batch.num_rows:
                     found, spans = _score_texts(field, held, least)
                     yield pa.record_batch([ids.slice(at, len(held)), pa.array(found, pa.float64()),
                                            pa.array(spans, pa.string())], schema=schema)
-                    at, held, words = i + 1, [], 0
+                    at, held, size = i + 1, [], 0
 
     ddl = "id bigint, score double, spans string"
     return docs.select(
@@ -293,26 +370,23 @@ def score(docs: DataFrame, field: ToxicField, id_column: str = "doc_id", text_co
     ).mapInArrow(run, ddl).withColumnRenamed("id", id_column)
 
 
-def _score_texts(field: ToxicField, held: list[tuple[str, list[list[str]]]], least: float,
-                 ) -> tuple[np.ndarray, list[str]]:
-    known = field._known
-    scores = np.array([known[w] if w in known else field.word_score(w)
-                       for _, parts in held for s in parts for w in s], dtype=np.float64)
-    sizes = np.array([len(s) for _, parts in held for s in parts], dtype=np.int64)
+def _score_texts(field: ToxicField, texts: list[str], least: float) -> tuple[np.ndarray, list[str]]:
+    tagged = [field.tagged(t) for t in texts]
+    scores, sizes = np.concatenate([s for s, _ in tagged]), np.concatenate([n for _, n in tagged])
     starts = np.cumsum(sizes) - sizes
     p = np.zeros(len(scores))
-    order = np.argsort(sizes, kind="stable")
-    for chunk in np.array_split(order, max(1, len(order) // 8192)):
+    order = np.argsort(sizes, kind="stable")  # sequences of like length are taken together
+    for chunk in np.array_split(order, max(1, len(order) // 2048)):
         if len(chunk):
             place = np.repeat(starts[chunk] - np.cumsum(sizes[chunk]) + sizes[chunk], sizes[chunk])
             place += np.arange(len(place))
             p[place] = field.marginals(scores[place], sizes[chunk])
-    ends = np.cumsum([sum(map(len, parts)) for _, parts in held]).astype(np.int64)
-    aggregates, spans = [], []
-    for (text, parts), first, last in zip(held, [0, *ends], ends):
-        own = p[first:last]
-        aggregates.append(field.document(own))
-        hot = set(np.flatnonzero(own >= least).tolist())
+    aggregates, spans, at = [], [], 0
+    for text, (own, _) in zip(texts, tagged):
+        found = p[at:at + len(own)]
+        at += len(own)
+        aggregates.append(field.document(found))
+        hot = set(np.flatnonzero(found >= least).tolist())
         spans.append(_places(text, hot) if hot else "")
     return field.score(np.array(aggregates)), spans
 
