@@ -44,22 +44,29 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> Iterator[str]:
         start = stop
 
 
-def smallest_hashes(df: DataFrame, id_column: str, class_column: str, rows: int) -> DataFrame:
-    """A bounded sample: per class the rows whose id hashes lowest, about ``rows`` of each.
-
-    The bound per class becomes a hash limit, so the sample is the same on every run and the texts
-    themselves are never sorted or shuffled. Classes are few (the labels of a model), and one
-    limit for each comes to the driver. Rows that share an id share its hash and its fate; the
-    limit is the hash of the ``rows``-th row, so an id that repeats is counted as often as it occurs.
+def bounded_sample(df: DataFrame, id_column: str, class_column: str, text_column: str,
+                   rows: int) -> DataFrame:
+    """h (hash of the id), label, text of about ``rows`` rows of each class, or all where there are fewer.
+
+    The share rows / class size becomes a limit for the hash of the id, so the sample is the same on
+    every run, and neither texts nor ids are ranked anywhere. Classes are few (the labels of a
+    model): one count for each comes to the driver. Of rows that repeat an id one is taken, the
+    smallest by label and text, so that a hot id cannot swell the sample. Null labels are left out.
     """
-    hashed = F.xxhash64(F.col(id_column))
-    ranked = df.select(F.col(class_column).alias("c"), hashed.alias("h")).where("c is not null")
-    limits = (ranked.withColumn("n", F.expr("row_number() over (partition by c order by h)"))
-              .where(F.col("n") <= rows).groupBy("c").agg(F.max("h").alias("h")).collect())
+    held = df.select(F.xxhash64(F.col(id_column)).alias("h"), F.col(class_column).alias("label"),
+                     F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     keep = F.lit(False)
-    for found in limits:
-        keep = keep | ((F.col(class_column) == F.lit(found["c"])) & (hashed <= F.lit(found["h"])))
-    return df.where(keep)
+    for found in held.where("label is not null").groupBy("label").agg(F.count("*").alias("n")).collect():
+        top = (1 << 64) * min(rows, found["n"]) // found["n"] - (1 << 63) - 1
+        keep = keep | ((F.col("label") == F.lit(found["label"])) & (F.col("h") <= F.lit(top)))
+    one = F.min(F.struct("label", "text")).alias("one")
+    return held.where(keep).groupBy("h").agg(one).select("h", "one.label", "one.text")
+
+
+def as_rows(docs: DataFrame, **keys: Column) -> DataFrame:
+    """The rows of ``docs`` as one struct column ``_row`` beside some keys, whatever its columns are called."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*columns).alias("_row"), *[c.alias(n) for n, c in keys.items()])
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import SLICE_BYTES, arrow_schema, ascii_lower
+from rivulet.llm.common import SLICE_BYTES, arrow_schema, as_rows, ascii_lower
 
 OWNERS = "size bigint, sha binary, text binary, owner bigint, copies bigint"
 
@@ -187,13 +187,10 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     stays, the one whose other columns sort first. Rows without id cannot be chosen from and all stay.
     """
     lowered = ascii_lower(F.coalesce(F.col(text_column), F.lit("")))
-    others = [c for c in docs.columns if c not in (id_column, text_column)]
     kept = (exact_groups(docs, id_column, text_column).where("kept")
             .select(F.col(id_column).alias("_id"), F.col("text_sha256").alias("_sha")))
-    marked = docs.select("*", F.col(id_column).cast("bigint").alias("_id"),
-                         F.sha2(lowered.cast("binary"), 256).alias("_sha"))
-    order = F.to_json(F.struct(*others)) if others else F.lit(0)
-    first = W.partitionBy("_id", "_sha").orderBy(order)
-    return (marked.join(kept, ["_id", "_sha"], "left_semi")
-            .withColumn("_n", F.row_number().over(first)).where("_n = 1")
-            .select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull())))
+    marked = as_rows(docs, _id=F.col(id_column).cast("bigint"), _sha=F.sha2(lowered.cast("binary"), 256))
+    first = W.partitionBy("_id", "_sha").orderBy(F.to_json("_row"))
+    stay = (marked.join(kept, ["_id", "_sha"], "left_semi")
+            .withColumn("_n", F.row_number().over(first)).where("_n = 1"))
+    return stay.select("_row.*").unionByName(docs.where(F.col(id_column).isNull()))

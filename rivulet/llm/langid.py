@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import arrow_schema, smallest_hashes, texts_of
+from rivulet.llm.common import arrow_schema, bounded_sample, texts_of
 
 DIMENSIONS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -128,8 +128,8 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         label_column: str = "lang", sample_rows: int = 800) -> LanguageModel:
     """Learns from ``docs``: document frequencies from all rows, weights from a bounded sample.
 
-    The sample has at most about ``sample_rows`` rows of each label (documented bound; those whose
-    ids hash lowest). Its n-gram counts go to one task, which fits on four fifths and sets the
+    The sample has at most about ``sample_rows`` rows of each label (documented bound; by the
+    hash of the id). Its n-gram counts go to one task, which fits on four fifths and sets the
     temperature on the rest. Rows without text or label are not learned from; without any row the
     model knows no class and answers ``und``.
     """
@@ -167,9 +167,8 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         model.idf, model.weights = idf.astype(np.float32), model.weights.astype(np.float32)
         return pd.DataFrame({"model": [pickle.dumps(model)]})
 
-    sample = smallest_hashes(learn, id_column, label_column, sample_rows)
-    rows = (sample.select(F.xxhash64(id_column).alias("h"), F.col(label_column).alias("label"),
-                          F.col(text_column).cast("string").alias("text"))
+    sample = bounded_sample(learn, id_column, label_column, text_column, sample_rows)
+    rows = (sample
             .mapInArrow(counted, "h bigint, label string, features binary, counts binary")
             .groupBy(F.lit(0).alias("one")).applyInPandas(learn_all, "model binary").collect())
     if not rows:

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import arrow_schema, smallest_hashes, texts_of
+from rivulet.llm.common import arrow_schema, bounded_sample, texts_of
 
 #: Bytes that are compressed by themselves, so that the dictionary counts all along a long text.
 CHUNK_BYTES = 1024
@@ -115,16 +115,14 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
         label_column: str = "label", sample_rows: int = 2500) -> CompressionModel:
     """Learns from at most about ``sample_rows`` labelled rows of each label (0, 1).
 
-    The sample (documented bound; the rows whose ids hash lowest) goes to one task as compressed
+    The sample (documented bound; by the hash of the id) goes to one task as compressed
     text. Half of it builds the dictionaries and the other half calibrates, so the calibration
     sees texts that are not in the dictionaries. Null texts count as empty; rows with other labels or null ones are left out.
     Without rows of both labels the model scores every text 0.5.
     """
-    sample = smallest_hashes(labelled.where(F.col(label_column).isin(0, 1)), id_column,
-                             label_column, sample_rows)
-    packed = sample.select(
-        F.xxhash64(id_column).alias("h"), F.col(label_column).cast("int").alias("y"),
-        F.col(text_column).cast("string").alias("text"))
+    sample = bounded_sample(labelled.where(F.col(label_column).isin(0, 1)), id_column, label_column,
+                            text_column, sample_rows)
+    packed = sample.select("h", F.col("label").cast("int").alias("y"), "text")
     rows = packed.groupBy(F.lit(0).alias("one")).applyInPandas(_learn, "model binary").collect()
     return pickle.loads(rows[0]["model"]) if rows else CompressionModel(b"", b"")
 

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import as_rows
+
 #: Fixed patterns of the base kinds, in the order in which kinds at one place are listed. The
 #: keyword letters are spelled in both cases, so that engines with other folding agree.
 ASSIGN = (r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"""
@@ -183,8 +185,8 @@ def redact(docs: DataFrame, text_column: str = "text", mark: str = "[SECRET]",
 
     Spans of any kind that overlap or touch are replaced by one mark.
     """
-    named = docs.withColumn("_row", F.struct(*docs.columns))
-    spans = find_secrets(named, "_row", text_column, window).withColumn("spans", _merged(F.col("spans")))
+    named = as_rows(docs, text=F.col(text_column))
+    spans = find_secrets(named, "_row", "text", window).withColumn("spans", _merged(F.col("spans")))
     text = F.col("_row")[text_column]
     pieces = F.aggregate(
         F.col("spans"), F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
@@ -193,5 +195,4 @@ def redact(docs: DataFrame, text_column: str = "text", mark: str = "[SECRET]",
             F.lit(mark)).alias("out")),
         lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
     clean = F.when(F.size("spans") > 0, pieces).otherwise(text)
-    return spans.select(*[clean.alias(c) if c == text_column else F.col("_row")[c].alias(c)
-                          for c in docs.columns])
+    return spans.select(F.col("_row").withField(f"`{text_column}`", clean).alias("_row")).select("_row.*")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import arrow_schema, texts_of, written
+from rivulet.llm.common import arrow_schema, as_rows, texts_of, written
 
 BITS = 64
 #: Fingerprints that a task compares with each other; larger buckets are split by further masks.
@@ -238,8 +238,8 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     chosen = (near_groups(docs, id_column, text_column, radius)
               .where(F.col(id_column) == F.col("component_id"))
               .select(F.col(id_column).alias("_id")).distinct())
-    others = [c for c in docs.columns if c != id_column]
-    first = W.partitionBy("_id").orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
-    marked = docs.withColumn("_id", F.col(id_column).cast("bigint"))
-    return (marked.join(chosen, "_id", "left_semi").withColumn("_n", F.row_number().over(first))
-            .where("_n = 1").select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull())))
+    marked = as_rows(docs, _id=F.col(id_column).cast("bigint"))
+    first = W.partitionBy("_id").orderBy(F.to_json("_row"))
+    stay = (marked.join(chosen, "_id", "left_semi")
+            .withColumn("_n", F.row_number().over(first)).where("_n = 1"))
+    return stay.select("_row.*").unionByName(docs.where(F.col(id_column).isNull()))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import arrow_schema, smallest_hashes, texts_of
+from rivulet.llm.common import arrow_schema, bounded_sample, texts_of
 from rivulet.llm.quality import calibrate
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -227,20 +227,19 @@ def train_field(tokens: list[list[str]], labels: list[list[int]], rounds: int =
 
 
 def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-        label_column: str = "label", sample_rows: int = 1500, tag_rows: int = 1200) -> ToxicField:
+        label_column: str = "label", sample_rows: int = 1500) -> ToxicField:
     """Learns from at most about ``sample_rows`` labelled rows of each label (0, 1).
 
     Only documents are labelled, so words get their labels first: Spark counts in how many toxic and
     other sample documents each word and word beginning occurs, and words of toxic documents
     with a feature far likelier there are labelled toxic. The field is trained on the
     sequences around those words and as many others, in one task; document scores are then calibrated on
-    the document labels. The sample (documented bound) has the rows whose ids hash lowest.
+    the document labels. The sample (documented bound) is taken by the hash of the id.
     Rows with other or null labels are left out; without rows of both labels every score is 0.
     """
-    sample = smallest_hashes(labelled.where(F.col(label_column).isin(0, 1)), id_column,
-                             label_column, sample_rows)
-    sample = sample.select(F.xxhash64(id_column).alias("h"), F.col(label_column).cast("int").alias("y"),
-                           F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    sample = bounded_sample(labelled.where(F.col(label_column).isin(0, 1)), id_column, label_column,
+                            text_column, sample_rows)
+    sample = sample.select("h", F.col("label").cast("int").alias("y"), "text")
     candidates = _candidates(sample)
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
@@ -283,7 +282,7 @@ def explaining(candidates: dict[str, float], documents: list[set[str]], least: f
     """Features that explain the toxic documents one after the other.
 
     Always the feature is taken that is strongest over the documents not explained yet; a document
-    counts less with each feature found in it. So words that toxic documents share only because they are
+    counts less with each word found in it. So words that toxic documents share only because they are
     copies of each other are not needed once the truly toxic words are taken.
     """
     holders: dict[str, list[int]] = {}
@@ -291,7 +290,9 @@ def explaining(candidates: dict[str, float], documents: list[set[str]], least: f
         for f in found:
             holders.setdefault(f, []).append(i)
     lists = {f: np.array(i) for f, i in holders.items()}
-    open_share, hits, chosen = np.ones(len(documents)), np.zeros(len(documents)), set()
+    open_share, hits = np.ones(len(documents)), np.zeros(len(documents))
+    chosen: dict[str, np.ndarray] = {}
+    taken: set[str] = set()
     heap = [(-candidates[f] * np.sqrt(len(i)), f) for f, i in lists.items()]
     heapq.heapify(heap)
     while heap:
@@ -303,10 +304,17 @@ def explaining(candidates: dict[str, float], documents: list[set[str]], least: f
         if heap and now > heap[0][0]:
             heapq.heappush(heap, (now, f))
             continue
-        chosen.add(f)
-        hits[lists[f]] += 1
-        open_share = (1 + hits) ** -1.5
-    return chosen
+        here, name = np.zeros(len(documents), dtype=bool), f.lstrip("=")
+        here[lists[f]] = True
+        fresh = here.copy()
+        for g, holds in chosen.items():  # a longer or shorter beginning of the same word is no new one
+            if g.startswith(name) or name.startswith(g):
+                fresh &= ~holds
+        chosen[name] = here | chosen.get(name, False)
+        taken.add(f)
+        hits[fresh] += 1
+        open_share = 1 / (1 + hits)
+    return taken
 
 
 def _learn(rows: pd.DataFrame, candidates: dict[str, float]) -> ToxicField:
