@@ -282,7 +282,7 @@ def explaining(candidates: dict[str, float], documents: list[set[str]], least: f
     """Features that explain the toxic documents one after the other.
 
     Always the feature is taken that is strongest over the documents not explained yet; a document
-    counts less with each word found in it. So words that toxic documents share only because they are
+    counts less with each feature found in it. So words that toxic documents share only because they are
     copies of each other are not needed once the truly toxic words are taken.
     """
     holders: dict[str, list[int]] = {}
@@ -290,9 +290,7 @@ def explaining(candidates: dict[str, float], documents: list[set[str]], least: f
         for f in found:
             holders.setdefault(f, []).append(i)
     lists = {f: np.array(i) for f, i in holders.items()}
-    open_share, hits = np.ones(len(documents)), np.zeros(len(documents))
-    chosen: dict[str, np.ndarray] = {}
-    taken: set[str] = set()
+    open_share, hits, chosen = np.ones(len(documents)), np.zeros(len(documents)), set()
     heap = [(-candidates[f] * np.sqrt(len(i)), f) for f, i in lists.items()]
     heapq.heapify(heap)
     while heap:
@@ -304,17 +302,10 @@ def explaining(candidates: dict[str, float], documents: list[set[str]], least: f
         if heap and now > heap[0][0]:
             heapq.heappush(heap, (now, f))
             continue
-        here, name = np.zeros(len(documents), dtype=bool), f.lstrip("=")
-        here[lists[f]] = True
-        fresh = here.copy()
-        for g, holds in chosen.items():  # a longer or shorter beginning of the same word is no new one
-            if g.startswith(name) or name.startswith(g):
-                fresh &= ~holds
-        chosen[name] = here | chosen.get(name, False)
-        taken.add(f)
-        hits[fresh] += 1
+        chosen.add(f)
+        hits[lists[f]] += 1
         open_share = 1 / (1 + hits)
-    return taken
+    return chosen
 
 
 def _learn(rows: pd.DataFrame, candidates: dict[str, float]) -> ToxicField:
