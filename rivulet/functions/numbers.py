@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.text import strip
 
-# A plain decimal number below 1e308; other spellings a JVM would read (1d, 0x1p3) are no numbers.
-PLAIN_NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?0*(?:[0-2]?\d{1,2}|30[0-7]))?"
+# A plain decimal number of 1e-308 or more in scale; other spellings a JVM would read (1d, 0x1p3)
+# are no numbers.
+PLAIN_NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE](?:\+?\d+|-0*(?:[0-2]?\d{1,2}|30[0-7])))?"
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
@@ -35,7 +36,7 @@ def finite(value: Column) -> Column:
 def to_double(value: Column) -> Column:
     """Text or number to double, NULL for blank, malformed, NaN and infinite values."""
     number = F.regexp_extract(value.cast("string"), rf"(?U)^\s*({PLAIN_NUMBER})\s*$", 1)
-    return number.try_cast("double")
+    return finite(number)
 
 
 def to_int(value: Column) -> Column:

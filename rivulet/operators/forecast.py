@@ -42,11 +42,12 @@ def series_prepare(df: DataFrame, value: str = "pollution_score", min_points: in
 
 
 def _line_sums(inside: Column | None = None) -> list[Column]:
-    x, y = F.col("year") - BASE_YEAR, F.col("y")
+    # Sums of squares in millionths outgrow 64 bits for ordinary values (a few thousand and more).
+    x, y = F.col("year") - BASE_YEAR, F.col("y").cast("decimal(19,0)")
 
     def total(term: Column) -> Column:
         kept = term if inside is None else F.when(inside, term)
-        return F.coalesce(F.sum(kept.cast("bigint")), F.lit(0))
+        return F.coalesce(F.sum(kept.cast("decimal(38,0)")), F.lit(0))
 
     return [
         total(F.lit(1)).alias("n"), total(x).alias("sx"), total(x * x).alias("sxx"),

@@ -84,12 +84,12 @@ def available_years(df: DataFrame) -> DataFrame:
 def locations_feed(
     df: DataFrame, year: int | None = None, water_body_type: str | None = None,
     safety_label: str | None = None, order: Sequence[str] = S.SAMPLE_ORDER,
-    limit: int | None = R.API_ROW_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Stations for a map: latest state, or the rows of one year, with the years available.
 
-    One aggregation yields the latest state and the years together. The limit is the feed's own
-    page size after a fixed sort.
+    One aggregation yields the latest state and the years together. All located stations are
+    returned unless a page size is given, which then cuts after a fixed sort.
     """
     base = filter_samples(df, None, water_body_type, safety_label)
     shown = ["monitoring_location", "latitude", "longitude", "water_body_type",

@@ -135,12 +135,11 @@ def sink_per_state_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("n"), F.round(F.sum("k3"), 2).alias("total"))
 
 
-@query("sink_csv_flat", "SELECT doc_id, lang, source, replace(text, chr(13), '') AS text FROM documents")
+@query("sink_csv_flat", "SELECT doc_id, lang, source, text FROM documents")
 def sink_csv_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with quotes, commas and line breaks survive the export."""
     path = new_path(spark, "documents-csv")
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", "source", F.replace("text", F.lit("\r"), F.lit("")).alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     files.sink_csv_flat(docs, path)
     return files.scan_csv_flat(spark, path, "doc_id bigint, lang string, source string, text string")
 

@@ -70,7 +70,7 @@ def _years_text(feed: DataFrame) -> DataFrame:
         F.col("available_years").cast("array<string>"), ","))
 
 
-@query("locations_feed", Q.on_scored(_feed("latest", "") + " ORDER BY f.stn_code LIMIT 1000", Q.LATEST))
+@query("locations_feed", Q.on_scored(_feed("latest", ""), Q.LATEST))
 def locations_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _years_text(latest.locations_feed(scored(spark, sf_dir, names=True)))
 

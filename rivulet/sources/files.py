@@ -13,8 +13,14 @@ from rivulet.functions.numbers import to_double, to_int
 from rivulet.functions.text import slug_from_stem, state_name, state_slug, strip, year_from_stem
 from rivulet.operators.shaping import bind
 
-# Widest accepted sample file.
-MAX_CSV_COLUMNS = 24
+
+def _widest_header(spark: SparkSession, paths: str | Sequence[str]) -> int:
+    """Most cells in a header line of the files (a small job, as for inferring a schema)."""
+    line = F.lower("value")
+    found = spark.read.text(paths).filter(
+        line.contains("stn_code") | line.contains("monitoring_location")
+    ).agg(F.max(F.size(F.split("value", ",")))).first()[0]
+    return max(found or 1, 1)
 
 
 def scan_samples_csv(
@@ -23,9 +29,11 @@ def scan_samples_csv(
     """Sample CSV files with a header each, typed and brought to one column list.
 
     Files may differ in the number and order of their columns: every cell is placed by the header
-    of its own file. Columns a file does not have are NULL. Quoted cells may hold line breaks.
+    of its own file, matched trimmed and in any case. Columns a file does not have are NULL. A
+    header names the station code or the location; a file with rows and no header raises an error
+    with its path. Quoted cells may hold line breaks.
     """
-    cells = [f"c{i}" for i in range(MAX_CSV_COLUMNS)]
+    cells = [f"c{i}" for i in range(_widest_header(spark, paths))]
     raw = (
         spark.read.schema(", ".join(f"{c} string" for c in cells))
         .option("header", False).option("multiLine", True).option("escape", '"')
@@ -33,19 +41,19 @@ def scan_samples_csv(
         .csv(paths)
         .select(F.col("_metadata.file_path").alias("path"), F.array(*cells).alias("cells"))
     )
-    is_header = F.array_contains(F.col("cells"), "monitoring_location") & F.array_contains(
-        F.col("cells"), "stn_code"
-    )
+    header = F.transform("cells", lambda c: F.lower(strip(c)))
+    is_header = F.array_contains(header, "monitoring_location") | F.array_contains(header, "stn_code")
     # One small row per file: where in its rows each wanted column stands (0: nowhere). Spark
     # broadcasts this side while it is under its size threshold.
-    header = F.transform("cells", lambda c: F.lower(strip(c)))
     headers = raw.filter(is_header).dropDuplicates(["path"]).withColumn("header", header).select(
         "path", F.array(*[
             F.coalesce(F.array_position("header", F.lit(name)), F.lit(0)).cast("int")
             for name in columns
         ]).alias("at"),
     )
-    placed = raw.filter(~F.coalesce(is_header, F.lit(False))).join(headers, "path")
+    lost = F.raise_error(F.concat(F.lit("no header in "), F.col("path"))).cast("array<int>")
+    placed = raw.filter(~F.coalesce(is_header, F.lit(False))).join(headers, "path", "left").withColumn(
+        "at", F.when(F.col("at").isNull(), lost).otherwise(F.col("at")))
     texts = bind(placed, **{
         name: F.when(F.get("at", F.lit(i)) > 0, F.get("cells", F.get("at", F.lit(i)) - 1))
         for i, name in enumerate(columns)

@@ -317,3 +317,12 @@ def test_shaping(spark):
     assert [r["stn_code"] for r in shaping.drop_all_null_params(df).collect()] == ["1", "2", "3"]
     assert set(S.SCORED_PARAMETERS) <= set(shaping.ensure_columns(df).columns)
     assert shaping.project_known_columns(df, ["state", "zz", "stn_code"]).columns == ["state", "stn_code"]
+
+
+def test_forecast_of_large_values(spark):
+    from rivulet.operators import forecast
+
+    rows = [("1", y, 5e6 + y) for y in (2016, 2017, 2018, 2019)]
+    df = spark.createDataFrame(rows, "stn_code string, year int, pollution_score double")
+    found = forecast.forecast_router(df, horizon=2).collect()
+    assert found and all("1" == r.stn_code for r in found)

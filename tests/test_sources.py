@@ -107,3 +107,19 @@ def test_shared_folder_is_the_cluster_checkpoint_folder(spark):
     with pytest.raises(ValueError):
         shared_dir(Session({}))
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_headers_of_any_width_and_case(spark, tmp_path):
+    from rivulet import schema
+
+    wide = [f"extra_{i}" for i in range(30)]
+    (tmp_path / "wide_2018.csv").write_text(
+        ",".join([*wide, " Stn_Code ", "Monitoring_Location", "DO_avg"]) + "\n"
+        + ",".join([*["0"] * 30, "7", "Lake", "6.5"]) + "\n")
+    (tmp_path / "plain_2018.csv").write_text("monitoring_location,do_avg\nRiver,1e308\nPond,9e999\n")
+    found = files.scan_samples_csv(spark, str(tmp_path), schema.EXTRACTED_COLUMNS).collect()
+    assert sorted((r.stn_code or "", r.monitoring_location, r.do_avg) for r in found) == [
+        ("", "Pond", None), ("", "River", 1e308), ("7", "Lake", 6.5)]
+    (tmp_path / "none_2018.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(Exception, match="none_2018.csv"):
+        files.scan_samples_csv(spark, str(tmp_path), schema.EXTRACTED_COLUMNS).collect()
