@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import arrow_schema, bounded_sample, texts_of
+from rivulet.llm.common import arrow_schema, bounded_sample, texts_of, written
 from rivulet.llm.quality import calibrate
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -239,7 +239,8 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """
     sample = bounded_sample(labelled.where(F.col(label_column).isin(0, 1)), id_column, label_column,
                             text_column, sample_rows)
-    sample = sample.select("h", F.col("label").cast("int").alias("y"), "text")
+    # Read three times below; written, so that the documents are searched for it only once.
+    sample = written(sample.select("h", F.col("label").cast("int").alias("y"), "text"), "toxic-sample")
     candidates = _candidates(sample)
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
