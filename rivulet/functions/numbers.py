@@ -11,7 +11,7 @@ from rivulet.functions.text import strip
 
 # A plain decimal number of 1e-308 or more in scale; other spellings a JVM would read (1d, 0x1p3)
 # are no numbers.
-PLAIN_NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE](?:\+?\d+|-0*(?:[0-2]?\d{1,2}|30[0-7])))?"
+PLAIN_NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE](?:\+?[0-9]+|-0*(?:[0-2]?[0-9]{1,2}|30[0-7])))?"
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
@@ -35,8 +35,14 @@ def finite(value: Column) -> Column:
 
 def to_double(value: Column) -> Column:
     """Text or number to double, NULL for blank, malformed, NaN and infinite values."""
-    number = F.regexp_extract(value.cast("string"), rf"(?U)^\s*({PLAIN_NUMBER})\s*$", 1)
-    return finite(number)
+    text = strip(value.cast("string"))
+    return finite(F.when(text.rlike(rf"\A{PLAIN_NUMBER}\z"), text))
+
+
+def to_doubles(texts: Column) -> Column:
+    """``to_double`` for every text of an array, each step done once per text."""
+    numbers = F.transform(F.transform(texts, strip), lambda t: F.when(t.rlike(rf"\A{PLAIN_NUMBER}\z"), t).try_cast("double"))
+    return F.transform(numbers, finite)
 
 
 def to_int(value: Column) -> Column:

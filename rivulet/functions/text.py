@@ -8,8 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# White space removed at both ends of a text.
-BLANKS = " \t\n\r\x0b\x0c\u00a0\u2003\u3000"
+# White space removed at both ends of a text: all that Unicode counts as such.
+BLANKS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
+          + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip(text: Column | str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rivulet import schema as S
 from rivulet.functions.geo import valid_coordinate
 from rivulet.functions.numbers import (
-    finite, mean_of_pair, safe_float, to_double, to_int, to_text,
+    finite, mean_of_pair, to_double, to_doubles, to_int, to_text,
 )
 from rivulet.functions.text import strip
 
@@ -39,17 +39,17 @@ def bind_pairs(
 ) -> DataFrame:
     """Adds _avg0, _avg1, ...: averages of the min/max pairs of a flat array of cells.
 
-    Every cell is read into a column of its own, which keeps the parsing in generated code and
-    parses each cell once. With ``complete_pairs`` a trailing single value is ignored.
+    The cells are parsed as one array: a column for each cell grows into a method too large for the
+    JVM to compile. With ``complete_pairs`` a trailing single value is ignored.
     """
-    numbers = {f"_v{i}": safe_float(F.get("_cells", F.lit(i))) for i in range(2 * count)}
-    parsed = bind(bind(df, _cells=values), _size=F.size("_cells"), **numbers).drop("_cells")
+    parsed = bind(df, _numbers=to_doubles(values))
     ignore = F.lit(complete_pairs) if isinstance(complete_pairs, bool) else complete_pairs
     means = {}
     for i in range(count):
-        mean = mean_of_pair(F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"))
-        means[f"_avg{i}"] = F.when(~ignore | (F.col("_size") > 2 * i + 1), mean)
-    return bind(parsed, **means).drop("_size", *numbers)
+        low, high = F.get("_numbers", F.lit(2 * i)), F.get("_numbers", F.lit(2 * i + 1))
+        mean = mean_of_pair(low, high)
+        means[f"_avg{i}"] = F.when(~ignore | (F.size("_numbers") > 2 * i + 1), mean)
+    return bind(parsed, **means).drop("_numbers")
 
 
 def pairwise_param_avgs(
