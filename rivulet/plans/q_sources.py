@@ -32,16 +32,26 @@ def scan_samples_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_samples_csv(spark, [f"{path}/a", f"{path}/b"], SCAN_COLUMNS).drop("path")
 
 
+_PLACE = "monitoring_location || ', \"' || stn_code || '\"' || chr(10) || 'bank'"
+
+
+def awkward_places(rows: DataFrame) -> DataFrame:
+    """Location texts that a CSV file has to quote."""
+    return rows.withColumn("monitoring_location", F.concat(
+        "monitoring_location", F.lit(', "'), "stn_code", F.lit('"\nbank')))
+
+
 @query("scan_samples_multi", Q.on_samples(
-    "SELECT 'Nation ' || replace(state, 'NATION_', '') AS file_state, year AS file_year, stn_code, do_avg, "
-    "ph_avg, bod_avg FROM samples WHERE year <> 2001"))
+    "SELECT 'Nation ' || replace(state, 'NATION_', '') AS file_state, year AS file_year, stn_code, "
+    f"{_PLACE} AS monitoring_location, do_avg, ph_avg, bod_avg FROM samples WHERE year <> 2001"))
 def scan_samples_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = samples(spark, sf_dir, names=False).withColumn(
-        "monitoring_location", F.col("stn_code"))
+    """Locations with commas, quotes and line breaks in them."""
+    rows = awkward_places(samples(spark, sf_dir))
     path = new_path(spark, "samples-by-file")
     files.sink_state_year_csv(rows.select(*SCAN_COLUMNS), path)
     found = files.scan_samples_multi(spark, path, SCAN_COLUMNS, exclude_years=[2001])
-    return found.select("file_state", "file_year", "stn_code", "do_avg", "ph_avg", "bod_avg")
+    return found.select(
+        "file_state", "file_year", "stn_code", "monitoring_location", "do_avg", "ph_avg", "bod_avg")
 
 
 @query("scan_year_partitions", Q.on_samples(
@@ -193,17 +203,16 @@ def dataset_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("rescore_files", Q.on_scored(
-    f"SELECT stn_code, state, year, {', '.join(Q.MEASURES)}, pollution_score FROM scored"))
+    f"SELECT stn_code, {_PLACE} AS monitoring_location, state, year, {', '.join(Q.MEASURES)}, pollution_score FROM scored"))
 def rescore_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with 0-100 scores become files with 0-10 scores."""
-    rows = score.score_100(samples(spark, sf_dir, names=False)).withColumn(
-        "monitoring_location", F.col("stn_code"))
+    rows = awkward_places(score.score_100(samples(spark, sf_dir)))
     columns = [*SCAN_COLUMNS, "pollution_score"]
     before, after = new_path(spark, "scores-100"), new_path(spark, "scores-10")
     files.sink_state_year_csv(rows.select(*columns), before)
     files.rescore_files(spark, before, after, columns)
     return files.scan_samples_multi(spark, after, columns).select(
-        "stn_code", "state", "year", *Q.MEASURES, "pollution_score")
+        "stn_code", "monitoring_location", "state", "year", *Q.MEASURES, "pollution_score")
 
 
 @query("merge_years", Q.on_samples(

@@ -253,12 +253,12 @@ def location_year_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.location_year_avg(scored(spark, sf_dir))
 
 
-_YEARLY = f"yearly AS (SELECT year, {Q.rnd_mean('avg(pollution_score)', 4)} AS avg_score FROM scored GROUP BY year)"
+_YEARLY = (f"yearly AS (SELECT year, {Q.rnd_mean('avg(pollution_score)', 4)} AS avg_score FROM scored "
+           "WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY year)")
 
 
 def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.location_year_avg(
-        scored(spark, sf_dir).withColumns({"latitude": F.lit(0), "longitude": F.lit(0)}), digits=4)
+    return stats.location_year_avg(scored(spark, sf_dir), digits=4)
 
 
 @query("yoy_delta", Q.on_scored(

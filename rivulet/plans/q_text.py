@@ -133,15 +133,26 @@ def _any(words) -> str:
     return Q.contains_any("lower(message)", words)
 
 
+_GUIDELINE = "CASE WHEN conv_id % 5 = 0 THEN 'No context retrieved' ELSE 'Some guideline' END"
+_STRICT_PROMPT = f"""'Question: ' || message || '\n\nStation: ' || station_context || '\nStored safety label: Unsafe
+Computed violations, complete and final: ' || CASE WHEN conv_id % 4 = 0 THEN '[]' ELSE 'none, all limits are met' END
+|| '\n\nGuidelines:\n' || {_GUIDELINE} || '\n\nReport exactly these violations. Without violations the status is Safe. \
+Answer in 3-5 sentences in the field ''answer''.'"""
+_OPEN_PROMPT = f"""'Question: ' || message || '\n\nStation (for reference): ' || coalesce(nullif(station_context, ''), 'none')
+|| '\n\nGuidelines:\n' || {_GUIDELINE} || '\n\nAnswer in 3-5 sentences in the field ''answer''. \
+Set safety_status to null and violations to [].'"""
+
+
 @query("prompt_table", Q.wrap(
-    f"SELECT conv_id AS request_id, station_context <> '' AND {_any(R.STATION_QUESTION_KEYWORDS)} AND {_any(R.RISK_QUESTION_KEYWORDS)} AS strict, "
-    "message, coalesce(h, 0) AS history_items FROM messages LEFT JOIN (SELECT conv_id, count(*) AS h FROM (SELECT * FROM conversations QUALIFY "
+    f"SELECT request_id, strict, CASE WHEN strict THEN {_STRICT_PROMPT} ELSE {_OPEN_PROMPT} END AS user_prompt, history_items FROM ("
+    f"SELECT *, conv_id AS request_id, station_context <> '' AND {_any(R.STATION_QUESTION_KEYWORDS)} AND {_any(R.RISK_QUESTION_KEYWORDS)} AS strict, "
+    "coalesce(h, 0) AS history_items FROM messages LEFT JOIN (SELECT conv_id, count(*) AS h FROM (SELECT * FROM conversations QUALIFY "
     "row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= 4) WHERE role IN ('user', 'assistant') AND coalesce(text, '') <> '' "
-    "GROUP BY conv_id) USING (conv_id)", _MESSAGES))
+    "GROUP BY conv_id) USING (conv_id))", _MESSAGES))
 def prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = knowledge.prompt_table(requests(spark, sf_dir))
     return rows.select(
-        "request_id", "strict", F.regexp_extract("user_prompt", r"(?s)\AQuestion: (.*?)\n\nStation", 1).alias("message"),
+        "request_id", "strict", "user_prompt",
         F.coalesce(F.json_array_length("history"), F.lit(0)).cast("bigint").alias("history_items"))
 
 
@@ -154,12 +165,15 @@ def chat_query_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("insight_prompt_table", Q.on_scored(
-    "SELECT DISTINCT violated_params, water_body_type, replace(violated_params, ', ', '|') AS named FROM scored WHERE safety_label = 'Unsafe'"))
+    """SELECT violated_params, water_body_type, 'Analyse the water pollution of a station.\nStation name: ' || water_body_type
+|| '\nWater body type: ' || water_body_type || '\nViolated parameters: ' || violated_params || '\n\nContext:
+No relevant context retrieved.\n\nReturn station_name, water_body_type, violated_params, causes_of_pollution (3-7 items), \
+recommended_measures (3-7 items) and retrieved_context_count.' AS user_prompt
+FROM (SELECT DISTINCT violated_params, water_body_type FROM scored WHERE safety_label = 'Unsafe')"""))
 def insight_prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     combos = stats.unsafe_combos(score.classify_class_a(samples(spark, sf_dir, names=False, states=False)))
     asked = combos.withColumns({"params": split_list(F.col("violated_params")), "context_text": F.lit("")})
-    named = F.replace(F.regexp_extract("user_prompt", r"Violated parameters: ([^\n]*)\n", 1), F.lit(", "), F.lit("|"))
-    return knowledge.insight_prompt_table(asked).select("violated_params", "water_body_type", named.alias("named"))
+    return knowledge.insight_prompt_table(asked).select("violated_params", "water_body_type", "user_prompt")
 
 
 _VALUES = [("pH", "ph_avg", "mg/L"), ("BOD", "bod_avg", "mg/L"), ("Nitrate", "nitrate_avg", "mg/L"), ("Fecal Coliform", "fecal_coliform_avg", "MPN/100ml")]
@@ -181,7 +195,8 @@ def suggest_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knowledge.suggest_questions(latest_rows(spark, sf_dir))
 
 
-def _reason() -> str:
+def _computed(shape: str, separator: str) -> str:
+    """Texts of the violations of a row; ``shape`` has places for name, value, unit and limit."""
     parts = [
         ("pH", "ph_avg", "ph_avg < 6.5 OR ph_avg > 8.5", "6.5-8.5 (BIS/WHO)", "mg/L"),
         ("Dissolved Oxygen", "do_avg", "do_avg < 6", "min 6.0 mg/L (CPCB)", "mg/L"),
@@ -189,18 +204,22 @@ def _reason() -> str:
         ("Nitrate", "nitrate_avg", "nitrate_avg > 10", "max 10.0 mg/L (WHO)", "mg/L"),
         ("Fecal Coliform", "fecal_coliform_avg", "fecal_coliform_avg > 50", "max 50.0 MPN/100ml (WHO)", "MPN/100ml"),
     ]
-    return "concat_ws('; ', " + ", ".join(
-        f"CASE WHEN {w} THEN '{n} = ' || CAST({c} AS VARCHAR) || ' {u} (limit: {limit})' END" for n, c, w, limit, u in parts) + ")"
+    texts = (f"CASE WHEN {w} THEN {shape.format(name=n, value=f'CAST({c} AS VARCHAR)', unit=u, limit=limit)} END"
+             for n, c, w, limit, u in parts)
+    return f"concat_ws('{separator}', {', '.join(texts)})"
 
 
+_REASON = _computed("'{name} = ' || {value} || ' {unit} (limit: {limit})'", "; ")
+_FACTS = _computed("'{name}|' || {value} || ' {unit}|{limit}|critical'", "; ")
 _BASE = "CASE k1 % 3 WHEN 0 THEN 'Fine' WHEN 1 THEN 'first cause' ELSE 'Sorry, could not process request' END"
 
 
 @query("merge_chat_answer", Q.on_scored(
     f"SELECT stn_code AS request_id, CASE WHEN k1 % 3 <> 2 AND k1 % 2 = 0 AND violated_params <> '' THEN 'Station label: ' || safety_label || '. Reason: ' "
-    f"|| {_reason()} || '. ' || {_BASE} ELSE {_BASE} END AS answer, CASE WHEN k1 % 3 = 2 THEN NULL WHEN k1 % 2 = 0 THEN safety_label "
-    "WHEN k1 % 3 = 0 THEN 'Safe' END AS safety_status, CASE WHEN k1 % 3 = 2 THEN 0 WHEN k1 % 2 = 0 THEN len(list_filter(string_split(violated_params, ', '), "
-    "lambda x: x <> '')) WHEN k1 % 3 = 0 THEN 1 ELSE 0 END AS n_violations, CASE WHEN k1 % 3 = 1 THEN 'first cause|second' ELSE '' END AS causes, "
+    f"|| {_REASON} || '. ' || {_BASE} ELSE {_BASE} END AS answer, CASE WHEN k1 % 3 = 2 THEN NULL WHEN k1 % 2 = 0 THEN safety_label "
+    "WHEN k1 % 3 = 0 THEN 'Safe' END AS safety_status, CASE WHEN k1 % 3 = 2 THEN '' WHEN k1 % 2 = 0 THEN "
+    f"{_FACTS} WHEN k1 % 3 = 0 THEN 'pH|9|8.5|critical' ELSE '' END AS violations, "
+    "CASE WHEN k1 % 3 = 1 THEN 'first cause|second' ELSE '' END AS causes, "
     "CASE WHEN k1 % 3 = 0 THEN 'Act now' ELSE '' END AS actions FROM latest_row", Q.LATEST_ROW))
 def merge_chat_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies with an answer, with causes only, and without JSON; half of them for a station."""
@@ -213,5 +232,6 @@ def merge_chat_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
         violation_structs().alias("violations"),
         F.when(part == 0, full).when(part == 1, thin).otherwise("no answer").alias("reply"))
     return knowledge.merge_chat_answer(rows).select(
-        "request_id", "answer", "safety_status", F.size("violations").cast("bigint").alias("n_violations"),
+        "request_id", "answer", "safety_status", F.array_join(F.transform("violations", lambda v: F.concat_ws(
+            "|", v["parameter"], v["value"], v["limit_text"], v["status"])), "; ").alias("violations"),
         F.array_join("causes", "|").alias("causes"), F.array_join("recommended_actions", "|").alias("actions"))
