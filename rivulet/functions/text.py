@@ -25,10 +25,12 @@ def collapse_ws(text: Column) -> Column:
 
 def title_case(text: Column) -> Column:
     """Upper case after every non-letter, lower case elsewhere ('R.d.24b' -> 'R.D.24B')."""
-    runs = F.regexp_extract_all(
-        F.lower(strip(F.coalesce(text, F.lit("")))), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1)
-    )
-    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
+    # initcap works on words between spaces: a marked space after every other character makes the
+    # letters behind it a word, and is taken out again. A mark that the text itself holds stays, as
+    # another mark follows it before any space.
+    lowered = F.lower(strip(F.coalesce(text, F.lit(""))))
+    marked = F.regexp_replace(lowered, r"([^\p{L}])", "$1\x01 ")
+    return F.replace(F.initcap(marked), F.lit("\x01 "), F.lit(""))
 
 
 def normalize_alpha(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.numbers import fixed_point
@@ -92,13 +92,11 @@ def histogram(
 
 
 def score_histogram(df: DataFrame, value: str = "pollution_score", bins: int = 30) -> DataFrame:
-    """Distribution of the scores in one pass.
-
-    The window without a key sees only the counts, of which there are some ten thousand at most.
-    """
-    everything = Window.partitionBy()
-    return histogram(value_counts(df, value), value, bins,
-                     F.min(value).over(everything), F.max(value).over(everything))
+    """Distribution of the scores: their counts are placed between both ends, read by a scalar subquery."""
+    counts = value_counts(df, value)
+    ends = counts.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("ends"))
+    placed = counts.withColumn("ends", ends.scalar())
+    return histogram(placed, value, bins, F.col("ends.lo"), F.col("ends.hi"))
 
 
 def score_centre(df: DataFrame, value: str = "pollution_score") -> DataFrame:
@@ -138,13 +136,16 @@ def error_histogram(metrics: DataFrame, bins: int = 20) -> DataFrame:
 def box_stats(
     df: DataFrame, key: str = "water_body_type", value: str = "pollution_score"
 ) -> DataFrame:
-    """Quartiles, whiskers (within 1.5 quartile ranges) and outlier count per group, in one pass.
+    """Quartiles, whiskers (within 1.5 quartile ranges) and outlier count per group.
 
-    The window works on the counts, some ten thousand per group at most.
+    The quartiles come from the counts of distinct values, merged by weight, and are joined back to
+    these counts. A group without a key is one of its own.
     """
     shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile(value, shares, F.col("n")).over(Window.partitionBy(key))
-    counts = value_counts(df, value, [key]).withColumn("q", q).withColumns({
+    counts = value_counts(df, value, [key])
+    quartiles = counts.groupBy(F.col(key).alias("_key")).agg(
+        F.percentile(value, shares, F.col("n")).alias("q"))
+    counts = counts.join(quartiles, F.col(key).eqNullSafe(F.col("_key"))).withColumns({
         "q1": F.col("q")[0], "median": F.col("q")[1], "q3": F.col("q")[2],
     })
     reach = (F.col("q3") - F.col("q1")) * 1.5

@@ -154,3 +154,15 @@ def test_response_list(values):
             ('{"k": null}',), ("{}",), ('{"k": []}',)]
     assert values(rows, "t string", replies.response_list(C("t"), "k")) == [
         ["a", "5", "go", "First Step: x; N: 2"], ["one"], [], [], []]
+
+
+def test_title_case_keeps_every_character(values):
+    cells = ["R.d.24b", "o'NEIL  st.\n\tnew town", "\x01 a\x01 b", "12ab-cd", "\x01", "", None]
+    assert values([(c,) for c in cells], "c string", text.title_case(C("c"))) == [
+        "R.D.24B", "O'Neil  St.\n\tNew Town", "\x01 A\x01 B", "12Ab-Cd", "\x01", "", ""]
+
+
+def test_numbers_of_an_array(values):
+    cells = [" 7 ", "\u20091e3\u2009", "1d", "NaN", "1e999", "1e-400", "-", "", None, ".5"]
+    assert values([(cells,)], "c array<string>", numbers.to_doubles(C("c"))) == [
+        [7.0, 1000.0, None, None, None, None, None, None, None, 0.5]]

@@ -326,3 +326,13 @@ def test_forecast_of_large_values(spark):
     df = spark.createDataFrame(rows, "stn_code string, year int, pollution_score double")
     found = forecast.forecast_router(df, horizon=2).collect()
     assert found and all("1" == r.stn_code for r in found)
+
+
+def test_box_stats_and_histogram_of_edge_rows(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 3.0), (None, None), ("b", 5.0)],
+                                 "water_body_type string, pollution_score double")
+    boxes = {r["water_body_type"]: (r["q1"], r["median"], r["q3"], r["outliers"]) for r in evaluate.box_stats(rows).collect()}
+    assert boxes == {"a": (1.25, 1.5, 1.75, 0), None: (3.0, 3.0, 3.0, 0), "b": (5.0, 5.0, 5.0, 0)}
+    assert [r["n"] for r in evaluate.score_histogram(rows, bins=3).orderBy("bin").collect()] == [2, 1, 1]
+    assert evaluate.box_stats(rows.limit(0)).count() == 0
+    assert {r["n"] for r in evaluate.score_histogram(rows.limit(0)).collect()} == {0}
