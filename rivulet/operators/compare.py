@@ -10,12 +10,20 @@ from rivulet.functions.scoring import change_direction, limit_status
 from rivulet.operators.latest import latest_row, latest_row_or_year
 
 PARAMETERS = [p for p, *_ in R.COMPARE_PARAMETERS]
+# What a side tells about its station besides the parameters.
+CONTEXT = ["monitoring_location", "water_body_type", "safety_label", "pollution_score"]
 
 
 def _rounded(side: str, parameter: str) -> Column:
     return F.round(F.col(f"{side}.{parameter}"), 3)
 
 
+def _told(side: str, column: str) -> Column:
+    if column == "pollution_score":
+        return _rounded(side, column)
+    return F.nullif(F.trim(f"{side}.{column}"), F.lit(""))
+
+
 def _entries(with_change: bool) -> Column:
     entries = []
     for parameter, label, unit, limit in R.COMPARE_PARAMETERS:
@@ -38,23 +46,28 @@ def compare_stations(df: DataFrame, pairs: DataFrame, year: int | None = None) -
     """Latest rows of station pairs side by side, one row per pair and parameter.
 
     ``pairs`` has station_a and station_b. With a year, its row is taken where the station has
-    one. The winner has the lower score; a tie goes to A.
+    one. The winner has the lower score; a tie goes to A. A pair with an unknown station keeps its
+    rows: that side is NULL (year_a or year_b tells which) and there is no winner.
     """
     narrow = df.select(*[c for c in df.columns if c in (
-        "stn_code", "sampled_at", "k1", "k2", "k3", "year", *PARAMETERS)])
+        "stn_code", "sampled_at", "k1", "k2", "k3", "year", *PARAMETERS, *CONTEXT)])
     rows = latest_row(narrow) if year is None else latest_row_or_year(narrow, year)
-    state = rows.select("stn_code", F.struct("year", *PARAMETERS).alias("row"))
+    told = [c for c in CONTEXT if c in rows.columns]
+    state = rows.select(
+        "stn_code", F.struct("year", *PARAMETERS, *[c for c in told if c not in PARAMETERS]).alias("row"))
     sides = pairs.select("station_a", "station_b").distinct()
     for side in ("a", "b"):
         sides = sides.join(
             state.select(F.col("stn_code").alias(f"station_{side}"), F.col("row").alias(side)),
-            f"station_{side}",
+            f"station_{side}", "left",
         )
     a, b = _rounded("a", "pollution_score"), _rounded("b", "pollution_score")
     b_wins = b.isNotNull() & (a.isNull() | (b < a))
     return sides.select(
         "station_a", "station_b", F.col("a.year").alias("year_a"), F.col("b.year").alias("year_b"),
-        F.when(b_wins, F.col("station_b")).otherwise(F.col("station_a")).alias("winner"),
+        F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(None))
+        .when(b_wins, F.col("station_b")).otherwise(F.col("station_a")).alias("winner"),
+        *[_told(side, c).alias(f"{side}_{c}") for side in ("a", "b") for c in told],
         _entries(with_change=False),
     )
 

@@ -199,11 +199,19 @@ def top_forecast_errors(metrics: DataFrame, k: int = 10) -> DataFrame:
     return metrics.orderBy(F.desc("mae"), "stn_code").limit(k)
 
 
+def with_station_names(result: DataFrame, names: DataFrame) -> DataFrame:
+    """Adds station_name to a result per station; ``names`` has one row per stn_code.
+
+    Names join the finished result, so they never travel with the samples.
+    """
+    return result.join(names.select("stn_code", "station_name"), "stn_code", "left")
+
+
 def history_forecast_merge(history: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Observed and predicted years of each station under each other."""
+    """Observed and predicted years of each station under each other, sorted by station and year."""
     past = history.select("stn_code", "year", F.col("avg_score").alias("historical"))
     coming = forecast.select(
         "stn_code", text_to_year(F.col("ds")).alias("year"), F.col("yhat").alias("predicted"),
         F.col("yhat_lower").alias("lower"), F.col("yhat_upper").alias("upper"),
     )
-    return past.unionByName(coming, allowMissingColumns=True)
+    return past.unionByName(coming, allowMissingColumns=True).orderBy("stn_code", "year")

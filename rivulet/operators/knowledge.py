@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet.functions import replies as M
 from rivulet.functions.violations import violation_structs
-from rivulet.functions.text import strip
+from rivulet.functions.text import split_list, strip
+from rivulet.sources.caches import source_replace_upsert
 
 WHITE = r"[\s\p{Z}]+"
 CHUNK_SIZE = 500
@@ -118,42 +119,81 @@ def chunk_ids(chunks: DataFrame, source: str = "source") -> DataFrame:
 
 # ---- nearest chunks --------------------------------------------------------
 
-# Largest number of query vectors sent to the tasks at once.
-QUERY_BLOCK = 1024
+# Vectors of one block of chunks and of one block of queries.
+CHUNK_BLOCK, QUERY_BLOCK = 4096, 1024
+# Queries whose nearest chunks a task holds before it hands them on.
+HELD_QUERIES = 1 << 16
 
 
-def _block_topk(
-    chunks: DataFrame, block: list, k: int, chunk_id: str, vector: str, id_type: str,
-    query_type: str,
-) -> DataFrame:
-    ids = [row[0] for row in block]
-    queries = np.array([row[1] for row in block], dtype=np.float64)
+def _blocks(df: DataFrame, id_column: str, vector: str, size: int, name: str) -> DataFrame:
+    """Vectors packed where they are into blocks: ids, and all components in a row."""
+    kind = df.schema[id_column].dataType.simpleString()
 
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: list[pd.DataFrame | None] = [None] * len(ids)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.empty:
-                continue
-            vectors = np.stack(batch[vector].to_numpy()).astype(np.float64)
-            numbers = batch[chunk_id].to_numpy()
-            for i, query in enumerate(queries):
-                gap = vectors - query
-                distance = np.einsum("ij,ij->i", gap, gap)
-                if len(distance) > k:
-                    # Only rows up to the k-th distance, ties included, need sorting.
-                    near = distance <= np.partition(distance, k - 1)[k - 1]
-                    found = pd.DataFrame({"chunk_id": numbers[near], "distance": distance[near]})
-                else:
-                    found = pd.DataFrame({"chunk_id": numbers, "distance": distance})
-                merged = found if best[i] is None else pd.concat([best[i], found])
-                best[i] = merged.sort_values(["distance", "chunk_id"]).head(k)
-        for i, rows in enumerate(best):
-            if rows is not None:
-                yield rows.assign(query_id=ids[i])[["query_id", "chunk_id", "distance"]]
-
-    return chunks.select(chunk_id, vector).dropna().mapInPandas(
-        nearest, f"query_id {query_type}, chunk_id {id_type}, distance double"
-    )
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                flat = part.column(1).flatten()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+                     for v in (part.column(0), flat)], [f"{name}_ids", f"{name}_flat"])
+
+    known = F.forall("v", lambda x: x.isNotNull()) & (F.size("v") > 0)
+    return df.select(
+        F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("v")
+    ).dropna().filter(known).mapInArrow(pack, f"{name}_ids array<{kind}>, {name}_flat array<double>")
+
+
+def _nearest(k: int):
+    """Keeps the k nearest chunks of each query over the pairs of blocks that a task sees."""
+    def matrix(batch: pa.RecordBatch, name: str, i: int) -> tuple[np.ndarray, np.ndarray]:
+        ids = batch.column(f"{name}_ids")[i].values.to_numpy(zero_copy_only=False)
+        flat = batch.column(f"{name}_flat")[i].values.to_numpy(zero_copy_only=False)
+        return ids, flat.reshape(len(ids), -1)
+
+    def near(chunks: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """True for chunks that may be among the k nearest: up to the k-th distance of a matrix product."""
+        sizes = np.einsum("ij,ij->i", chunks, chunks), np.einsum("ij,ij->i", queries, queries)
+        rough = sizes[1][:, None] + sizes[0] - 2 * queries @ chunks.T
+        # Far above the rounding error of the product, so no chunk is lost to it.
+        slack = 1e-9 * (sizes[0].max() + sizes[1])
+        if len(chunks) <= k:
+            return np.ones_like(rough, dtype=bool)
+        return rough <= (np.partition(rough, k - 1, axis=1)[:, k - 1] + slack)[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict = {}
+
+        def drain() -> pa.RecordBatch:
+            sizes = [len(d) for d, _ in best.values()]
+            out = pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(np.array(list(best), dtype=object), sizes).tolist(), query_type),
+                pa.array(np.concatenate([c for _, c in best.values()]).tolist(), chunk_type),
+                pa.array(np.concatenate([d for d, _ in best.values()]))],
+                ["query_id", "chunk_id", "distance"])
+            best.clear()
+            return out
+
+        query_type = chunk_type = None
+        for batch in batches:
+            query_type = batch.schema.field("q_ids").type.value_type
+            chunk_type = batch.schema.field("c_ids").type.value_type
+            for i in range(batch.num_rows):
+                (numbers, chunks), (asked, queries) = matrix(batch, "c", i), matrix(batch, "q", i)
+                for query_id, query, some in zip(asked.tolist(), queries, near(chunks, queries)):
+                    gap = chunks[some] - query
+                    distance, found = np.einsum("ij,ij->i", gap, gap), numbers[some]
+                    if query_id in best:
+                        distance = np.concatenate([best[query_id][0], distance])
+                        found = np.concatenate([best[query_id][1], found])
+                    order = np.lexsort((found, distance))[:k]
+                    best[query_id] = distance[order], found[order]
+                if len(best) >= HELD_QUERIES:
+                    yield drain()
+        if best:
+            yield drain()
+
+    return run
 
 
 def knn_topk(
@@ -162,34 +202,41 @@ def knn_topk(
 ) -> DataFrame:
     """The k nearest chunks of every query by squared distance, exact; ties go to the lower id.
 
-    The chunk table is scanned in place and never shuffled: a task keeps the k best chunks per
-    query and only those are exchanged. Query vectors are sent to the tasks in blocks of at most
-    ``block_size``, so what is shipped stays bounded; more queries mean more scans.
+    Chunks and queries are packed into blocks by the tasks that read them. Every block of queries
+    goes to each of as many buckets as there are shuffle partitions, every block of chunks to one,
+    and blocks meet by bucket. Spark may broadcast the query side while it is under its size
+    threshold; then the chunks are scanned in place. A task holds one pair of blocks and the k
+    best of its queries. Rows without id and vectors that are null, empty or hold nulls take no part.
     """
-    id_type = chunks.schema[chunk_id].dataType.simpleString()
-    query_type = queries.schema[query_id].dataType.simpleString()
-    empty = chunks.sparkSession.createDataFrame(
-        [], f"query_id {query_type}, chunk_id {id_type}, distance double, rank int")
+    spark = chunks.sparkSession
+    types = (f"query_id {queries.schema[query_id].dataType.simpleString()}, "
+             f"chunk_id {chunks.schema[chunk_id].dataType.simpleString()}, distance double")
     if k <= 0:
-        return empty
-    found, block = None, []
-
-    def add(done: DataFrame | None, rows: list) -> DataFrame:
-        part = _block_topk(chunks, rows, k, chunk_id, vector, id_type, query_type)
-        return part if done is None else done.unionByName(part)
-
-    for row in queries.select(query_id, vector).dropna().toLocalIterator():
-        block.append((row[0], row[1]))
-        if len(block) == block_size:
-            found, block = add(found, block), []
-    if block:
-        found = add(found, block)
-    if found is None:
-        return empty
+        return spark.createDataFrame([], types + ", rank int")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = _blocks(chunks, chunk_id, vector, CHUNK_BLOCK, "c").withColumn(
+        "bucket", F.pmod(F.xxhash64("c_ids"), F.lit(buckets)))
+    asked = _blocks(queries, query_id, vector, block_size, "q").withColumn(
+        "bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
+    found = held.join(asked, "bucket").drop("bucket").mapInArrow(_nearest(k), types)
     nearest = Window.partitionBy("query_id").orderBy("distance", "chunk_id")
     return found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
 
 
+def ingest_pages(
+    store: DataFrame, pages: DataFrame, page: str, text: str = "text", source: str = "source",
+    size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+) -> DataFrame:
+    """The chunk store after the pages of some sources were read again.
+
+    Pages become chunks with ids, and all stored chunks of these sources give way to them. A source
+    whose pages hold no words keeps what is stored. Returns source, chunk_index, document, id.
+    """
+    new = chunk_ids(chunk_pages(pages, source, page, text, size, overlap), source)
+    columns = [source, "chunk_index", "document", "id"]
+    return source_replace_upsert(store.select(*columns), new.select(*columns), source)
+
+
 # ---- prompts ---------------------------------------------------------------
 
 def retrieval_query_text(params: Column, water_body_type: Column, station: Column) -> Column:
@@ -312,9 +359,13 @@ def insight_prompt_table(requests: DataFrame) -> DataFrame:
     )
 
 
-def suggest_questions(df: DataFrame, key: str = "stn_code") -> DataFrame:
+def suggest_questions(
+    df: DataFrame, key: str = "stn_code", given: str | None = None
+) -> DataFrame:
     """Up to three suggested questions per station, in order.
 
+    ``given`` names a column with the violations of the request (array); where it is not NULL it
+    replaces those of the row, also when it is empty.
     Two 'why' and two 'what to do' questions for the first two violations, else three general
     ones. A violation's value is quoted where its label is part of a computed violation's name.
     """
@@ -350,6 +401,8 @@ def suggest_questions(df: DataFrame, key: str = "stn_code") -> DataFrame:
     items = F.filter(
         F.transform(F.split(F.coalesce("violated_params", F.lit("")), ","), lambda p: strip(p)),
         lambda p: p != "")
+    if given is not None:
+        items = F.coalesce(F.col(given), items)
     named = df.withColumn("_params", F.slice(items, 1, 2)).withColumn("_computed", computed)
     chosen = F.when(F.size("_params") == 0, general).otherwise(
         F.slice(F.array_distinct(F.concat(
@@ -364,8 +417,13 @@ def merge_chat_answer(replies: DataFrame) -> DataFrame:
     Input: request_id, reply, has_station, safety_label and violations (array of parameter, value,
     limit_text, status). With a station the computed label and violations replace the model's
     and the reason opens the answer. Otherwise well-formed violations of the reply are kept.
-    A reply without JSON gives the fallback answer.
+    A reply without JSON gives the fallback answer. What the request knew stays beside the answer:
+    station_name, violated_params (text, returned as array), context_count as sources_used and
+    has_station as has_station_context; where a column is absent the field is NULL, empty or 0.
     """
+    def known(column: str, default: Column) -> Column:
+        return F.coalesce(F.col(column), default) if column in replies.columns else default
+
     parsed = replies.withColumn("_json", M.json_object(F.col("reply")))
     cause_field = F.get_json_object("_json", "$.causes")
     causes = F.when(F.startswith(cause_field, F.lit("[")), F.from_json(cause_field, "array<string>")
@@ -400,4 +458,8 @@ def merge_chat_answer(replies: DataFrame) -> DataFrame:
         .otherwise(F.coalesce(own, nothing)).alias("violations"),
         *[F.when(failed, empty).otherwise(M.response_list(F.col("_json"), c)).alias(c)
           for c in ("causes", "health_risks", "recommended_actions")],
+        known("context_count", F.lit(0)).cast("bigint").alias("sources_used"),
+        F.nullif(strip(known("station_name", F.lit(None).cast("string"))), F.lit("")).alias("station_name"),
+        split_list(known("violated_params", F.lit(""))).alias("violated_params"),
+        F.coalesce("has_station", F.lit(False)).alias("has_station_context"),
     )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.geo import geocode_candidates, geocode_simplify
-from rivulet.operators.shaping import not_null
 
 KEYS = ["monitoring_location", "state"]
 
@@ -27,21 +26,26 @@ def join_geocode_cache(df: DataFrame, cache: DataFrame) -> DataFrame:
     )
 
 
-def candidate_queries(locations: DataFrame) -> DataFrame:
-    """Search texts of each location with their rank, best first."""
+def candidate_queries(locations: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Search texts of each location with their rank, best first.
+
+    A location that gives no text has no row, or with ``keep_empty`` one without rank and text.
+    """
+    every = F.posexplode_outer if keep_empty else F.posexplode
     named = locations.withColumn("_simple", geocode_simplify(F.col("monitoring_location")))
     texts = geocode_candidates(F.col("monitoring_location"), F.col("state"), F.col("_simple"))
-    return named.select(*KEYS, F.posexplode(texts).alias("rank", "query"))
+    return named.select(*KEYS, every(texts).alias("rank", "query"))
 
 
 def join_gazetteer_ranked(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Cache entries for new locations: the first search text the gazetteer knows.
 
     ``gazetteer`` has one row per query with lat and lng. A location without a hit keeps its first
-    search text and success = false, so that it is not looked up again.
+    search text and success = false, so that it is not looked up again. So does a location without
+    name or state, whose missing part is the empty text.
     """
-    distinct = not_null(locations.select(*KEYS), *KEYS).distinct()
-    tried = candidate_queries(distinct).join(gazetteer, "query", "left")
+    distinct = locations.select(*[F.coalesce(k, F.lit("")).alias(k) for k in KEYS]).distinct()
+    tried = candidate_queries(distinct, keep_empty=True).join(gazetteer, "query", "left")
     hit = F.min(F.when(F.col("lat").isNotNull(), F.struct("rank", "query", "lat", "lng")))
     first = F.min(F.struct("rank", "query"))
     return tried.groupBy(*KEYS).agg(hit.alias("hit"), first.alias("first")).select(
@@ -52,4 +56,5 @@ def join_gazetteer_ranked(locations: DataFrame, gazetteer: DataFrame) -> DataFra
 
 
 def failed_locations(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col("geocoded")).select("stn_code", "monitoring_location")
+    """Stations, each once, that no position was found for."""
+    return df.filter(~F.col("geocoded")).select("stn_code", "monitoring_location").distinct()

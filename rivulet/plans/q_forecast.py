@@ -115,9 +115,19 @@ def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.forecast_backtest(scored(spark, sf_dir), 2000)
 
 
-@query("forecast_backtest", Q.on_scored("SELECT * FROM errors", *_BACKTEST))
+_NAMED = """named AS (SELECT e.*, p_name || ' ' || stn_code AS station_name FROM errors e
+  LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = stn_code)"""
+
+
+def station_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select(
+        code.alias("stn_code"), F.concat("p_name", F.lit(" "), code).alias("station_name"))
+
+
+@query("forecast_backtest", Q.on_scored("SELECT * FROM named", *_BACKTEST, _NAMED))
 def forecast_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backtest(spark, sf_dir)
+    return forecast.with_station_names(backtest(spark, sf_dir), station_names(spark, sf_dir))
 
 
 @query("backtest_means", Q.on_scored(
@@ -127,9 +137,10 @@ def backtest_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.backtest_means(backtest(spark, sf_dir))
 
 
-@query("top_forecast_errors", Q.on_scored("SELECT * FROM errors ORDER BY mae DESC, stn_code LIMIT 10", *_BACKTEST))
+@query("top_forecast_errors", Q.on_scored("SELECT * FROM named ORDER BY mae DESC, stn_code LIMIT 10", *_BACKTEST, _NAMED))
 def top_forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.top_forecast_errors(backtest(spark, sf_dir))
+    worst = forecast.top_forecast_errors(backtest(spark, sf_dir))
+    return forecast.with_station_names(worst, station_names(spark, sf_dir))
 
 
 @query("error_histogram", Q.on_scored(" UNION ALL ".join(

@@ -61,6 +61,15 @@ def join_gazetteer_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return locate.join_gazetteer_ranked(named, gazetteer(spark, sf_dir))
 
 
+@query("failed_locations", Q.on_samples(
+    "SELECT DISTINCT stn_code, monitoring_location FROM samples LEFT JOIN cache USING (monitoring_location, state) "
+    "WHERE NOT coalesce(success, FALSE)", CACHE_SQL))
+def failed_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations of all samples for which the cache has no position."""
+    rows = samples(spark, sf_dir).select("stn_code", "monitoring_location", "state").distinct()
+    return locate.failed_locations(locate.join_geocode_cache(rows, geocode_cache(spark, sf_dir)))
+
+
 @query("anti_uncached", Q.on_samples(
     "SELECT DISTINCT monitoring_location, state FROM samples s WHERE NOT EXISTS (SELECT 1 FROM cache c "
     "WHERE c.monitoring_location = s.monitoring_location AND c.state = s.state)", CACHE_SQL))
@@ -132,18 +141,23 @@ def _status(p: str, value: str, limit) -> str:
     return f"CASE WHEN {value} {'<' if p == 'do_avg' else '>'} {limit} THEN 'violation' ELSE 'ok' END"
 
 
+_CONTEXT = ", ".join(
+    f"{s}.monitoring_location AS {s}_monitoring_location, {s}.water_body_type AS {s}_water_body_type, "
+    f"{s}.safety_label AS {s}_safety_label, {_side(s, 'pollution_score')} AS {s}_pollution_score" for s in ("a", "b"))
+
+
 def _compare_sql(p: str, label: str, unit: str, limit) -> str:
-    return (f"SELECT station_a, station_b, a.year AS year_a, b.year AS year_b, CASE WHEN {_side('b', 'pollution_score')} IS NOT NULL AND "
+    return (f"SELECT station_a, station_b, a.year AS year_a, b.year AS year_b, CASE WHEN a.stn_code IS NOT NULL AND {_side('b', 'pollution_score')} IS NOT NULL AND "
             f"({_side('a', 'pollution_score')} IS NULL OR {_side('b', 'pollution_score')} < {_side('a', 'pollution_score')}) THEN station_b "
-            f"ELSE station_a END AS winner, '{p}' AS parameter, '{label}' AS label, '{unit}' AS unit, {_side('a', p)} AS a_value, "
+            f"WHEN a.stn_code IS NOT NULL AND b.stn_code IS NOT NULL THEN station_a END AS winner, {_CONTEXT}, '{p}' AS parameter, '{label}' AS label, '{unit}' AS unit, {_side('a', p)} AS a_value, "
             f"{_side('b', p)} AS b_value, CAST({'NULL' if limit is None else limit} AS DOUBLE) AS limit_value, "
             f"{_status(p, _side('a', p), limit)} AS a_status, {_status(p, _side('b', p), limit)} AS b_status "
-            "FROM pairs JOIN latest_row a ON a.stn_code = station_a JOIN latest_row b ON b.stn_code = station_b")
+            "FROM pairs LEFT JOIN latest_row a ON a.stn_code = station_a LEFT JOIN latest_row b ON b.stn_code = station_b")
 
 
 @query("compare_stations", Q.on_scored(" UNION ALL ".join(_compare_sql(*p) for p in R.COMPARE_PARAMETERS), Q.LATEST_ROW, _PAIRS))
 def compare_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare.compare_stations(score.score_10(samples(spark, sf_dir, names=False, states=False)), pairs(spark, sf_dir))
+    return compare.compare_stations(score.scored(samples(spark, sf_dir, states=False)), pairs(spark, sf_dir))
 
 
 def _change(p: str) -> str:

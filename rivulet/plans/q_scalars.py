@@ -257,12 +257,12 @@ def detect_water_body(spark: SparkSession, sf_dir: str) -> DataFrame:
         D.detect_water_body(F.col("source"), F.col("text"), F.col("layout")).alias("water_body_type"))
 
 
-_ROW_STATES = f"""row_cells AS (SELECT {_ROW}, unnest(cells) AS cell, generate_subscripts(cells, 1) AS i FROM page_rows),
+ROW_STATES = f"""row_cells AS (SELECT {_ROW}, unnest(cells) AS cell, generate_subscripts(cells, 1) AS i FROM page_rows),
 row_states AS (SELECT {_ROW}, arg_min(s.state, i) AS state FROM row_cells r JOIN cell_states s USING (cell) GROUP BY ALL)"""
 
 
 @query("detect_state", Q.on_pages(f"SELECT p.k1, p.k2, p.k3, p.k4, s.state FROM page_rows p "
-       f"LEFT JOIN row_states s USING ({_ROW})", Q.CELL_STATES, _ROW_STATES))
+       f"LEFT JOIN row_states s USING ({_ROW})", Q.CELL_STATES, ROW_STATES))
 def detect_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.with_state(page_rows(spark, sf_dir)).select(*ROW, "state")
 
@@ -280,7 +280,7 @@ def _parameter_sql(name: str) -> str:
             f"ELSE {pair(S.RIVER_PARAMETERS, True)} END AS DOUBLE) AS {name}")
 
 
-_EXTRACTED = f"""data_rows AS (SELECT p.*, s.state, {Q.layout()} AS layout,
+EXTRACTED = f"""data_rows AS (SELECT p.*, s.state, {Q.layout()} AS layout,
   list_filter(p.cells, lambda x: x IS NOT NULL) AS c FROM page_rows p LEFT JOIN row_states s USING ({_ROW})
   WHERE NOT {Q.is_heading('p.cells')}),
 typed AS (SELECT *, {Q.body_type('path', 'page_text', 'layout')} AS body,
@@ -294,7 +294,7 @@ extracted AS (SELECT {_ROW}, trim(c[1]) AS stn_code, trim(regexp_replace(c[2], '
 
 @query("parse_rows_by_schema", Q.on_pages(
     f"SELECT {_ROW}, stn_code, monitoring_location, water_body_type, {', '.join(S.ALL_PARAMETERS)} FROM extracted",
-    Q.CELL_STATES, _ROW_STATES, _EXTRACTED))
+    Q.CELL_STATES, ROW_STATES, EXTRACTED))
 def parse_rows_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = extract.with_layout(extract.skip_header_rows(page_rows(spark, sf_dir)))
     return extract.parse_rows_by_schema(extract.compact_cells(rows)).select(
@@ -303,7 +303,7 @@ def parse_rows_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("extract_samples", Q.on_pages(
     f"SELECT {', '.join(S.EXTRACTED_COLUMNS)}, {_ROW} FROM extracted WHERE state IS NOT NULL AND monitoring_location <> '' "
-    "AND (ph_avg IS NULL OR ph_avg <= 14)", Q.CELL_STATES, _ROW_STATES, _EXTRACTED))
+    "AND (ph_avg IS NULL OR ph_avg <= 14)", Q.CELL_STATES, ROW_STATES, EXTRACTED))
 def extract_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_samples(page_rows(spark, sf_dir), keep=ROW)
 

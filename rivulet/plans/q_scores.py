@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet.functions import scoring
-from rivulet.operators import explain, locate, score, stats
+from rivulet.operators import batch, explain, score, stats
 from rivulet.plans import ctes as Q
-from rivulet.plans.q_sources import CACHE_SQL, geocode_cache
+from rivulet.plans.q_scalars import EXTRACTED, ROW_STATES
 from rivulet.plans.registry import query
-from rivulet.sources.tables import samples
+from rivulet.sources.tables import page_rows, samples, table
 
 KEY = ["stn_code", "k1", "k2", "k3"]
 _KEY = ", ".join(KEY)
@@ -147,43 +147,75 @@ def _json(position: int) -> str:
             "lambda t: '\"' || t || '\"'), ','), '') || ']'")
 
 
+_MEASURES = ("CASE WHEN safety_label = 'Unsafe' AND water_body_type <> 'Canal' THEN '[\"Treat ' || violated_params || "
+             "'\",\"Monitor ' || water_body_type || '\"]' ELSE '[]' END")
+
+
 @query("enrich_samples", Q.on_scored(
     f"SELECT {_KEY}, pollution_score, safety_label, violated_params, {_json(0)} AS causes, {_json(1)} AS impacts, "
-    "'[]' AS measures FROM scored"))
+    f"{_MEASURES} AS measures FROM scored"))
 def enrich_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With insights for every violation list but those of canals."""
     rows = samples(spark, sf_dir, names=False, states=False)
-    return explain.enrich_samples(rows).select(
+    combos = stats.unsafe_combos(score.classify_class_a(rows)).filter(F.col("water_body_type") != "Canal")
+    insights = combos.withColumn("recommended_measures", F.array(
+        F.concat(F.lit("Treat "), "violated_params"), F.concat(F.lit("Monitor "), "water_body_type")))
+    return explain.enrich_samples(rows, insights).select(
         *KEY, "pollution_score", "safety_label", "violated_params", "causes", "impacts", "measures")
 
 
-_BATCH = f"""batch AS (SELECT s.* EXCLUDE (latitude, longitude), c.lat AS latitude, c.lng AS longitude,
-  coalesce(c.success, FALSE) AS geocoded FROM scored s LEFT JOIN cache c
-  ON lower(s.monitoring_location) = lower(c.monitoring_location) AND s.state = c.state WHERE s.year = 1999)"""
+# Positions of the sites on report pages, in three states each.
+_SITES = """sites AS (SELECT 'Site ' || CAST(p_partkey AS VARCHAR) AS monitoring_location, unnest(['KARNATAKA', 'KERALA', 'TAMIL NADU']) AS state,
+  CASE WHEN p_size % 4 = 0 THEN NULL ELSE 8 + (p_partkey % 290) * 0.1::DOUBLE END AS lat,
+  CASE WHEN p_size % 4 = 0 THEN NULL ELSE 68 + (p_partkey % 290) * 0.1::DOUBLE END AS lng FROM part)"""
+_ACCEPTED = """regexp_full_match(lower(file_name), replace('(?:wquality_river-data-Y|water_quality_data_of_med_min_river_Y|\
+water_creek_marine_seawater_beach_Y|water_quality_canals_Y|water_quality_drains_stps_wtps_Y|water_pond_tanks_Y|nwmp_data_Y)\\.pdf',
+'Y', CAST(year AS VARCHAR)))"""
+_PAGE_SAMPLES = "samples AS (SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN {c} > {cap} THEN {cap}::DOUBLE ELSE {c} END AS {c}" for c, cap in R.OUTLIER_CAPS.items()) + ") FROM extracted WHERE accepted AND state IS NOT NULL AND monitoring_location <> '' AND (ph_avg IS NULL OR ph_avg <= 14))"
+_BATCH = f"""batch AS (SELECT s.* REPLACE ({Q.rnd('pollution_score', 2)} AS pollution_score), lat AS latitude, lng AS longitude
+  FROM scored s LEFT JOIN sites USING (monitoring_location, state))"""
+
+
+def _on_batch(body: str) -> str:
+    """SQL over the extracted samples of accepted files, scored and located."""
+    with_names = EXTRACTED.replace("FROM sliced)", f", {_ACCEPTED} AS accepted FROM sliced)")
+    return Q.on_pages(body, Q.CELL_STATES, ROW_STATES, with_names, _PAGE_SAMPLES, Q.SCORED, _SITES, _BATCH)
 
 
-def batch(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    """Extracted samples of a year cleaned, located and scored again by Class-A limits."""
-    rows = samples(spark, sf_dir).drop("latitude", "longitude").filter(F.col("year") == year)
-    cache = geocode_cache(spark, sf_dir).withColumn(
-        "monitoring_location", F.initcap("monitoring_location"))
-    located = locate.join_geocode_cache(score.clean_samples(rows), cache)
-    return score.scored(located).withColumn("pollution_score", F.round("pollution_score", 2))
+def site_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cache of the sites on report pages over ``part``, a quarter of them without a hit."""
+    hit = F.col("p_size") % 4 != 0
+    step = (F.col("p_partkey") % 290) * 0.1
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("Site "), F.col("p_partkey").cast("string")).alias("monitoring_location"),
+        F.explode(F.array(*[F.lit(s) for s in ("KARNATAKA", "KERALA", "TAMIL NADU")])).alias("state"),
+        F.when(hit, 8 + step).alias("lat"), F.when(hit, 68 + step).alias("lng"),
+        F.col("p_type").alias("query"), hit.alias("success"))
 
 
-@query("batch_predict", Q.on_scored(
-    f"SELECT stn_code, lower(monitoring_location) AS monitoring_location, water_body_type, year, safety_label, "
-    f"{Q.rnd('pollution_score', 2)} AS pollution_score, violated_params, do_avg, ph_avg, bod_avg, nitrate_avg, "
-    "fecal_coliform_avg, latitude, longitude FROM batch", CACHE_SQL, _BATCH))
+def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.predict_batch(page_rows(spark, sf_dir), site_positions(spark, sf_dir))
+
+
+@query("batch_predict", _on_batch(
+    "SELECT stn_code, monitoring_location, water_body_type, state, year, safety_label, pollution_score, violated_params, "
+    "do_avg, ph_avg, bod_avg, nitrate_avg, fecal_coliform_avg, latitude, longitude FROM batch"))
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch(spark, sf_dir, 1999).withColumn(
-        "monitoring_location", F.lower("monitoring_location")).select(
-        "stn_code", "monitoring_location", "water_body_type", "year", "safety_label", "pollution_score",
+    """Page rows of all years, from the check of the file names to the scored, located samples."""
+    return predicted(spark, sf_dir).select(
+        "stn_code", "monitoring_location", "water_body_type", "state", "year", "safety_label", "pollution_score",
         "violated_params", "do_avg", "ph_avg", "bod_avg", "nitrate_avg", "fecal_coliform_avg", "latitude", "longitude")
 
 
-@query("batch_summary", Q.on_scored(
+@query("batch_summary", _on_batch(
     "SELECT count(*) AS total_rows, count(*) FILTER (WHERE safety_label = 'Safe') AS safe_count, "
     "count(*) FILTER (WHERE safety_label = 'Unsafe') AS unsafe_count, "
-    "count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS geocoded_count FROM batch", CACHE_SQL, _BATCH))
+    "count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS geocoded_count FROM batch"))
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.batch_summary(batch(spark, sf_dir, 1999))
+    return stats.batch_summary(predicted(spark, sf_dir))
+
+
+@query("batch_rejects", Q.on_pages(f"SELECT DISTINCT file_name, year FROM page_rows WHERE NOT {_ACCEPTED}"))
+def batch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.rejected_files(page_rows(spark, sf_dir))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet.functions import scoring
-from rivulet.operators import evaluate, latest, score, stats
+from rivulet.operators import evaluate, latest, locate, score, stats
 from rivulet.plans import ctes as Q
+from rivulet.plans.q_sources import CACHE_SQL, geocode_cache
 from rivulet.plans.registry import query
 from rivulet.sources.tables import samples, table
 
@@ -232,11 +233,12 @@ def extraction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.extraction_report(samples(spark, sf_dir, names=False))
 
 
-@query("geocode_report", """SELECT count(*) AS total, count(*) FILTER (WHERE g) AS success, count(*) FILTER (WHERE NOT g) AS failed,
-  round(count(*) FILTER (WHERE g) * 100.0 / count(*), 1)::DOUBLE AS success_percentage FROM (SELECT p_size % 4 <> 0 AS g FROM part)""")
+@query("geocode_report", Q.on_samples("""SELECT count(*) AS total, count(*) FILTER (WHERE g) AS success, count(*) FILTER (WHERE NOT g) AS failed,
+  round(count(*) FILTER (WHERE g) * 100.0 / count(*), 1)::DOUBLE AS success_percentage FROM (SELECT coalesce(success, FALSE) AS g
+  FROM samples LEFT JOIN cache USING (monitoring_location, state))""", CACHE_SQL))
 def geocode_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.geocode_report(table(spark, sf_dir, "part").select(
-        (F.col("p_size") % 4 != 0).alias("geocoded")))
+    """All samples, located by the cache."""
+    return stats.geocode_report(locate.join_geocode_cache(samples(spark, sf_dir), geocode_cache(spark, sf_dir)))
 
 
 @query("manifest_counts", Q.on_samples(

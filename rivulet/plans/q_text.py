@@ -54,6 +54,25 @@ def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knowledge.chunk_ids(chunks).select("source", "doc_id", "chunk_index", "id")
 
 
+_SPOKEN = ("spoken AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations WHERE role = 'assistant' "
+           "GROUP BY conv_id)")
+
+
+def _stored(source: str, size: int, overlap: int) -> str:
+    return ("SELECT CAST(conv_id AS VARCHAR) AS source, chunk_index, document, substr(sha1(CAST(conv_id AS VARCHAR)), 1, 12) || '_' "
+            f"|| CAST(chunk_index AS VARCHAR) AS id FROM ({chunks_sql(source, 'conv_id', size, overlap)})")
+
+
+@query("ingest_pages", Q.wrap(
+    "SELECT * FROM old WHERE source NOT IN (SELECT source FROM fresh) UNION ALL SELECT * FROM fresh",
+    _JOINED, _SPOKEN, f"old AS ({_stored('joined', 60, 10)})", f"fresh AS ({_stored('spoken', 40, 5)})"))
+def ingest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole conversations are stored; those with an assistant are read again from its turns alone."""
+    turns = table(spark, sf_dir, "conversations").withColumn("source", F.col("conv_id").cast("string"))
+    old = knowledge.chunk_ids(knowledge.chunk_pages(turns, "source", "turn", size=60, overlap=10))
+    return knowledge.ingest_pages(old, turns.filter(F.col("role") == "assistant"), "turn", size=40, overlap=5)
+
+
 _HITS = """queries AS (SELECT label AS query_id, arg_min(embedding, vec_id) AS q FROM embeddings GROUP BY label),
 hits AS (SELECT query_id, vec_id AS chunk_id, distance, CAST(rank AS INT) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM (
@@ -177,13 +196,15 @@ def insight_prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _VALUES = [("pH", "ph_avg", "mg/L"), ("BOD", "bod_avg", "mg/L"), ("Nitrate", "nitrate_avg", "mg/L"), ("Fecal Coliform", "fecal_coliform_avg", "MPN/100ml")]
-_WHY = ("CASE p " + " ".join(
+_HIT = "contains(', ' || violated_params || ',', ', ' || p || ',') AND p <> 'DO'"
+_WHY = (f"CASE CASE WHEN {_HIT} THEN p END " + " ".join(
     f"WHEN '{n}' THEN 'Why is {n} high at ' || monitoring_location || ' (current: ' || CAST({c} AS VARCHAR) || ' {u})?'" for n, c, u in _VALUES)
     + " ELSE 'Why is ' || p || ' elevated at ' || monitoring_location || '?' END")
-_WHY_REASON = "CASE WHEN p = 'DO' THEN 'Detected potential issue: ' || p ELSE 'Detected violation: ' || p END"
+_WHY_REASON = f"CASE WHEN {_HIT} THEN 'Detected violation: ' ELSE 'Detected potential issue: ' END || p"
 _GENERAL = "[" + ", ".join(f"{{'text': {Q.text(t)}, 'reason': {Q.text(r)}}}" for t, r in R.SUGGESTIONS_WITHOUT_VIOLATIONS) + "]"
-_SUGGEST = f"""asked AS (SELECT *, string_split(violated_params, ', ')[:2] AS ps FROM latest_row),
-chosen AS (SELECT stn_code, CASE WHEN violated_params = '' THEN {_GENERAL} ELSE (list_transform(ps, lambda p: {{'text': {_WHY}, 'reason': {_WHY_REASON}}})
+_SUGGEST = f"""asked AS (SELECT *, CASE CAST(stn_code AS INT) % 5 WHEN 0 THEN ['Nitrate', 'DO', 'pH'] WHEN 1 THEN []
+  ELSE list_filter(string_split(violated_params, ', '), lambda x: x <> '') END[:2] AS ps FROM latest_row),
+chosen AS (SELECT stn_code, CASE WHEN len(ps) = 0 THEN {_GENERAL} ELSE (list_transform(ps, lambda p: {{'text': {_WHY}, 'reason': {_WHY_REASON}}})
   || list_transform(ps, lambda p: {{'text': 'What actions can reduce ' || p || ' contamination at ' || monitoring_location || '?',
      'reason': 'Mitigation for ' || p}}))[:3] END AS qs FROM asked)"""
 
@@ -192,7 +213,10 @@ chosen AS (SELECT stn_code, CASE WHEN violated_params = '' THEN {_GENERAL} ELSE
     "SELECT stn_code, CAST(i - 1 AS INT) AS position, qs[i].text AS text, qs[i].reason AS reason FROM (SELECT stn_code, qs, "
     "unnest(range(1, len(qs) + 1)) AS i FROM chosen)", Q.LATEST_ROW, _SUGGEST))
 def suggest_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return knowledge.suggest_questions(latest_rows(spark, sf_dir))
+    """Some requests bring their own violations, some an empty list of them."""
+    fifth, none = F.col("stn_code").cast("int") % 5, F.array().cast("array<string>")
+    given = F.when(fifth == 0, F.array(F.lit("Nitrate"), F.lit("DO"), F.lit("pH"))).when(fifth == 1, none)
+    return knowledge.suggest_questions(latest_rows(spark, sf_dir).withColumn("given", given), given="given")
 
 
 def _computed(shape: str, separator: str) -> str:
@@ -220,7 +244,8 @@ _BASE = "CASE k1 % 3 WHEN 0 THEN 'Fine' WHEN 1 THEN 'first cause' ELSE 'Sorry, c
     "WHEN k1 % 3 = 0 THEN 'Safe' END AS safety_status, CASE WHEN k1 % 3 = 2 THEN '' WHEN k1 % 2 = 0 THEN "
     f"{_FACTS} WHEN k1 % 3 = 0 THEN 'pH|9|8.5|critical' ELSE '' END AS violations, "
     "CASE WHEN k1 % 3 = 1 THEN 'first cause|second' ELSE '' END AS causes, "
-    "CASE WHEN k1 % 3 = 0 THEN 'Act now' ELSE '' END AS actions FROM latest_row", Q.LATEST_ROW))
+    "CASE WHEN k1 % 3 = 0 THEN 'Act now' ELSE '' END AS actions, k2 AS sources_used, monitoring_location AS station_name, "
+    "replace(violated_params, ', ', '|') AS violated_params, k1 % 2 = 0 AS has_station_context FROM latest_row", Q.LATEST_ROW))
 def merge_chat_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies with an answer, with causes only, and without JSON; half of them for a station."""
     full = ('{"answer": " Fine ", "safety_status": "Safe", "violations": [{"parameter": "pH", "value": "9", "limit": "8.5", "status": "critical"}, '
@@ -229,9 +254,11 @@ def merge_chat_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.col("k1") % 3
     rows = latest_rows(spark, sf_dir).select(
         F.col("stn_code").alias("request_id"), (F.col("k1") % 2 == 0).alias("has_station"), "safety_label",
-        violation_structs().alias("violations"),
+        violation_structs().alias("violations"), F.col("k2").alias("context_count"),
+        F.col("monitoring_location").alias("station_name"), "violated_params",
         F.when(part == 0, full).when(part == 1, thin).otherwise("no answer").alias("reply"))
     return knowledge.merge_chat_answer(rows).select(
         "request_id", "answer", "safety_status", F.array_join(F.transform("violations", lambda v: F.concat_ws(
             "|", v["parameter"], v["value"], v["limit_text"], v["status"])), "; ").alias("violations"),
-        F.array_join("causes", "|").alias("causes"), F.array_join("recommended_actions", "|").alias("actions"))
+        F.array_join("causes", "|").alias("causes"), F.array_join("recommended_actions", "|").alias("actions"),
+        "sources_used", "station_name", F.array_join("violated_params", "|").alias("violated_params"), "has_station_context")

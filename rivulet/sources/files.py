@@ -108,12 +108,22 @@ def scan_samples_multi(
 
 
 def scan_year_partitions(
-    spark: SparkSession, root: str, pattern: str = "*.pdf", exclude_years: Iterable[int] = ()
+    spark: SparkSession, root: str, pattern: str = "*.pdf", exclude_years: Iterable[int] = (),
+    fallback: str = "*.html",
 ) -> DataFrame:
     """Report files under folders named by year: path, year, modification time and length.
 
-    Only file listings are read; the contents are not selected.
+    A year whose folder holds no file of the pattern gives those of the fallback pattern. Only file
+    listings are read; the contents are not selected.
     """
+    first = _year_files(spark, root, pattern, exclude_years)
+    if not fallback or fallback == pattern:
+        return first
+    other = _year_files(spark, root, fallback, exclude_years)
+    return first.unionByName(other.join(first.select("year").distinct(), "year", "left_anti"))
+
+
+def _year_files(spark: SparkSession, root: str, pattern: str, exclude_years: Iterable[int]) -> DataFrame:
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern).load(root)

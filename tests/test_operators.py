@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet import schema as S
-from rivulet.operators import compare, evaluate, explain, extract, forecast, knowledge, latest, locate, score, shaping, stats
+from rivulet.operators import (batch, compare, evaluate, explain, extract, forecast, knowledge, latest, locate, score, shaping,
+                               stats)
 
 MEASURES = ["do_avg", "ph_avg", "bod_avg", "nitrate_avg", "fecal_coliform_avg", "total_coliform_avg"]
 
@@ -178,8 +180,6 @@ def test_backtest(spark):
     got = {r["stn_code"]: r for r in forecast.forecast_backtest(series(spark, rows), 2020).collect()}
     assert sorted(got) == ["a", "b", "c"]
     assert got["a"]["mae"] == pytest.approx(0.0) and got["b"]["mape"] is None
-    import numpy as np
-
     slope, base = np.polyfit([2017, 2018, 2020], [1.0, 3.0, 2.0], 1)
     assert got["c"]["predicted"] == pytest.approx(base + slope * 2021)
 
@@ -219,7 +219,11 @@ def test_compare(spark):
     pairs = spark.createDataFrame([("a", "b"), ("c", "a"), ("c", "c"), ("a", "zz")], "station_a string, station_b string")
     got = {(r["station_a"], r["station_b"]): r for r in compare.compare_stations(df, pairs).filter(
         F.col("parameter") == "do_avg").collect()}
-    assert {k: v["winner"] for k, v in got.items()} == {("a", "b"): "a", ("c", "a"): "a", ("c", "c"): "c"}
+    assert {k: v["winner"] for k, v in got.items()} == {
+        ("a", "b"): "a", ("c", "a"): "a", ("c", "c"): "c", ("a", "zz"): None}
+    unknown = got["a", "zz"]
+    assert (unknown["year_a"], unknown["a_value"], unknown["year_b"], unknown["b_value"]) == (2020, 4.0, None, None)
+    assert (unknown["a_pollution_score"], unknown["b_pollution_score"]) == (2.0, None)
     assert (got["a", "b"]["a_status"], got["a", "b"]["b_status"]) == ("violation", "ok")
     asked = spark.createDataFrame([("a", 2019, 2020), ("a", 2000, 2019), ("zz", 1, 2)], "stn_code string, year_a int, year_b int")
     got = {(r["year_a"], r["year_b"]): r for r in compare.compare_years(df, asked).filter(
@@ -236,6 +240,9 @@ def test_gazetteer_takes_the_best_ranked_hit(spark):
     assert (got["Upper Kali Town"]["lat"], got["Upper Kali Town"]["query"]) == (3.0, "kali town, Goa, India")
     miss = got["Unknown Spot"]
     assert (miss["success"], miss["lat"], miss["query"]) == (False, None, "unknown spot, Goa, India")
+    odd = spark.createDataFrame([("Kali", None), (None, "Goa"), (None, None)], "monitoring_location string, state string")
+    got = {(r["monitoring_location"], r["state"]): r["success"] for r in locate.join_gazetteer_ranked(odd, known).collect()}
+    assert got == {("Kali", ""): False, ("", "Goa"): False, ("", ""): False}
 
 
 def test_chunks_stop_at_the_end(spark):
@@ -267,8 +274,6 @@ def test_chunk_pages_equals_chunks_of_the_joined_text(spark, size, overlap, bloc
 
 
 def test_knn_in_blocks_equals_brute_force(spark):
-    import numpy as np
-
     rng = np.random.default_rng(1)
     vectors = rng.integers(0, 4, (200, 3)).astype(float)
     chunks = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id int, embedding array<float>").repartition(5)
@@ -281,6 +286,54 @@ def test_knn_in_blocks_equals_brute_force(spark):
     assert got == want
     assert knowledge.knn_topk(chunks, queries, 0).count() == 0
     assert knowledge.knn_topk(chunks, queries.limit(0), 3).count() == 0
+    assert knowledge.knn_topk(chunks.limit(0), queries, 3).count() == 0
+
+
+def test_knn_with_many_queries_and_blocks(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(0, 4, (9000, 6)).astype(float)  # many ties
+    chunks = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id int, embedding array<float>").coalesce(2)
+    odd = spark.createDataFrame([(-1, None), (None, [0.0] * 6), (-2, []), (-3, [None] + [0.0] * 5)], "vec_id int, embedding array<float>")
+    queries = spark.createDataFrame([(f"q{q}", vectors[3 * q].tolist()) for q in range(3000)], "query_id string, embedding array<float>")
+    got = {}
+    for r in knowledge.knn_topk(chunks.union(odd), queries.union(odd.withColumn("vec_id", F.col("vec_id").cast("string"))), 5).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["distance"], r["chunk_id"])
+    assert len(got) == 3000
+    for q in range(3000):
+        d = ((vectors - vectors[3 * q]) ** 2).sum(1)
+        want = np.lexsort((np.arange(9000), d))[:5]
+        assert [got[f"q{q}"][n + 1] for n in range(5)] == [(d[i], i) for i in want]
+
+
+def test_ingest_replaces_sources_with_words(spark):
+    store = spark.createDataFrame([("a", 0, "old", "x_0"), ("a", 1, "old too", "x_1"), ("b", 0, "kept", "y_0"), ("c", 0, "kept too", "z_0")],
+                                  "source string, chunk_index int, document string, id string")
+    pages = spark.createDataFrame([("a", 2, "three four five"), ("a", 1, "one two"), ("c", 1, "  "), ("c", 2, None), ("d", 1, "new")],
+                                  "source string, page int, text string")
+    got = sorted(tuple(r) for r in knowledge.ingest_pages(store, pages, "page", size=3, overlap=1).drop("id").collect())
+    assert got == [("a", 0, "one two three"), ("a", 1, "three four five"), ("b", 0, "kept"), ("c", 0, "kept too"), ("d", 0, "new")]
+
+
+def test_batch_reads_accepted_files_only(spark):
+    cells = ["12", " Site\n a ", "KARNATAKA", "10", "12", "7", "7", "7.1", "7.3", "100", "120", "9", "9"]
+    rows = [("NWMP_DATA_2020.pdf", 2020, cells), ("NWMP_DATA_2019.pdf", 2020, cells), (None, 2020, cells),
+            ("NWMP_DATA_2020.pdf", 2020, ["13", "Site b", "KERALA", *cells[3:]]), ("NWMP_DATA_2020.pdf", 2020, None)]
+    pages = spark.createDataFrame([("/r/" + (f or "x"), f, y, 1, "river", 1, 1, c) for f, y, c in rows], S.PAGE_ROW)
+    cache = spark.createDataFrame([("Site A", "KARNATAKA", 12.5, 75.0, "q", True)],
+                                  "monitoring_location string, state string, lat double, lng double, query string, success boolean")
+    got = {r["stn_code"]: r for r in batch.predict_batch(pages, cache).collect()}
+    assert sorted(got) == ["12", "13"] and (got["12"]["latitude"], got["13"]["latitude"]) == (12.5, None)
+    assert got["12"]["violated_params"] == "BOD" and got["12"]["safety_label"] == "Unsafe"
+    assert [r["stn_code"] for r in batch.predict_batch(pages, cache, state="Karnataka").collect()] == ["12"]
+    assert sorted((r["file_name"] or "") for r in batch.rejected_files(pages).collect()) == ["", "NWMP_DATA_2019.pdf"]
+    assert batch.predict_batch(pages.limit(0), cache).count() == 0
+
+
+def test_chat_fields_default_where_the_request_knew_nothing(spark):
+    replies = spark.createDataFrame([(1, "no answer", False, None, [])], "request_id int, reply string, has_station boolean, "
+                                    "safety_label string, violations array<struct<parameter string, value string, limit_text string, status string>>")
+    row = knowledge.merge_chat_answer(replies).first()
+    assert (row["sources_used"], row["station_name"], row["violated_params"], row["has_station_context"]) == (0, None, [], False)
 
 
 def test_histogram_and_box(spark):

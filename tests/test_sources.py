@@ -51,6 +51,10 @@ def test_year_folders(spark, folder):
         root = folder(name, "x")
     got = files.scan_year_partitions(spark, root, exclude_years=[2019]).collect()
     assert [(r["year"], os.path.basename(r["path"]), r["length"]) for r in got] == [(2018, "a.pdf", 1)]
+    root = folder("2020/e.html", "xy")
+    got = files.scan_year_partitions(spark, root, exclude_years=[2019]).collect()
+    assert sorted((r["year"], os.path.basename(r["path"])) for r in got) == [(2018, "a.pdf"), (2020, "e.html")]
+    assert files.scan_year_partitions(spark, root, fallback="").filter("year = 2020").count() == 0
 
 
 def test_text_and_json_map(spark, folder, tmp_path):
