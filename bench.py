@@ -21,6 +21,7 @@ HEADLINES = [
     "join_gazetteer_ranked", "enrich_samples", "batch_predict", "forecast_router",
     "forecast_backtest", "history_forecast_merge", "manifest_first_seen", "extract_samples",
     "chunk_tokens", "knn_topk", "chat_history_window", "suggest_questions",
+    "scan_samples_csv", "scan_samples_multi", "rescore_files", "chunk_pages", "error_histogram",
 ]
 
 

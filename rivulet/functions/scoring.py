@@ -59,12 +59,12 @@ def sub_scores_100() -> dict[str, Column]:
     do_gap = (F.lit(R.BIS_DO_MIN) - do) / R.BIS_DO_MIN
     return {
         "do": F.when(do_gap < 0, F.lit(0.0)).otherwise(do_gap) * 100,
-        "bod": capped(bod / R.BIS_BOD_MAX * 33.3),
+        "bod": capped(bod / R.BIS_BOD_MAX * R.BIS_BOD_FACTOR),
         "ph": F.when(ph < R.BIS_PH_MIN, (F.lit(R.BIS_PH_MIN) - ph) / R.BIS_PH_MIN * 100)
         .when(ph > R.BIS_PH_MAX, (ph - R.BIS_PH_MAX) / R.BIS_PH_MAX * 100)
         .when(ph.isNotNull(), F.lit(0.0)),
-        "fecal": capped(fecal / R.BIS_FECAL_MAX * 10),
-        "total": capped(total / R.BIS_TOTAL_MAX * 10),
+        "fecal": capped(fecal / R.BIS_FECAL_MAX * R.BIS_COLIFORM_FACTOR),
+        "total": capped(total / R.BIS_TOTAL_MAX * R.BIS_COLIFORM_FACTOR),
     }
 
 

@@ -144,6 +144,18 @@ def station_year_means(
     )
 
 
+def station_trends(
+    df: DataFrame, year: int | None = None, columns: Sequence[str] = R.TREND_PARAMETERS
+) -> DataFrame:
+    """Yearly means of each station at 3 decimals, for display; of one year where it is given.
+
+    The summary beside them (``trend_summary``) always covers all years.
+    """
+    chosen = df if year is None else df.filter(F.col("year") == year)
+    means = station_year_means(chosen, columns)
+    return means.withColumns({c: round_mean(F.col(c), 3) for c in columns})
+
+
 def trend_summary(df: DataFrame, columns: Sequence[str] = R.TREND_PARAMETERS) -> DataFrame:
     """Per station and parameter: range, latest yearly mean and direction since the first year.
 

@@ -195,6 +195,12 @@ def station_year_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({c: F.round(c, 9) for c in R.TREND_PARAMETERS})
 
 
+@query("station_trends", Q.on_scored("SELECT stn_code, year, " + ", ".join(
+    f"{Q.rnd_mean(f'avg({c})', 3)} AS {c}" for c in R.TREND_PARAMETERS) + " FROM scored GROUP BY stn_code, year"))
+def station_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.station_trends(scored(spark, sf_dir))
+
+
 def _trend_sql(c: str) -> str:
     better = ">" if c == "do_avg" else "<"
     return (f"SELECT stn_code, '{c}' AS parameter, lo AS min_value, hi AS max_value, l AS latest, "

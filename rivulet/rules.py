@@ -10,7 +10,7 @@ Three rule sets exist side by side and must not be merged:
 from __future__ import annotations
 
 # --------------------------------------------------------------------------
-# Limits, weights, caps and labels. They define the results.
+# Limits, weights, caps, labels, word lists and sentences. They define the results.
 # --------------------------------------------------------------------------
 
 BIS_DO_MIN = 5.0
@@ -19,6 +19,9 @@ BIS_PH_MAX = 8.5
 BIS_BOD_MAX = 3.0
 BIS_FECAL_MAX = 500.0
 BIS_TOTAL_MAX = 2500.0
+# Points of the 0-100 score at the limit.
+BIS_BOD_FACTOR = 33.3
+BIS_COLIFORM_FACTOR = 10
 
 OUTLIER_CAPS = {
     "bod_avg": 500.0,
@@ -184,6 +187,7 @@ FILE_NAME_TYPES = [
     ("Coastal", ["marine", "sea"]),
     ("Drain/STP/WTP", ["drain"]),
 ]
+# Applied where the layout of a page is not known.
 FALLBACK_FILE_TYPES = [
     ("Coastal", ["coastal", "beach"]),
     ("Groundwater", ["ground", "groundwater", "borewell"]),
