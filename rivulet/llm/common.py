@@ -46,21 +46,26 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> Iterator[str]:
 
 def bounded_sample(df: DataFrame, id_column: str, class_column: str, text_column: str,
                    rows: int) -> DataFrame:
-    """h (hash of the id), label, text of about ``rows`` rows of each class, or all where there are fewer.
+    """h (hash of the id), label, text, weight of about ``rows`` rows of each class, or all where there are fewer.
 
     The share rows / class size becomes a limit for the hash of the id, so the sample is the same on
     every run, and neither texts nor ids are ranked anywhere. Classes are few (the labels of a
     model): one count for each comes to the driver. Of rows that repeat an id one is taken, the
     smallest by label and text, so that a hot id cannot swell the sample. Null labels are left out.
+    ``weight`` is the rows of the class for each row taken (1 where all are): weighted, the classes
+    of the sample occur as often as in the table, whatever its size.
     """
     held = df.select(F.xxhash64(F.col(id_column)).alias("h"), F.col(class_column).alias("label"),
                      F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    keep = F.lit(False)
+    keep, weight = F.lit(False), F.lit(1.0)
     for found in held.where("label is not null").groupBy("label").agg(F.count("*").alias("n")).collect():
-        top = (1 << 64) * min(rows, found["n"]) // found["n"] - (1 << 63) - 1
-        keep = keep | ((F.col("label") == F.lit(found["label"])) & (F.col("h") <= F.lit(top)))
+        own, taken = F.col("label") == F.lit(found["label"]), min(rows, found["n"])
+        top = (1 << 64) * taken // found["n"] - (1 << 63) - 1
+        keep = keep | (own & (F.col("h") <= F.lit(top)))
+        weight = F.when(own, F.lit(found["n"] / taken)).otherwise(weight)
     one = F.min(F.struct("label", "text")).alias("one")
-    return held.where(keep).groupBy("h").agg(one).select("h", "one.label", "one.text")
+    return (held.where(keep).groupBy("h").agg(one).select("h", "one.label", "one.text")
+            .withColumn("weight", weight))
 
 
 def as_rows(docs: DataFrame, **keys: Column) -> DataFrame:

@@ -109,13 +109,13 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: i
     return weights(z, n)
 
 
-def best_temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """The temperature with the least log loss, by golden-section search on its logarithm."""
+def best_temperature(logits: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None) -> float:
+    """The temperature with the least (weighted) log loss, by golden-section search on its logarithm."""
     def loss(t: float) -> float:
         scaled = logits / np.exp(t)
         top = scaled.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(scaled - top).sum(axis=1)) + top[:, 0]
-                      - scaled[np.arange(len(y)), y]).mean())
+        return float(np.average(np.log(np.exp(scaled - top).sum(axis=1)) + top[:, 0]
+                                - scaled[np.arange(len(y)), y], weights=weights))
 
     low, high, ratio = np.log(0.02), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(50):
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     The sample has at most about ``sample_rows`` rows of each label (documented bound; by the
     hash of the id). Its n-gram counts go to one task, which fits on four fifths and sets the
-    temperature on the rest. Rows without text or label are not learned from; without any row the
+    temperature on the rest, each label weighing as in all rows. Rows without text or label are not learned from; without any row the
     model knows no class and answers ``und``.
     """
     learn = docs.where(F.col(text_column).isNotNull() & F.col(label_column).isNotNull())
@@ -140,13 +140,14 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     if frequency:
         found[list(frequency)] = list(frequency.values())
     idf = np.log((1 + texts) / (1 + found)) + 1
-    schema = arrow_schema("h bigint, label string, features binary, counts binary")
+    counts_ddl = "h bigint, label string, weight double, features binary, counts binary"
+    schema = arrow_schema(counts_ddl)
 
     def counted(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             pairs = [ngram_counts(t) for t in texts_of(batch.column("text"))]
             yield pa.record_batch([
-                batch.column("h"), batch.column("label").cast(pa.string()),
+                batch.column("h"), batch.column("label").cast(pa.string()), batch.column("weight"),
                 pa.array([i.astype("<u2").tobytes() for i, _ in pairs], pa.binary()),
                 pa.array([c.astype("<u4").tobytes() for _, c in pairs], pa.binary())], schema=schema)
 
@@ -163,13 +164,15 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         model.weights = ftrl([d for i, d in enumerate(data) if i % 5] if len(data) >= 20 else data,
                              len(classes))
         logits = np.array([x @ model.weights[i] for i, x, _ in rest])
-        model.temperature = best_temperature(logits, np.array([y for *_, y in rest]))
+        weights = rows["weight"].to_numpy()
+        model.temperature = best_temperature(logits, np.array([y for *_, y in rest]),
+                                             weights[::5] if len(data) >= 20 else weights)
         model.idf, model.weights = idf.astype(np.float32), model.weights.astype(np.float32)
         return pd.DataFrame({"model": [pickle.dumps(model)]})
 
     sample = bounded_sample(learn, id_column, label_column, text_column, sample_rows)
     rows = (sample
-            .mapInArrow(counted, "h bigint, label string, features binary, counts binary")
+            .mapInArrow(counted, counts_ddl)
             .groupBy(F.lit(0).alias("one")).applyInPandas(learn_all, "model binary").collect())
     if not rows:
         return LanguageModel([], idf, np.zeros((DIMENSIONS, 0)), 1.0)

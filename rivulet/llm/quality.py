@@ -83,13 +83,18 @@ def _expanded(features: np.ndarray) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 0.02, rounds: int = 60) -> np.ndarray:
-    """Ridge logistic regression by damped Newton steps; classes weigh as they occur."""
+def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 0.02, rounds: int = 60,
+              weights: np.ndarray | None = None) -> np.ndarray:
+    """Ridge logistic regression by damped Newton steps; classes weigh as they occur.
+
+    ``weights`` are the rows of the table that each row stands for; the penalty is for one sample row.
+    """
     w = np.zeros(x.shape[1])
+    share = np.ones(len(y)) if weights is None else weights / weights.mean()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + penalty * w
-        hessian = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty * np.eye(len(w))
+        gradient = x.T @ (share * (p - y)) + penalty * w
+        hessian = (x * (share * p * (1 - p) + 1e-9)[:, None]).T @ x + penalty * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w -= step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-6:
@@ -117,12 +122,12 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
     The sample (documented bound; by the hash of the id) goes to one task as compressed
     text. Half of it builds the dictionaries and the other half calibrates, so the calibration
-    sees texts that are not in the dictionaries. Null texts count as empty; rows with other labels or null ones are left out.
+    sees texts that are not in the dictionaries, each label weighing as in all labelled rows. Null texts count as empty; rows with other labels or null ones are left out.
     Without rows of both labels the model scores every text 0.5.
     """
     sample = bounded_sample(labelled.where(F.col(label_column).isin(0, 1)), id_column, label_column,
                             text_column, sample_rows)
-    packed = sample.select("h", F.col("label").cast("int").alias("y"), "text")
+    packed = sample.select("h", F.col("label").cast("int").alias("y"), "text", "weight")
     rows = packed.groupBy(F.lit(0).alias("one")).applyInPandas(_learn, "model binary").collect()
     return pickle.loads(rows[0]["model"]) if rows else CompressionModel(b"", b"")
 
@@ -140,7 +145,7 @@ def _learn(rows: pd.DataFrame) -> pd.DataFrame:
     model = CompressionModel(_dictionary(raw(1)), _dictionary(raw(0)))
     rest = np.flatnonzero(~built if not built.all() else built)
     x = np.array([model.features(texts[i]) for i in rest])
-    model.weights = calibrate(_expanded(x), y[rest].astype(float))
+    model.weights = calibrate(_expanded(x), y[rest].astype(float), weights=rows["weight"].to_numpy()[rest])
     return pd.DataFrame({"model": [pickle.dumps(model)]})
 
 

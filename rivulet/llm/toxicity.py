@@ -234,13 +234,14 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     other sample documents each word and word beginning occurs, and words of toxic documents
     with a feature far likelier there are labelled toxic. The field is trained on the
     sequences around those words and as many others, in one task; document scores are then calibrated on
-    the document labels. The sample (documented bound) is taken by the hash of the id.
+    the document labels, each weighing as in all labelled rows. The sample (documented bound) is taken by the hash of the id.
     Rows with other or null labels are left out; without rows of both labels every score is 0.
     """
     sample = bounded_sample(labelled.where(F.col(label_column).isin(0, 1)), id_column, label_column,
                             text_column, sample_rows)
     # Read three times below; written, so that the documents are searched for it only once.
-    sample = written(sample.select("h", F.col("label").cast("int").alias("y"), "text"), "toxic-sample")
+    sample = written(sample.select("h", F.col("label").cast("int").alias("y"), "text", "weight"),
+                     "toxic-sample")
     candidates = _candidates(sample)
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
@@ -339,7 +340,8 @@ def _learn(rows: pd.DataFrame, candidates: dict[str, float]) -> ToxicField:
     x = np.array([field.document(field.marginals(*tagged) if len((tagged := field.tagged(t))[0])
                                  else np.zeros(0)) for t in rows["text"][rest]])
     x = np.concatenate([np.ones((len(x), 1)), x], axis=1)
-    field.calibration = calibrate(x, y[rest].astype(float), penalty=0.05)
+    field.calibration = calibrate(x, y[rest].astype(float), penalty=0.05,
+                                  weights=rows["weight"].to_numpy()[rest])
     return field
 
 
