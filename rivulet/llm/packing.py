@@ -24,7 +24,7 @@ ODD_SPACE = re.compile(r"\s \s")
 
 
 class WordEncoder(dict):
-    """Byte-level BPE ids of whole texts; ids of a word once encoded are kept, up to a bound.
+    """Byte-level BPE ids of texts without added tokens; ids of a word once encoded are kept, up to a bound.
 
     The vocabulary's pre-tokenizer always cuts before a space that follows a character other than
     white space, and what comes after does not depend on what was before. So a text is cut there
@@ -76,13 +76,39 @@ def bpe_encoder(path: str):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+class TextEncoder:
+    """Ids of whole texts as the tokenizer file gives them: its added tokens have ids of their own.
+
+    A text is cut at the added tokens, the leftmost first and of those the longest, and the parts
+    between are encoded by themselves. A file whose added tokens take more than their own characters
+    or need a normalized text is refused.
+    """
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            added = [t for t in json.load(file).get("added_tokens") or [] if t["content"]]
+        if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens with options")
+        self._words = WordEncoder(path)
+        self._added = {t["content"]: t["id"].to_bytes(4, "little") for t in added}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if added else None
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit numbers."""
+        if self._cut is None or not self._cut.search(text):
+            return self._words.encode(text)
+        parts = self._cut.split(text)  # every second part is an added token
+        return b"".join(self._added[p] if i % 2 else self._words.encode(p) for i, p in enumerate(parts))
+
+
+_ENCODERS: dict[str, TextEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str) -> TextEncoder:
     """One encoder per worker process, so that later tasks find the words of earlier ones."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = TextEncoder(path)
     return _ENCODERS[path]
 
 
@@ -90,7 +116,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, id_column
            text_column: str = "text", end_id: int = 0) -> DataFrame:
     """The pieces of every document, with their rank among the pieces of one length in one task.
 
-    A document is its ids and then ``end_id``; null counts as empty. One longer than ``capacity``
+    A document is its ids and then ``end_id``; null counts as empty. The ids are those of
+    ``tokenizers`` with add_special_tokens=False, so a text may hold added tokens of the file. One longer than ``capacity``
     is cut so that all pieces but the first are full.
     """
     schema = arrow_schema(PIECES)
