@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -216,30 +217,46 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Copies meet as one fingerprint before any search, and a hot fingerprint only in the last join,
     where Spark splits it.
     """
+    return _grouped(docs, id_column, text_column, radius, words_per_shingle, bucket).select(
+        F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id")
+
+
+def _grouped(docs: DataFrame, id_column: str, text_column: str, radius: int, words_per_shingle: int = 4,
+             bucket: int = BUCKET) -> DataFrame:
+    """id, fp, root and component_id of every row; root is the group's smallest fingerprint.
+
+    Groups that share a component_id, because an id owns several texts, differ in their root.
+    """
     prints = written(fingerprints(docs, id_column, text_column, words_per_shingle), "simhash-prints")
     distinct = written(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
     roots = components(near_links(distinct.select("fp"), radius, bucket))
     member = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first")
     smallest = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = member.join(smallest, "root").select("fp", "component_id")
-    return prints.join(groups, "fp").select(
-        F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id")
+    groups = member.join(smallest, "root").select("fp", "root", "component_id")
+    return prints.join(groups, "fp").select("id", "fp", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                radius: int = 4) -> DataFrame:
     """One row of ``docs`` for each near-duplicate group: the one with the group's smallest id.
 
-    All columns stay as they were. Of rows that repeat that id the one whose other columns sort first
-    stays. Rows without id cannot be chosen from and all stay.
+    All columns stay as they were. Of the group's rows that repeat that id the one whose other columns
+    sort first stays; rows of that id in other groups have no part in it, and an id with several texts
+    may stand for several groups. Rows without id cannot be chosen from and all stay.
     """
-    chosen = (near_groups(docs, id_column, text_column, radius)
-              .where(F.col(id_column) == F.col("component_id"))
-              .select(F.col(id_column).alias("_id")).distinct())
-    marked = as_rows(docs, _id=F.col(id_column).cast("bigint"))
-    first = W.partitionBy("_id").orderBy(F.to_json("_row"))
-    stay = (marked.join(chosen, "_id", "left_semi")
+    @F.pandas_udf("bigint")
+    def printed(text: pd.Series) -> pd.Series:
+        found = np.array([fingerprint(t or "") for t in text], dtype=np.uint64)
+        return pd.Series(found.view(np.int64))
+
+    chosen = (_grouped(docs, id_column, text_column, radius).where("id = component_id")
+              .select(F.col("id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct())
+    # Not deterministic for the optimizer only: it would compute the fingerprint again in a filter.
+    text_print = printed.asNondeterministic()(F.col(text_column).cast("string"))
+    marked = as_rows(docs, _id=F.col(id_column).cast("bigint"), _fp=text_print)
+    first = W.partitionBy("_root").orderBy(F.to_json("_row"))
+    stay = (marked.join(chosen, ["_id", "_fp"])
             .withColumn("_n", F.row_number().over(first)).where("_n = 1"))
     return stay.select("_row.*").unionByName(docs.where(F.col(id_column).isNull()))
