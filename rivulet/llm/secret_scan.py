@@ -26,6 +26,9 @@ CLASSES = (("[0-9a-fA-F]", 3.0), ("[A-Za-z0-9+/_-]", 3.75))
 ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"(?i)example|sample|dummy|placeholder|changeme|xxxx|0123456789|abcdefgh",
            r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
            r"^[A-Za-z]{0,24}([-_/+]+([A-Za-z]{1,24}|[0-9]{1,12}))+[-_/+]*$")
+#: Patterns that a candidate must match as a whole, and words that only count where they stand.
+WHOLE = tuple(p for p in ALLOWED if p.startswith("^"))
+PLACEHOLDER = "|".join(p for p in ALLOWED if not p.startswith("^"))
 #: Characters of a candidate that one fold handles; longer candidates are taken in overlapping pieces.
 PIECE = 512
 SCALE = 1 << 20
@@ -116,13 +119,16 @@ def _merged(spans: Column) -> Column:
 
 
 def _entropy(text: Column, base: Column, window: int) -> Column:
-    """Spans of high entropy in candidate strings that no allow-list pattern and no base span covers."""
+    """Spans of high entropy in candidate strings that no allow-list pattern matches as a whole.
+
+    A candidate is cut at base spans and placeholder words, and what is left between them is scanned.
+    """
     spans = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     for letters, bits in CLASSES:
         found = matches(text, f"({letters}{{{window},}})")
         allowed = F.filter(found, lambda m: ~F.coalesce(
-            _any_like(m["text"]), F.lit(False)) & ~F.exists(
-                base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+            _any_like(m["text"]), F.lit(False)))
+        allowed = F.flatten(F.transform(allowed, lambda m: _rest(m, base, window)))
         pieces = F.flatten(F.transform(allowed, lambda m: F.transform(
             F.sequence(F.lit(0), F.greatest(F.length(m["text"]) - window, F.lit(0)),
                        F.lit(PIECE - window + 1)),
@@ -137,11 +143,31 @@ def _entropy(text: Column, base: Column, window: int) -> Column:
 
 def _any_like(text: Column) -> Column:
     out = F.lit(False)
-    for pattern in ALLOWED:
+    for pattern in WHOLE:
         out = out | F.rlike(text, F.lit(pattern))
     return out
 
 
+def _rest(run: Column, base: Column, window: int) -> Column:
+    """The parts of a candidate, of a window at least, between base spans and placeholder words."""
+    def place(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(0).alias("kind"), end.alias("end"))
+
+    words = F.transform(matches(run["text"], f"({PLACEHOLDER})"),
+                        lambda w: place(run["start"] + w["start"], run["start"] + w["end"]))
+    over = F.transform(
+        F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])),
+        lambda b: place(F.greatest(b["start"], run["start"]), F.least(b["end"], run["end"])))
+    cuts = _merged(F.concat(words, over))
+    starts = F.concat(F.array(run["start"]), cuts["end"])
+    ends = F.concat(cuts["start"], F.array(run["end"]))
+    parts = F.zip_with(starts, ends, lambda s, e: F.struct(
+        s.alias("start"), e.alias("end"),
+        F.substring(run["text"], (s - run["start"] + 1).cast("int"), (e - s).cast("int")).alias("text")))
+    whole = F.array(F.struct(run["start"].alias("start"), run["end"].alias("end"), run["text"].alias("text")))
+    return F.when(F.size(cuts) == 0, whole).otherwise(F.filter(parts, lambda p: F.length(p["text"]) >= window))
+
+
 def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  window: int = WINDOW) -> DataFrame:
     """id, base (spans of the patterns) and spans (those and high-entropy strings) of every row.
@@ -151,8 +177,8 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     more characters (a shorter value is passed over, but its match counts as read), access keys,
     long lower-case hex strings; leftmost matches of each kind without overlap. Candidates of the
     entropy scan are runs of one character class of at least ``window`` characters that no
-    allow-list pattern matches and no base span overlaps; windows at or above the class's entropy
-    are joined to spans. Null and empty texts have no spans; each row is scanned by itself, so
+    allow-list pattern matches as a whole; windows at or above the class's entropy that overlap
+    neither a base span nor a placeholder word are joined to spans. Null and empty texts have no spans; each row is scanned by itself, so
     repeated rows give equal results; other columns are ignored.
     """
     held = docs.select(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")).alias("t"))
