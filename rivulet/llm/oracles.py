@@ -117,3 +117,74 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN digests USING (doc_id)
 """
+
+
+#: Levels that the SQL of the manifest can climb; 16^9 rows are more than it will meet.
+_LEVELS = 9
+
+
+def _field(column: str, text: str | None = None) -> str:
+    value = text or f"CAST({column} AS VARCHAR)"
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = [_field(c) for c in ("doc_id", "source", "lang", "n_chars")] + [_field("text", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+def _climb(name: str) -> str:
+    """CTEs <name>0 to <name>9 (grp, pos, h, total) and their runs (grp, run, t): a node stays where it is alone."""
+    parts = []
+    for level in range(_LEVELS):
+        here = f"{name}{level}"
+        parts.append(f"""{name}_runs{level} AS MATERIALIZED (
+  SELECT grp, pos // 16 AS run, string_agg(h, '' ORDER BY pos) AS t FROM {here} WHERE total > 1 GROUP BY ALL
+), {name}{level + 1} AS MATERIALIZED (
+  SELECT grp, pos, h, count(*) OVER (PARTITION BY grp) AS total FROM (
+    SELECT grp, run AS pos, sha256(t) AS h FROM {name}_runs{level}
+    UNION ALL SELECT grp, pos, h FROM {here} WHERE total = 1)
+)""")
+    return ", ".join(parts)
+
+
+def _fold(state: str, name: str, grp: str, pos: str) -> str:
+    """CTEs that carry (proof, folded) of every leaf over the levels of <name>; the last is <state>9."""
+    parts = []
+    for level in range(_LEVELS):
+        at = f"({pos} // {16 ** level} % 16)"
+        parts.append(f"""{state}{level + 1} AS MATERIALIZED (
+  SELECT s.* REPLACE (
+    CASE WHEN t IS NULL THEN proof ELSE proof || t[1:64 * {at}] || t[64 * {at} + 65:] END AS proof,
+    CASE WHEN t IS NULL THEN folded ELSE sha256(t[1:64 * {at}] || folded || t[64 * {at} + 65:]) END AS folded)
+  FROM {state}{level} s LEFT JOIN {name}_runs{level} r ON s.{grp} = r.grp AND s.{pos} // {16 ** (level + 1)} = r.run
+)""")
+    return ", ".join(parts)
+
+
+#: crc32 from its polynomial: a register is divided bit by bit, over the bytes of a short text.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: CAST(ord(c) AS BIGINT))), lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+MERKLE_SQL = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce('s' || source, '') AS grp, {_leaf("text")} AS leaf,
+    CASE WHEN {_CRC} % 5 = 0 THEN {_leaf(LOWER.format("text"))} END AS other
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY grp) AS total FROM d
+), n0 AS MATERIALIZED (SELECT grp, pos, leaf AS h, total FROM leaves), {_climb("n")},
+g0 AS MATERIALIZED (
+  SELECT '' AS grp, row_number() OVER (ORDER BY grp) - 1 AS pos, h, count(*) OVER () AS total, grp AS name FROM n{_LEVELS}
+), {_climb("g")},
+a0 AS MATERIALIZED (
+  SELECT doc_id, leaf, l.grp, l.pos, g0.pos AS gpos, g0.grp AS everything, g0.h AS subroot, '' AS proof,
+    coalesce(other, leaf) AS folded
+  FROM leaves l JOIN g0 ON l.grp = g0.name
+), {_fold("a", "n", "grp", "pos")},
+b0 AS MATERIALIZED (SELECT * FROM a{_LEVELS}), {_fold("b", "g", "everything", "gpos")}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM b{_LEVELS}, (SELECT h AS root FROM g{_LEVELS})
+"""

@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import (dedup, langid, packing, quality, secret_scan, sentencepieces, simhash, topk,
-                         toxicity, urlfilter)
-from rivulet.llm.common import held_out
-from rivulet.llm.oracles import DEDUP_SQL, SECRETS_SQL, TOPK_SQL, URLS_SQL
+from rivulet.llm import (dedup, langid, merkle, packing, quality, secret_scan, sentencepieces, setsketch, simhash,
+                         topk, toxicity, urlfilter, whitening)
+from rivulet.llm.common import ascii_lower, held_out
+from rivulet.llm.oracles import DEDUP_SQL, MERKLE_SQL, SECRETS_SQL, TOPK_SQL, URLS_SQL
 from rivulet.sources.tables import table
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -96,7 +96,33 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                           .alias("decoded_sha256"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the documents is tampered with: their text is lower-cased, which their proof must show."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.manifest(docs, altered={"text": ascii_lower(F.col("text"))}, altered_where=tampered)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each vector and component."""
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, components=32)
+    error = whitening.identity_error(vectors, model)
+    explained = F.array(*[F.lit(float(e)) for e in model.explained]).cast("array<double>")
+    rows = whitening.whiten(vectors, model).select(
+        "vec_id", F.col("deviation").try_cast("bigint").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
+def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk, op2_urls, op3_secrets, op4_language, op5_toxicity, op6_packing,
-                            op7_dedup, op8_quality, op9_simhash, op10_sentencepiece)}
-ORACLES = {"op1_topk": TOPK_SQL, "op2_urls": URLS_SQL, "op3_secrets": SECRETS_SQL, "op7_dedup": DEDUP_SQL}
+                            op7_dedup, op8_quality, op9_simhash, op10_sentencepiece, op11_merkle,
+                            op12_whitening, op13_setsketch)}
+ORACLES = {"op1_topk": TOPK_SQL, "op2_urls": URLS_SQL, "op3_secrets": SECRETS_SQL, "op7_dedup": DEDUP_SQL,
+           "op11_merkle": MERKLE_SQL}
