@@ -16,6 +16,7 @@ from rivulet.llm.common import arrow_schema, batches, written
 HEX = 64
 FOUND = ("id bigint, leaf string, subroot string, root string, proof_sha256 string, "
          "folded_root string, verified boolean")
+ROWS = "array<struct<pos: bigint, id: bigint, leaf: string, other: string>>"
 
 
 def leaf_hash(columns: Sequence[Column]) -> Column:
@@ -50,11 +51,6 @@ def _digest(parts: Column) -> Column:
     return F.sha2(F.array_join(parts, ""), 256)
 
 
-def _level_up(nodes: Column, fanout: int) -> Column:
-    last = F.ceil(F.size(nodes) / fanout).cast("int") - 1
-    return F.transform(F.sequence(F.lit(0), last), lambda i: _digest(F.slice(nodes, i * fanout + 1, fanout)))
-
-
 def butterfly(nodes: DataFrame, fanout: int = 16) -> DataFrame:
     """Root and upper proof of every partition, by rounds in which groups of ``fanout`` partitions swap roots.
 
@@ -135,12 +131,10 @@ def manifest(docs: DataFrame, id_column: str = "doc_id", group_column: str = "so
         F.monotonically_increasing_id().alias("row")), "merkle-leaves")
     block = fanout ** block_levels
     placed = numbered(leaves, ["grp", "id", "leaf", "row"], "grp", "merkle-sorted")
-    rows = F.sort_array(F.collect_list(F.struct("pos", "id", "leaf", "other"))).alias("rows")  # one block at most
+    rows = F.sort_array(F.collect_list(F.struct(F.col("pos").cast("bigint"), "id", "leaf", "other"))).alias("rows")  # one block at most
     blocks = placed.groupBy("grp", "n", F.floor(F.col("pos") / block).alias("blk")).agg(rows)
-    nodes = F.transform("rows", lambda r: r["leaf"])
-    for level in range(block_levels):
-        nodes = F.when(F.col("n") > fanout ** level, _level_up(nodes, fanout)).otherwise(nodes)
-    blocks = written(blocks.select("grp", "n", "blk", "rows", F.get(nodes, F.lit(0)).alias("h")), "merkle-blocks")
+    blocks = written(blocks.select("grp", "n", "blk", "rows").mapInArrow(
+        _roots(fanout, block_levels), f"grp string, n bigint, blk bigint, rows {ROWS}, h string"), "merkle-blocks")
 
     lower = butterfly(blocks.select("grp", "blk", F.ceil(F.col("n") / block).alias("n"), "h"), fanout)
     tops = lower.where("blk = 0").select(F.lit(0).alias("all"), F.col("grp").alias("name"), F.col("root").alias("h"))
@@ -165,6 +159,31 @@ def _hash(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def _runs(nodes: list[str], fanout: int) -> list[str]:
+    """The digests of each run of a level, as one text."""
+    return ["".join(nodes[i:i + fanout]) for i in range(0, len(nodes), fanout)]
+
+
+def _roots(fanout: int, block_levels: int):
+    """Adds what a block's lower levels come to: one node, as a block has at most fanout^levels leaves."""
+    def root(nodes: list[str], n: int) -> str:
+        for level in range(block_levels):
+            if n > fanout ** level:
+                nodes = [_hash(t) for t in _runs(nodes, fanout)]
+        return nodes[0]
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            rows = batch.column("rows")
+            counts, ends = batch.column("n").to_pylist(), rows.offsets.to_pylist()
+            leaves = rows.values.field("leaf")
+            found = [root(leaves.slice(a, b - a).to_pylist(), n) for n, a, b in zip(counts, ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, type=pa.string())],
+                                             [*batch.schema.names, "h"])
+
+    return run
+
+
 def _prover(fanout: int, block_levels: int, with_proofs: bool):
     """Proofs of the leaves of each block: its own levels, then those that the exchange brought."""
     schema = arrow_schema("id bigint, leaf string, subroot string, root string, proof_sha256 string, "
@@ -179,7 +198,7 @@ def _prover(fanout: int, block_levels: int, with_proofs: bool):
         for level in range(block_levels):
             if block["n"] <= fanout ** level:
                 break
-            texts = ["".join(nodes[i:i + fanout]) for i in range(0, len(nodes), fanout)]
+            texts = _runs(nodes, fanout)
             runs.append(texts)
             nodes = [_hash(t) for t in texts]
         above = [(text, block["blk"] // fanout ** r % fanout) for r, text in enumerate(block["proof1"])]
