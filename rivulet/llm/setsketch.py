@@ -24,42 +24,36 @@ BASE, RATE, LIMIT = 1.2, 20.0, 254
 #: registers better by this difference of log likelihoods (about five standard errors).
 DOUBT = 12.5
 #: Shingles whose hashes are spread over all registers at once.
-CHUNK = 4096
-#: Sets that one task holds together, by their shingles; larger clusters are cut into parts.
-PART = 2_000_000
+CHUNK = 512
+#: Sets that one task holds together, by their shingles and MEMBER for each; larger clusters are cut into parts.
+PART, MEMBER = 2_000_000, 250
 #: Sketches of one bucket that a task compares with each other.
 BUCKET = 4096
 
 _SEED = np.random.default_rng(20_240)
-_XOR = _SEED.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
-_ODD = _SEED.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+_XOR = _SEED.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
+_ODD = _SEED.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) << np.uint32(1) | np.uint32(1)
+_SPACE = np.empty((CHUNK, REGISTERS), dtype=np.uint32)
+#: c * log(c / REGISTERS) for counts of registers.
+_ENTROPY = np.array([0.0] + [c * np.log(c / REGISTERS) for c in range(1, REGISTERS + 1)])
 _STEPS = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-class Shingler(dict):
-    """Set of the distinct word shingles of a text, as sorted 64-bit hashes; word hashes are kept, up to a bound."""
-
-    KEPT = 500_000
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) < self.KEPT:
-            self[word] = value
-        return value
-
-    def shingles(self, text: str, words_per_shingle: int = 3) -> np.ndarray:
-        # bytes.lower() changes A-Z only, bytes.split() cuts at 0x20 and 0x09-0x0D only.
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        width = min(len(words), words_per_shingle)
-        if not width:
-            return np.zeros(0, dtype=np.uint64)
-        hashes = np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-        count = len(words) - width + 1
-        mixed = np.full(count, width, dtype=np.uint64)
-        for i in range(width):
-            mixed = (mixed ^ hashes[i:i + count]) * _STEPS[i % 3]
-            mixed ^= mixed >> np.uint64(29)
-        return np.unique(mixed)
+def shingles_of(text: str, words_per_shingle: int = 3) -> np.ndarray:
+    """The distinct word shingles of a text, as sorted 64-bit hashes."""
+    # bytes.lower() changes A-Z only, bytes.split() cuts at 0x20 and 0x09-0x0D only.
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    width = min(len(words), words_per_shingle)
+    if not width:
+        return np.zeros(0, dtype=np.uint64)
+    hashes = np.array(list(map(xxhash.xxh64_intdigest, words)), dtype=np.uint64)
+    count = len(words) - width + 1
+    mixed = np.full(count, width, dtype=np.uint64)
+    for i in range(width):
+        mixed = (mixed ^ hashes[i:i + count]) * _STEPS[i % 3]
+        mixed ^= mixed >> np.uint64(29)
+    mixed.sort()
+    return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -67,12 +61,15 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     the elements, on a logarithmic scale and cut off at both ends; an empty set has zeros."""
     if not len(shingles):
         return np.zeros(REGISTERS, dtype=np.uint8)
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(REGISTERS, np.iinfo(np.uint32).max, dtype=np.uint32)
+    folded = (shingles >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(shingles), CHUNK):
         # The order of uniform hashes is the order of their exponentials, so the minimum is taken first.
-        least = np.minimum(least, ((shingles[at:at + CHUNK, None] ^ _XOR) * _ODD).min(axis=0))
-    uniform = (least.astype(np.float64) + 0.5) / 2.0 ** 64
-    value = -np.log1p(-np.minimum(uniform, 1 - 2.0 ** -53)) / RATE
+        part = folded[at:at + CHUNK]
+        spread = np.bitwise_xor(part[:, None], _XOR, out=_SPACE[:len(part)])
+        np.multiply(spread, _ODD, out=spread)
+        np.minimum(least, spread.min(axis=0), out=least)
+    value = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0 ** 32) / RATE
     return np.clip(np.floor(1 - np.log(value) / np.log(BASE)), 0, LIMIT + 1).astype(np.uint8)
 
 
@@ -101,14 +98,18 @@ def plausible(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray,
     # |A and B| is at most the smaller size, |A or B| at least the larger one.
     open_ = 100 * np.minimum(size, sizes) >= percent * np.maximum(size, sizes)
     at = np.flatnonzero(open_)
-    if len(at):
-        rows, counts = others[at], sizes[at].astype(np.float64)
-        above, below = (own > rows).sum(axis=1), (own < rows).sum(axis=1)
-        equal = REGISTERS - above - below
-        wanted = log_likelihood(percent / 100, size, counts, above, below, equal)
-        best = np.max([log_likelihood(s, size, counts, above, below, equal)
-                       for s in np.linspace(0.0, percent / 100, 13)[:-1]], axis=0)
-        open_[at] = best - wanted <= DOUBT
+    if not len(at):
+        return open_
+    rows, counts = others[at], sizes[at].astype(np.float64)
+    above, below = (own > rows).sum(axis=1), (own < rows).sum(axis=1)
+    equal = REGISTERS - above - below
+    wanted = log_likelihood(percent / 100, size, counts, above, below, equal)
+    # No similarity explains the registers better than their own frequencies do.
+    doubtful = np.flatnonzero(_ENTROPY[above] + _ENTROPY[below] + _ENTROPY[equal] - wanted > DOUBT)
+    if len(doubtful):
+        seen = counts[doubtful], above[doubtful], below[doubtful], equal[doubtful]
+        best = np.max([log_likelihood(s, size, *seen) for s in np.linspace(0.0, percent / 100, 13)[:-1]], axis=0)
+        open_[at[doubtful]] = best - wanted[doubtful] <= DOUBT
     return open_
 
 
@@ -230,11 +231,10 @@ def marks(docs: DataFrame, id_column: str, text_column: str, words_per_shingle:
     schema = arrow_schema("id bigint, h bigint, size bigint, d1 bigint, d2 bigint, sketch binary")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         for batch in source:
             sizes, halves, sketches = [], [], []
             for text in texts_of(batch.column("text")):
-                found = shingler.shingles(text, words_per_shingle)
+                found = shingles_of(text, words_per_shingle)
                 sizes.append(len(found))
                 halves.append(struct.unpack("<qq", xxhash.xxh3_128_digest(found.tobytes())))
                 sketches.append(sketch(found).tobytes())
@@ -294,7 +294,7 @@ def class_links(docs: DataFrame, classes: DataFrame, id_column: str, text_column
                .mapInArrow(_forests(("key",), percent, False), "a bigint, b bigint"))
     cluster = components(guessed.unionByName(hot))
     weights = cluster.select(F.col("root").alias("node"), "root").distinct().unionByName(cluster).join(
-        classes.select("node", "size"), "node").groupBy("root").agg(F.sum("size").alias("weight"))
+        classes.select("node", "size"), "node").groupBy("root").agg(F.sum(F.col("size") + MEMBER).alias("weight"))
     members = cluster.unionByName(cluster.select(F.col("root").alias("node"), "root").distinct())
     weights = written(weights.withColumn("parts", F.ceil(F.col("weight") / part).cast("int")), "setsketch-weights")
     sets = written(_full_sets(docs, classes, members, id_column, text_column, words_per_shingle)
@@ -318,12 +318,12 @@ def _full_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, id_colum
     schema = arrow_schema("node bigint, root bigint, size bigint, sketch binary, shingles binary")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(), set()
+        seen: set[int] = set()
         for batch in source:
             # Rows that repeat an id and text come once from each task; readers take each node once.
             fresh = [i for i, n in enumerate(batch.column("node").to_pylist()) if not (n in seen or seen.add(n))]
             batch = batch.take(pa.array(fresh, type=pa.int64()))
-            sets = [shingler.shingles(t, words_per_shingle).tobytes() for t in texts_of(batch.column("text"))]
+            sets = [shingles_of(t, words_per_shingle).tobytes() for t in texts_of(batch.column("text"))]
             yield pa.record_batch([*(batch.column(c) for c in ("node", "root", "size", "sketch")),
                                    pa.array(sets, type=pa.binary())], schema=schema)
 
@@ -338,7 +338,7 @@ def _between_parts(sets: DataFrame, met: DataFrame, links: DataFrame, percent: i
              .withColumn("root", F.coalesce("root", "node")))
     known = written(known, "setsketch-known")
     inside = written(met.select("key", "node").join(known.select("node", "root", "size"), "node"), "setsketch-inside")
-    by_root = inside.groupBy("key", "root").agg(F.count("*").alias("m"), F.sum("size").alias("w"))
+    by_root = inside.groupBy("key", "root").agg(F.count("*").alias("m"), F.sum(F.col("size") + MEMBER).alias("w"))
     main = by_root.groupBy("key").agg(
         F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("roots"), F.sum("w").alias("all"),
         (F.sum("w") - F.max_by("w", F.struct("m", "root"))).alias("rest"))
