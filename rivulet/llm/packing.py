@@ -21,6 +21,8 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 KEPT_WORDS = 800_000
 #: A space with white space on both sides: there the pre-tokenizer looks beyond a word.
 ODD_SPACE = re.compile(r"\s \s")
+#: White space so long that ``tiktoken``, which looks ahead at its end, may exhaust its stack (at about a million).
+LONG_SPACE = re.compile(r"\s{10000}")
 
 
 class WordEncoder(dict):
@@ -28,16 +30,26 @@ class WordEncoder(dict):
 
     The vocabulary's pre-tokenizer always cuts before a space that follows a character other than
     white space, and what comes after does not depend on what was before. So a text is cut there
-    and its words are looked up; a text with a space amid white space is encoded whole.
+    and its words are looked up; a text with a space amid white space is encoded whole, and one with
+    very long white space by ``tokenizers``.
     """
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        self._tool = bpe_encoder(path)
+        self._tool, self._path, self._slow = bpe_encoder(path), path, None
 
     def _encode(self, text: str) -> bytes:
+        if LONG_SPACE.search(text):
+            return array("I", self._whole().encode(text, add_special_tokens=False).ids).tobytes()
         return array("I", self._tool.encode_ordinary(text)).tobytes()
 
+    def _whole(self):
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self._path)
+        return self._slow
+
     def __missing__(self, word: str) -> bytes:
         ids = self._encode(" " + word)
         if len(self) < KEPT_WORDS and len(word) < 64:
@@ -62,7 +74,10 @@ def bpe_encoder(path: str):
     import tiktoken
 
     with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
+        whole = json.load(file)
+    model, cut = whole["model"], whole.get("pre_tokenizer") or {}
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        raise ValueError("the file cuts texts in another way than PATTERN")
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
