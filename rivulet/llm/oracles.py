@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from rivulet.llm.secret_scan import (ACCESS, ALLOWED, ASSIGN, ASSIGN_VALUE, CLASSES, HEX, WINDOW,
-                                     highest_sum, weights)
+from rivulet.llm.secret_scan import ACCESS, ASSIGN, ASSIGN_VALUE, CLASSES, HEX, WINDOW, highest_sum, weights
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -72,20 +71,30 @@ def _matches(pattern: str, extra: str = "0") -> str:
             string_split_regex(t, {_text(pattern)}) AS gs FROM d))"""
 
 
+#: Candidates that match one of these as a whole hold no secret; windows that meet a placeholder word or a
+#: base span do not count. Fixed values.
+_WHOLE = ("^[^0-9]*$", "^[^A-Za-z]*$", "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+          "^[A-Za-z]{0,24}([-_/+]+([A-Za-z]{1,24}|[0-9]{1,12}))+[-_/+]*$")
+_WORDS = "((?i)example|sample|dummy|placeholder|changeme|xxxx|0123456789|abcdefgh)"
+
+
 def _windows(letters: str, bits: float) -> str:
     pattern = f"{letters}{{{WINDOW},}}"
-    allowed = " OR ".join(f"regexp_matches(m, {_text(p)})" for p in ALLOWED)
+    allowed = " OR ".join(f"regexp_matches(m, {_text(p)})" for p in _WHOLE)
     window = f"m[o + 1:o + {WINDOW}]"
     counted = f"""list_sum(list_transform(list_distinct(string_split({window}, '')),
         lambda c: (SELECT_W)[len({window}) - len(replace({window}, c, '')) + 1]))"""
     counted = counted.replace("(SELECT_W)", "[" + ", ".join(map(str, weights())) + "]")
     return f"""
   SELECT doc_id, s + o AS s FROM (
-    SELECT doc_id, s, m, unnest(range(0, length(m) - {WINDOW} + 1)) AS o
-    FROM ({_matches(pattern)}) c
-    WHERE NOT ({allowed}) AND NOT EXISTS (
-      SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.s < c.e AND c.s < b.e))
-  WHERE {counted} <= {highest_sum(bits)}"""
+    SELECT doc_id, s, m, words, gaps, unnest(range(0, length(m) - {WINDOW} + 1)) AS o
+    FROM (SELECT *, regexp_extract_all(m, {_text(_WORDS)}) AS words, string_split_regex(m, {_text(_WORDS)}) AS gaps
+          FROM ({_matches(pattern)}) q WHERE NOT ({allowed})) c) w
+  WHERE {counted} <= {highest_sum(bits)}
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.s < w.s + o + {WINDOW} AND w.s + o < b.e)
+    AND (len(words) = 0 OR len(list_filter(range(1, len(words) + 1), lambda i:
+      len(array_to_string(gaps[1:i], '')) + len(array_to_string(words[1:i - 1], '')) < o + {WINDOW}
+      AND o < len(array_to_string(gaps[1:i], '')) + len(array_to_string(words[1:i], '')))) = 0)"""
 
 
 SECRETS_SQL = f"""

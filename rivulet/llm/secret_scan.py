@@ -22,16 +22,19 @@ ASSIGN_VALUE = 8
 WINDOW = 20
 CLASSES = (("[0-9a-fA-F]", 3.0), ("[A-Za-z0-9+/_-]", 3.75))
 #: Candidates that are no secrets: without a digit or without a letter, placeholders, UUIDs, and
-#: words joined by hyphens or underscores or slashes as in names and paths.
+#: words joined by hyphens or underscores or slashes as in names and paths (possessive quantifiers
+#: find the same, as neighbouring parts share no character, and need no stack however long the run is).
 ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"(?i)example|sample|dummy|placeholder|changeme|xxxx|0123456789|abcdefgh",
            r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-           r"^[A-Za-z]{0,24}([-_/+]+([A-Za-z]{1,24}|[0-9]{1,12}))+[-_/+]*$")
+           r"^[A-Za-z]{0,24}+(?:[-_/+]++(?:[A-Za-z]{1,24}+|[0-9]{1,12}+))++[-_/+]*+$")
 #: Patterns that a candidate must match as a whole, and words that only count where they stand.
 WHOLE = tuple(p for p in ALLOWED if p.startswith("^"))
 PLACEHOLDER = "|".join(p for p in ALLOWED if not p.startswith("^"))
 #: Characters of a candidate that one fold handles; longer candidates are taken in overlapping pieces.
 PIECE = 512
 SCALE = 1 << 20
+#: Items of an array that one fold gathers.
+RUN = 256
 
 
 def weights(window: int = WINDOW) -> list[int]:
@@ -50,20 +53,38 @@ def matches(text: Column, pattern: str, group: int = 1) -> Column:
     Start and end count code points; the gaps between matches come from splitting at the same pattern.
     """
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), group), F.split(text, pattern, -1)
+    pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(
+        m.alias("text"), F.length(g).cast("bigint").alias("g"), F.length(m).cast("bigint").alias("n")))
+    spans = F.array().cast("array<struct<start:bigint,end:bigint,text:string>>")
+    zero = F.lit(0).cast("bigint")
+
+    def extend(state: Column, x: Column) -> Column:
+        start = state["at"] + x["g"]
+        return F.struct((start + x["n"]).alias("at"), F.concat(state["out"], F.array(F.struct(
+            start.alias("start"), (start + x["n"]).alias("end"), x["text"].alias("text")))).alias("out"))
+
+    # Places are found inside runs of RUN matches first and then moved by what lies before the run, so
+    # that no long array is rebuilt for every match.
+    runs = F.transform(_let(pairs, _runs), lambda run: F.aggregate(
+        run, F.struct(zero.alias("at"), spans.alias("out")), extend))
     placed = F.aggregate(
-        F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(
-            m.alias("m"), F.length(g).cast("bigint").alias("g"))),
-        F.struct(F.lit(0).cast("bigint").alias("at"),
-                 F.array().cast("array<struct<start:bigint,end:bigint,text:string>>").alias("out")),
-        lambda state, x: F.struct(
-            (state["at"] + x["g"] + F.length(x["m"])).alias("at"),
-            F.concat(state["out"], F.array(F.struct(
-                (state["at"] + x["g"]).alias("start"),
-                (state["at"] + x["g"] + F.length(x["m"])).alias("end"),
-                x["m"].alias("text")))).alias("out")),
-        lambda state: state["out"])
-    none = F.array().cast("array<struct<start:bigint,end:bigint,text:string>>")
-    return F.when(F.rlike(text, F.lit(pattern)), placed).otherwise(none)
+        runs, F.struct(zero.alias("at"), F.array(spans).alias("out")),
+        lambda state, run: F.struct((state["at"] + run["at"]).alias("at"), F.concat(state["out"], F.array(F.transform(
+            run["out"], lambda m: F.struct((state["at"] + m["start"]).alias("start"), (state["at"] + m["end"]).alias("end"),
+                                           m["text"].alias("text"))))).alias("out")),
+        lambda state: F.flatten(state["out"]))
+    return F.when(F.rlike(text, F.lit(pattern)), placed).otherwise(spans)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, even where ``body`` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _runs(items: Column) -> Column:
+    """An array cut into arrays of at most RUN items."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(RUN)),
+                       lambda at: F.slice(items, at + 1, RUN))
 
 
 def _times(char: Column, text: Column) -> Column:
@@ -105,17 +126,36 @@ def _spans(kind: int, found: Column) -> Column:
         m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
 
 
+def _running_max(values: Column) -> Column:
+    """For each place of an array of bigint the largest value up to there."""
+    least, none = F.lit(-1).cast("bigint"), F.array().cast("array<bigint>")
+
+    def extend(state: Column, x: Column) -> Column:
+        top = F.greatest(state["top"], x)
+        return F.struct(top.alias("top"), F.concat(state["out"], F.array(top)).alias("out"))
+
+    runs = F.transform(_let(values, _runs), lambda run: F.aggregate(
+        run, F.struct(least.alias("top"), none.alias("out")), extend))
+    return F.aggregate(
+        runs, F.struct(least.alias("top"), F.array(none).alias("out")),
+        lambda state, run: F.struct(F.greatest(state["top"], run["top"]).alias("top"), F.concat(
+            state["out"], F.array(F.transform(run["out"], lambda v: F.greatest(state["top"], v)))).alias("out")),
+        lambda state: F.flatten(state["out"]))
+
+
 def _merged(spans: Column) -> Column:
     """Sorted spans of one kind with those that overlap or touch joined."""
-    kind = "array<struct<start:bigint,kind:int,end:bigint>>"
-    return F.aggregate(
-        F.sort_array(spans), F.array().cast(kind),
-        lambda out, x: F.when(
-            (F.size(out) > 0) & (F.element_at(out, -1)["end"] >= x["start"]),
-            F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(F.struct(
-                F.element_at(out, -1)["start"].alias("start"), x["kind"].alias("kind"),
-                F.greatest(F.element_at(out, -1)["end"], x["end"]).alias("end")))))
-        .otherwise(F.concat(out, F.array(x))))
+    def join(ordered: Column, tops: Column) -> Column:
+        # A joined span starts where no earlier one reaches, and ends at the largest end before the next such start.
+        first = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (
+            F.get(ordered, i)["start"] > F.get(tops, i - 1)))
+        return _let(first, lambda f: F.transform(f, lambda at, n: F.struct(
+            F.get(ordered, at)["start"].alias("start"), F.get(ordered, at)["kind"].alias("kind"),
+            F.get(tops, F.coalesce(F.get(f, n + 1), F.size(ordered)) - 1).alias("end"))))
+
+    return F.when(F.size(spans) == 0, F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")).otherwise(
+        _let(F.sort_array(spans), lambda ordered: _let(
+            _running_max(F.transform(ordered, lambda x: x["end"])), lambda tops: join(ordered, tops))))
 
 
 def _entropy(text: Column, base: Column, window: int) -> Column:
@@ -129,11 +169,7 @@ def _entropy(text: Column, base: Column, window: int) -> Column:
         allowed = F.filter(found, lambda m: ~F.coalesce(
             _any_like(m["text"]), F.lit(False)))
         allowed = F.flatten(F.transform(allowed, lambda m: _rest(m, base, window)))
-        pieces = F.flatten(F.transform(allowed, lambda m: F.transform(
-            F.sequence(F.lit(0), F.greatest(F.length(m["text"]) - window, F.lit(0)),
-                       F.lit(PIECE - window + 1)),
-            lambda o: F.struct((m["start"] + o).alias("start"),
-                               F.substring(m["text"], o + 1, F.lit(PIECE)).alias("text")))))
+        pieces = F.flatten(F.transform(allowed, lambda m: _pieces(m, window)))
         spans = F.concat(spans, F.flatten(F.transform(pieces, lambda p: F.transform(
             entropy_windows(p["text"], bits, window), lambda w: F.struct(
                 (p["start"] + w).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
@@ -141,6 +177,15 @@ def _entropy(text: Column, base: Column, window: int) -> Column:
     return _merged(spans)
 
 
+def _pieces(run: Column, window: int) -> Column:
+    """A candidate in pieces of at most PIECE characters that overlap by a window less one."""
+    step = PIECE - window + 1
+    parts = F.regexp_extract_all(run["text"], F.lit(f"(.{{1,{step}}})"), 1)
+    return _let(parts, lambda found: F.transform(found, lambda part, i: F.struct(
+        (run["start"] + i * step).alias("start"), F.concat(part, F.coalesce(
+            F.substring(F.get(found, i + 1), 1, window - 1), F.lit(""))).alias("text"))))
+
+
 def _any_like(text: Column) -> Column:
     out = F.lit(False)
     for pattern in WHOLE:
@@ -214,11 +259,21 @@ def redact(docs: DataFrame, text_column: str = "text", mark: str = "[SECRET]",
     named = as_rows(docs, text=F.col(text_column))
     spans = find_secrets(named, "_row", "text", window).withColumn("spans", _merged(F.col("spans")))
     text = F.col("_row")[text_column]
-    pieces = F.aggregate(
-        F.col("spans"), F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
-        lambda s, x: F.struct(x["end"].alias("at"), F.concat(
-            s["out"], F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")),
-            F.lit(mark)).alias("out")),
-        lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
+
+    def cut(source: Column, start: Column, end: Column) -> Column:
+        return F.substring(source, (start + 1).cast("int"), (end - start).cast("int"))
+
+    def marked(run: Column) -> Column:
+        """A run of spans, with the text before each, from a substring that holds only them."""
+        base = run[0]["from"]
+        near = F.array(cut(text, base, F.element_at(run, -1)["to"]))
+        return F.array_join(F.flatten(F.transform(near, lambda part: F.transform(run, lambda x: F.concat(
+            cut(part, x["from"] - base, x["to"] - base), F.lit(mark))))), "")
+
+    gaps = F.transform("spans", lambda x, i: F.struct(
+        F.when(i == 0, F.lit(0).cast("bigint")).otherwise(F.get(F.col("spans"), i - 1)["end"]).alias("from"),
+        x["start"].alias("to")))
+    tail = cut(text, F.element_at("spans", -1)["end"], F.length(text).cast("bigint"))
+    pieces = F.concat(F.array_join(F.transform(_let(gaps, _runs), marked), ""), tail)
     clean = F.when(F.size("spans") > 0, pieces).otherwise(text)
     return spans.select(F.col("_row").withField(f"`{text_column}`", clean).alias("_row")).select("_row.*")
