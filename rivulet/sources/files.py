@@ -12,15 +12,11 @@ from rivulet import schema as S
 from rivulet.functions.numbers import to_double, to_int
 from rivulet.functions.text import slug_from_stem, state_name, state_slug, strip, year_from_stem
 from rivulet.operators.shaping import bind
+from rivulet.sources.quoted import scan_records
 
 
-def _widest_header(spark: SparkSession, paths: str | Sequence[str]) -> int:
-    """Most cells in a header line of the files (a small job, as for inferring a schema)."""
-    line = F.lower("value")
-    found = spark.read.text(paths).filter(
-        line.contains("stn_code") | line.contains("monitoring_location")
-    ).agg(F.max(F.size(F.split("value", ",")))).first()[0]
-    return max(found or 1, 1)
+#: How a record is cut into cells: doubled quotes, line breaks inside quotes kept as they are.
+CELLS = {"escape": '"', "quote": '"', "multiLine": "true", "mode": "PERMISSIVE"}
 
 
 def scan_samples_csv(
@@ -29,31 +25,27 @@ def scan_samples_csv(
     """Sample CSV files with a header each, typed and brought to one column list.
 
     Files may differ in the number and order of their columns: every cell is placed by the header
-    of its own file, matched trimmed and in any case. Columns a file does not have are NULL. A
-    header names the station code or the location; a file with rows and no header raises an error
-    with its path. Quoted cells may hold line breaks.
+    of its own file, matched trimmed and in any case. Columns a file does not have are NULL. The
+    header is the first row of a file and names the station code or the location; a file with
+    rows whose first row does not raises an error with its path. Quoted cells may hold line
+    breaks, and large files are read in many splits all the same (see ``quoted``).
     """
-    cells = [f"c{i}" for i in range(_widest_header(spark, paths))]
-    raw = (
-        spark.read.schema(", ".join(f"{c} string" for c in cells))
-        .option("header", False).option("multiLine", True).option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(paths)
-        .select(F.col("_metadata.file_path").alias("path"), F.array(*cells).alias("cells"))
-    )
-    header = F.transform("cells", lambda c: F.lower(strip(c)))
-    is_header = F.array_contains(header, "monitoring_location") | F.array_contains(header, "stn_code")
-    # One small row per file: where in its rows each wanted column stands (0: nowhere). Spark
-    # broadcasts this side while it is under its size threshold.
-    headers = raw.filter(is_header).dropDuplicates(["path"]).withColumn("header", header).select(
-        "path", F.array(*[
-            F.coalesce(F.array_position("header", F.lit(name)), F.lit(0)).cast("int")
-            for name in columns
-        ]).alias("at"),
-    )
+    records, splits = scan_records(spark, paths)
+    width = F.max(F.length("header") - F.length(F.replace(F.col("header"), F.lit(","))) + 1)
+    cells = [f"c{i}" for i in range(splits.agg(width).first()[0] or 1)]  # one number for the widest header
+    schema = ", ".join(f"{c} string" for c in cells)
+
+    def cut(df: DataFrame, text: str) -> DataFrame:
+        row = bind(df, _row=F.from_csv(F.col(text), schema, CELLS))
+        return row.select(*df.columns, F.array(*[F.col(f"_row.{c}") for c in cells]).alias("cells"))
+
+    # Where in the rows of its file each wanted column stands (0: nowhere): one small row per split.
+    named = cut(splits, "header").select("split", "path", F.transform("cells", lambda c: F.lower(strip(c))).alias("names"))
+    known = F.array_contains("names", "monitoring_location") | F.array_contains("names", "stn_code")
     lost = F.raise_error(F.concat(F.lit("no header in "), F.col("path"))).cast("array<int>")
-    placed = raw.filter(~F.coalesce(is_header, F.lit(False))).join(headers, "path", "left").withColumn(
-        "at", F.when(F.col("at").isNull(), lost).otherwise(F.col("at")))
+    at = F.array(*[F.coalesce(F.array_position("names", F.lit(name)), F.lit(0)).cast("int") for name in columns])
+    headers = named.select("split", "path", F.when(F.coalesce(known, F.lit(False)), at).otherwise(lost).alias("at"))
+    placed = cut(records, "record").join(headers, "split")
     texts = bind(placed, **{
         name: F.when(F.get("at", F.lit(i)) > 0, F.get("cells", F.get("at", F.lit(i)) - 1))
         for i, name in enumerate(columns)
