@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rivulet.functions.geo import geocode_candidates, geocode_simplify
@@ -55,6 +56,90 @@ def join_gazetteer_ranked(locations: DataFrame, gazetteer: DataFrame) -> DataFra
     )
 
 
+#: Letters of a q-gram, the most edits of a search text, and the letters of a place for each edit allowed.
+GRAM, MOST_EDITS, LETTERS_PER_EDIT = 3, 2, 6
+
+
+def place_and_area(query: Column) -> tuple[Column, Column]:
+    """A search text cut before its last two parts (state and country); with fewer parts all is place."""
+    pattern = r"^(.*)(, [^,]*, [^,]*)$"
+    cut = F.rlike(query, F.lit(pattern))
+    return (F.when(cut, F.regexp_extract(query, pattern, 1)).otherwise(query),
+            F.when(cut, F.regexp_extract(query, pattern, 2)).otherwise(F.lit("")))
+
+
+def edits_allowed(place: Column) -> Column:
+    return F.least(F.lit(MOST_EDITS), F.floor(F.length(place) / LETTERS_PER_EDIT)).cast("int")
+
+
+def _grams(df: DataFrame) -> DataFrame:
+    """text, place, area and each q-gram of the place; the n-th of equal grams carries its number."""
+    starts = F.sequence(F.lit(1), F.length("place") - GRAM + 1)
+    grams = F.transform(starts, lambda i: F.substring(F.col("place"), i, F.lit(GRAM)))
+    rows = df.where(F.length("place") >= GRAM).select("text", "place", "area", F.explode(grams).alias("gram"))
+    counted = rows.groupBy("text", "place", "area", "gram").agg(F.count("*").alias("n"))
+    return counted.select("text", "place", "area", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("i"), "gram").select(
+        "text", "place", "area", F.concat("gram", F.col("i").cast("string")).alias("gram"))
+
+
+def _rarest(grams: DataFrame, uses: DataFrame, edits: Column) -> DataFrame:
+    """Of each text the grams that a text within ``edits`` must share one of: its rarest edits * GRAM + 1."""
+    order = W.partitionBy("text").orderBy(F.coalesce("uses", F.lit(0)), "gram")
+    return (grams.join(uses, "gram", "left").withColumn("at", F.row_number().over(order))
+            .where(F.col("at") <= edits * GRAM + 1).select("text", "place", "area", "gram"))
+
+
+def similar_places(queries: DataFrame, known: DataFrame) -> DataFrame:
+    """text, match and distance (edits, 1 or more) of search texts and known texts that are nearly equal.
+
+    The last two parts of both, state and country, are equal, and the places before them are at most
+    as many edits apart as the search text's place allows: one for every six letters, two at most.
+    Texts within d edits share one of their rarest d * q + 1 q-grams, whatever the order, so only
+    texts that meet at such a gram, in the same area and with lengths at most d apart, are compared;
+    no pair is lost, and frequent grams are hardly ever among the rarest. The edit distance stops
+    at the bound.
+    """
+    def side(df: DataFrame) -> DataFrame:
+        place, area = place_and_area(F.col("text"))
+        return df.select(F.col("query").alias("text")).where("text is not null").distinct().select(
+            "text", place.alias("place"), area.alias("area"))
+
+    asked = side(queries).where(edits_allowed(F.col("place")) > 0)
+    given = _grams(side(known))
+    uses = given.groupBy("gram").agg(F.count("*").alias("uses"))
+    left = _rarest(_grams(asked), uses, edits_allowed(F.col("place"))).withColumn("d", edits_allowed(F.col("place")))
+    right = _rarest(given, uses, F.lit(MOST_EDITS)).select(F.col("text").alias("match"), F.col("place").alias("other"), "area", "gram")
+    near = F.abs(F.length("place") - F.length("other")) <= F.col("d")
+    pairs = left.join(right, ["area", "gram"]).where(near).select("text", "match", "place", "other", "d").distinct()
+    return (pairs.withColumn("distance", F.expr("levenshtein(place, other, d)")).where("distance > 0")
+            .select("text", "match", "distance"))
+
+
+def join_gazetteer_fuzzy(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """Like ``join_gazetteer_ranked``, but a search text also finds known texts with small misspellings.
+
+    The best hit has the smallest rank of the search text, then the fewest edits, then the first
+    known text; ``matched`` and ``distance`` name it. Each distinct search text is compared once,
+    however many locations share it.
+    """
+    distinct = locations.select(*[F.coalesce(k, F.lit("")).alias(k) for k in KEYS]).distinct()
+    tried = candidate_queries(distinct, keep_empty=True)
+    known = gazetteer.where(F.col("lat").isNotNull())
+    equal = tried.select("query").distinct().join(known.select("query"), "query").distinct().select(
+        F.col("query").alias("text"), F.col("query").alias("match"), F.lit(0).alias("distance"))
+    near = similar_places(tried, known).unionByName(equal)
+    placed = near.join(known.select(F.col("query").alias("match"), "lat", "lng"), "match").groupBy("text").agg(
+        F.min(F.struct("distance", "match", "lat", "lng")).alias("found"))
+    found = F.struct(F.col("rank"), F.col("found.distance"), F.col("found.match").alias("matched"),
+                     F.col("found.lat"), F.col("found.lng"), F.col("query"))
+    best = tried.join(placed, tried["query"] == placed["text"], "left").groupBy(*KEYS).agg(
+        F.min(F.when(F.col("found").isNotNull(), found)).alias("hit"), F.min(F.struct("rank", "query")).alias("first"))
+    return best.select(
+        *KEYS, F.col("hit.lat").alias("lat"), F.col("hit.lng").alias("lng"),
+        F.coalesce("hit.query", "first.query").alias("query"), F.col("hit.matched").alias("matched"),
+        F.col("hit.distance").alias("distance"), F.col("hit").isNotNull().alias("success"))
+
+
 def failed_locations(df: DataFrame) -> DataFrame:
     """Stations, each once, that no position was found for."""
     return df.filter(~F.col("geocoded")).select("stn_code", "monitoring_location").distinct()

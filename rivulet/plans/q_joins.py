@@ -61,6 +61,36 @@ def join_gazetteer_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return locate.join_gazetteer_ranked(named, gazetteer(spark, sf_dir))
 
 
+_PART = "'^(.*)(, [^,]*, [^,]*)$'"
+_CUT = (f"CASE WHEN regexp_matches(query, {_PART}) THEN regexp_extract(query, {_PART}, 1) ELSE query END AS place, "
+        f"regexp_extract(query, {_PART}, 2) AS area")
+_TYPOS = f"""typos AS (SELECT *, {_CUT} FROM (SELECT query, min(lat) AS lat, min(lng) AS lng FROM (SELECT lat, lng,
+  CASE length(query) % 3 WHEN 0 THEN substr(query, 1, 2) || substr(query, 4) WHEN 1 THEN substr(query, 1, 3) || 'z' || substr(query, 4)
+  ELSE query END AS query FROM gazetteer) GROUP BY query)), tried AS (SELECT *, {_CUT} FROM candidates),
+hits AS (SELECT t.monitoring_location, t.state, t.query, t.rank, g.query AS matched, g.lat, g.lng,
+  CAST(levenshtein(t.place, g.place) AS INT) AS distance FROM tried t JOIN typos g
+  ON t.area = g.area AND abs(length(t.place) - length(g.place)) <= least(2, length(t.place) // 6)
+  AND levenshtein(t.place, g.place) <= least(2, length(t.place) // 6)),
+best AS (SELECT monitoring_location, state, arg_min({{'q': query, 'm': matched, 'lat': lat, 'lng': lng, 'd': distance}},
+  row(rank, distance, matched)) AS b FROM hits GROUP BY ALL)"""
+
+
+@query("join_gazetteer_fuzzy", Q.wrap(
+    "SELECT monitoring_location, state, any_value(b.lat) AS lat, any_value(b.lng) AS lng, coalesce(any_value(b.q), arg_min(query, rank)) AS query, "
+    "any_value(b.m) AS matched, any_value(b.d) AS distance, any_value(b.m) IS NOT NULL AS success "
+    "FROM candidates LEFT JOIN best USING (monitoring_location, state) GROUP BY 1, 2",
+    _PLACES, _SIMPLE, _CANDIDATES, _GAZETTEER, _TYPOS))
+def join_gazetteer_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known places with a letter lost or added in two thirds of the texts."""
+    named = places(spark, sf_dir).withColumnRenamed("name", "monitoring_location")
+    text, kind = F.col("query"), F.length("query") % 3
+    spelled = F.when(kind == 0, F.concat(F.substring(text, 1, 2), F.substr(text, F.lit(4)))).when(
+        kind == 1, F.concat(F.substring(text, 1, 3), F.lit("z"), F.substr(text, F.lit(4)))).otherwise(text)
+    typos = gazetteer(spark, sf_dir).withColumn("query", spelled).groupBy("query").agg(
+        F.min("lat").alias("lat"), F.min("lng").alias("lng"))
+    return locate.join_gazetteer_fuzzy(named, typos)
+
+
 @query("failed_locations", Q.on_samples(
     "SELECT DISTINCT stn_code, monitoring_location FROM samples LEFT JOIN cache USING (monitoring_location, state) "
     "WHERE NOT coalesce(success, FALSE)", CACHE_SQL))
