@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rivulet import rules as R
 from rivulet.functions.text import split_list
 from rivulet.functions.violations import violation_structs
-from rivulet.operators import evaluate, knowledge, latest, score, stats
+from rivulet.operators import evaluate, knowledge, latest, score, stats, vector_index
 from rivulet.plans import ctes as Q
 from rivulet.plans.registry import query
 from rivulet.sources.tables import samples, table
@@ -99,6 +99,19 @@ def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(spark, sf_dir).withColumn("distance", F.round("distance", 6))
 
 
+@query("knn_index", f"""SELECT query_id, chunk_id, CAST(rank AS INT) AS rank, {Q.rnd('distance', 6)} AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM (
+    SELECT a.vec_id AS query_id, b.vec_id AS chunk_id, list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i:
+      (CAST(b.embedding[i] AS DOUBLE) - CAST(a.embedding[i] AS DOUBLE)) * (CAST(b.embedding[i] AS DOUBLE) - CAST(a.embedding[i] AS DOUBLE)))) AS distance
+    FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0)) WHERE rank <= 5""")
+def knn_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every vector whose id is divisible by 100, from a kept index of all."""
+    vectors = table(spark, sf_dir, "embeddings")
+    path = vector_index.build_index(vectors)
+    queries = vectors.filter(F.col("vec_id") % 100 == 0).withColumnRenamed("vec_id", "query_id")
+    return vector_index.search_index(spark, path, queries, 5).withColumn("distance", F.round("distance", 6))
+
+
 @query("context_assembly", Q.wrap(
     "SELECT query_id, string_agg('Context ' || CAST(rank AS VARCHAR) || ': ' || document, chr(10) || chr(10) ORDER BY rank) AS context_text, "
     "count(*) AS context_count FROM found GROUP BY query_id", _HITS))
