@@ -22,6 +22,7 @@ HEADLINES = [
     "forecast_backtest", "history_forecast_merge", "manifest_first_seen", "extract_samples",
     "chunk_tokens", "knn_topk", "chat_history_window", "suggest_questions",
     "scan_samples_csv", "scan_samples_multi", "rescore_files", "chunk_pages", "error_histogram",
+    "join_gazetteer_fuzzy", "knn_index",
 ]
 
 
