@@ -73,7 +73,7 @@ def _common(label: bytes, key: bytes, at: int) -> int:
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 held_bytes: int = 16 << 20) -> DataFrame:
+                 held_bytes: int = 6 << 20) -> DataFrame:
     """Groups of equal texts, one row per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z only; null counts as empty. Of equal

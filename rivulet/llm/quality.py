@@ -168,9 +168,9 @@ def score(docs: DataFrame, model: CompressionModel, id_column: str = "doc_id",
 def keep_good(docs: DataFrame, model: CompressionModel, threshold: float = 0.7,
               text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, all columns as they were."""
-    @F.pandas_udf("double")
-    def scored(text: pd.Series) -> pd.Series:
-        x = [model.features(t or "") for t in text]
-        return pd.Series(model.scores(np.array(x).reshape(-1, 4)))
+    @F.arrow_udf("double")
+    def scored(text: pa.Array) -> pa.Array:
+        x = [model.features(t) for t in texts_of(text)]
+        return pa.array(model.scores(np.array(x).reshape(-1, 4)), pa.float64())
 
     return docs.where(scored(F.col(text_column)) >= threshold)

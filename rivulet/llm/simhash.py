@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -246,10 +245,10 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     sort first stays; rows of that id in other groups have no part in it, and an id with several texts
     may stand for several groups. Rows without id cannot be chosen from and all stay.
     """
-    @F.pandas_udf("bigint")
-    def printed(text: pd.Series) -> pd.Series:
-        found = np.array([fingerprint(t or "") for t in text], dtype=np.uint64)
-        return pd.Series(found.view(np.int64))
+    @F.arrow_udf("bigint")
+    def printed(text: pa.Array) -> pa.Array:
+        found = np.array([fingerprint(t) for t in texts_of(text)], dtype=np.uint64)
+        return pa.array(found.view(np.int64))
 
     chosen = (_grouped(docs, id_column, text_column, radius).where("id = component_id")
               .select(F.col("id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct())
