@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.operators import evaluate, forecast, score, stats
+from rivulet.operators import changepoints, evaluate, forecast, score, stats
 from rivulet.plans import ctes as Q
 from rivulet.plans.q_stats import histogram_sql
 from rivulet.plans.registry import query
@@ -165,3 +165,78 @@ def history_forecast_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scored(spark, sf_dir)
     history = stats.location_year_avg(rows, ["stn_code", "year"], digits=2)
     return forecast.history_forecast_merge(history, forecast.display(forecast.forecast_router(rows, _H)))
+
+
+# The given series have seven years at most, where the default penalty admits no break.
+_PENALTY = 1.0
+
+
+def _divisions(source: str) -> tuple[str, ...]:
+    """All divisions of each series, one by one, and the best of them."""
+    terms = {"n": "1", "sx": "year - 2000", "sxx": "(year - 2000) * (year - 2000)", "sy": "y",
+             "sxy": "(year - 2000) * y", "syy": "y * y"}
+    running = ", ".join(f"sum(CAST({t} AS BIGINT)) OVER (PARTITION BY stn_code ORDER BY year) AS {c}" for c, t in terms.items())
+    sums = ", ".join(f"CAST(b.{c} - coalesce(a.{c}, 0) AS DOUBLE) AS {c}" for c in terms)
+    return (
+        f"prefix AS (SELECT stn_code, year, y, row_number() OVER (PARTITION BY stn_code ORDER BY year) AS i, {running} FROM {source})",
+        "ends AS (SELECT stn_code, max(i) AS years FROM prefix GROUP BY stn_code)",
+        f"""parts AS (SELECT b.stn_code, coalesce(a.i, 0) AS s, b.i AS e, f.year AS first_year, b.year AS last_year, b.y AS last_y, {sums}
+FROM prefix b JOIN prefix f ON f.stn_code = b.stn_code AND f.i <= b.i - 2
+LEFT JOIN prefix a ON a.stn_code = f.stn_code AND a.i = f.i - 1)""",
+        """fitted AS (SELECT *, crossed / spread AS slope, (sxx * sy - sx * sxy) / spread AS intercept,
+  round(greatest(((n * syy - sy * sy) - crossed * crossed / spread) / n, 0.0::DOUBLE) / 1000000.0::DOUBLE) AS cost
+FROM (SELECT *, n * sxx - sx * sx AS spread, n * sxy - sx * sy AS crossed FROM parts))""",
+        f"""prices AS (SELECT ends.*, slope AS whole_slope, intercept AS whole_intercept,
+  round({_PENALTY}::DOUBLE * ln(years::DOUBLE) * cost / (years::DOUBLE - 2)) AS price
+FROM ends JOIN fitted ON fitted.stn_code = ends.stn_code AND s = 0 AND e = years)""",
+        """paths(stn_code, e, lines, total, starts) AS (SELECT stn_code, e, 1, cost, [s] FROM fitted WHERE s = 0
+UNION ALL SELECT p.stn_code, f.e, p.lines + 1, p.total + f.cost + prices.price, list_append(p.starts, f.s)
+FROM paths p JOIN fitted f ON f.stn_code = p.stn_code AND f.s = p.e JOIN prices ON prices.stn_code = p.stn_code)""",
+        """best AS (SELECT * FROM (SELECT p.*, years, whole_slope, whole_intercept, total - price * (lines - 1) AS error,
+  row_number() OVER (PARTITION BY p.stn_code ORDER BY total, lines, starts) AS place
+  FROM paths p JOIN prices ON prices.stn_code = p.stn_code AND e = years) WHERE place = 1)""",
+        """ending AS (SELECT f.*, years, lines, error, whole_slope, whole_intercept FROM best
+  JOIN fitted f ON f.stn_code = best.stn_code AND f.s = list_last(starts) AND f.e = years)""")
+
+
+def _with_recursion(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def divided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changepoints.changepoint_segments(scored(spark, sf_dir), penalty=_PENALTY)
+
+
+@query("changepoint_segments", _with_recursion(Q.on_scored(
+    "SELECT f.stn_code, list_position(starts, f.s) AS segment, first_year, last_year, CAST(n AS BIGINT) AS points, "
+    "slope / 1000000.0::DOUBLE AS slope, (intercept + slope * (first_year - 2000)) / 1000000.0::DOUBLE AS level "
+    "FROM best JOIN fitted f ON f.stn_code = best.stn_code AND list_contains(starts, f.s) "
+    "AND f.e = coalesce(starts[list_position(starts, f.s) + 1], years)", Q.SERIES, *_divisions("series"))))
+def changepoint_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changepoints.segment_lines(divided(spark, sf_dir))
+
+
+_AWAY = "(n * (year - 2000) - sx)"
+_WIDER = (f"sqrt(error / greatest(years - 2 * lines, 1)) / 1000.0::DOUBLE * 1.28::DOUBLE * "
+          f"sqrt(1.0::DOUBLE + 1.0::DOUBLE / n + {_AWAY} * {_AWAY} / (n * (n * sxx - sx * sx)))")
+
+
+@query("forecast_changepoints", _with_recursion(Q.on_scored(
+    _select(_clip(_LINE), f"{_LINE} - {_WIDER}", f"{_LINE} + {_WIDER}", _label(), "FALSE"),
+    Q.SERIES, *_divisions("series"), _FUTURE.replace("FROM lines", "FROM ending"))))
+def forecast_changepoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changepoints.forecast_changepoints(divided(spark, sf_dir), _H)
+
+
+def _at_cut(slope: str, intercept: str) -> str:
+    return f"({intercept} + {slope} * (2001 - 2000)) / 1000000.0::DOUBLE"
+
+
+@query("changepoint_backtest", _with_recursion(Q.on_scored(
+    "SELECT *, abs(broken - actual) AS broken_error, abs(line - actual) AS line_error FROM (SELECT ending.stn_code, "
+    f"a.y / 1000000.0::DOUBLE AS actual, CAST(lines - 1 AS INT) AS breaks, {_at_cut('slope', 'intercept')} AS broken, "
+    f"{_at_cut('whole_slope', 'whole_intercept')} AS line "
+    "FROM ending JOIN series a ON a.stn_code = ending.stn_code AND a.year = 2001)",
+    Q.SERIES, "earlier AS (SELECT * FROM series WHERE year <= 2000)", *_divisions("earlier"))))
+def changepoint_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changepoints.changepoint_backtest(scored(spark, sf_dir), 2000, penalty=_PENALTY)
