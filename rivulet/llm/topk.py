@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 
 from rivulet.llm.common import arrow_schema
 
-#: Quantised components lie below this in size, so that no score leaves 64 bits.
-LARGEST = 1 << 24
+#: Quantised components are held within this size.
+LARGEST = 1 << 55
+#: The lower part of a score whose upper part is kept apart: 63 bits.
+LOWER = (1 << 63) - 1
 #: Queries whose sums are formed together.
 TOGETHER = 8
 
@@ -36,7 +38,8 @@ def bit_sliced_topk(index: DataFrame, queries: DataFrame, k: int = 20, id_column
     non-finite components take no part, nor do rows without id. Shorter vectors count as padded with
     zeros. A row is never a result of a query with the same id; other repeated rows are candidates
     each. Of several query rows with one id the smallest vector is taken. Other columns are ignored.
-    Quantised components of 2^24 or more in size raise an error. Empty tables give no rows.
+    Rows are chosen by exact scores of any size; a score that leaves 64 bits is returned as null.
+    Quantised components beyond 2^55 in size count as 2^55. Empty tables give no rows.
     """
     held = _quantised(index, id_column, vector_column, scale)
     asked = (_quantised(queries, id_column, vector_column, scale)
@@ -58,23 +61,24 @@ def bit_sliced_topk(index: DataFrame, queries: DataFrame, k: int = 20, id_column
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
     found = (blocks.join(groups, ["block", "grp"])
              .select("rows", "bits", "dims", "ids", "low", "slices", "qs")
-             .mapInArrow(_searcher(k), "query_id bigint, vec_id bigint, score bigint"))
-    order = "row_number() over (partition by query_id order by score desc, vec_id)"
+             .mapInArrow(_searcher(k), "query_id bigint, vec_id bigint, upper bigint, lower bigint"))
+    order = "row_number() over (partition by query_id order by upper desc, lower desc, vec_id)"
+    score = F.when(F.col("upper").isin(0, -1), F.shiftleft("upper", 63).bitwiseOR(F.col("lower")))
     return (found.withColumn("rank", F.expr(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", score.alias("score")))
 
 
 def _quantised(df: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
     vector = F.col(vector_column).cast(T.ArrayType(T.DoubleType()))
     finite = F.forall(vector, lambda x: F.coalesce(
         ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
-    whole = F.transform(vector, lambda x: F.floor(x * scale))
-    small = F.forall(whole, lambda x: F.abs(x) < LARGEST)
+    # Bounded as doubles: the product may be infinite, which no whole number holds.
+    whole = F.transform(vector, lambda x: F.floor(
+        F.greatest(F.least(x * scale, F.lit(float(LARGEST))), F.lit(float(-LARGEST)))))
     return (df.select(F.col(id_column).cast("bigint").alias("id"), vector.alias("x"))
             .select("id", F.col("x").alias(vector_column))
             .where(F.col("id").isNotNull() & F.col(vector_column).isNotNull() & finite)
-            .select("id", F.when(small, whole).otherwise(
-                F.raise_error(F.lit("a component is too large for the index"))).alias("v")))
+            .select("id", whole.alias("v")))
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -192,7 +196,7 @@ def select_top(sums: list[np.ndarray], allowed: np.ndarray, k: int) -> tuple[np.
 
 
 def _searcher(k: int):
-    schema = arrow_schema("query_id bigint, vec_id bigint, score bigint")
+    schema = arrow_schema("query_id bigint, vec_id bigint, upper bigint, lower bigint")
 
     def block_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         shape = (row["dims"] * row["bits"], -(-row["rows"] // 64))
@@ -216,7 +220,9 @@ def _searcher(k: int):
                 weights[i, :len(own)] = own
             sums = weighted_sums(pool, bits, weights)
             # The complement of u stands for 2^bits - 1 - u, which this offset takes back.
-            offset = weights @ low + np.minimum(weights, 0).sum(axis=1) * ((1 << bits) - 1)
+            # Whole numbers of any size, one for each query.
+            offset = weights.astype(object) @ low.astype(object) + np.minimum(weights, 0).astype(
+                object).sum(axis=1) * ((1 << bits) - 1)
             allowed = np.repeat(exists[None], len(part), axis=0)
             for i, q in enumerate(part):
                 first, last = np.searchsorted(ids, [q["id"], q["id"] + 1])
@@ -227,10 +233,11 @@ def _searcher(k: int):
                 rows = np.flatnonzero(np.unpackbits(sure[i].view(np.uint8), bitorder="little"))
                 more = np.flatnonzero(np.unpackbits(tied[i].view(np.uint8), bitorder="little"))
                 rows = np.concatenate([rows, more[:k - len(rows)]])
-                score = np.full(len(rows), offset[i], dtype=np.int64)
+                small = len(sums) <= 62 and abs(offset[i]) < 1 << 62
+                score = np.full(len(rows), offset[i], dtype=np.int64 if small else object)
                 for power, bitmap in enumerate(sums):
                     on = (bitmap[i, rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)
-                    score += on.astype(np.int64) << power
+                    score += on.astype(score.dtype) << power
                 yield q["id"], ids[rows], score
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,6 +248,7 @@ def _searcher(k: int):
                     yield pa.record_batch([
                         np.repeat([h[0] for h in held], [len(h[1]) for h in held]),
                         np.concatenate([h[1] for h in held]),
-                        np.concatenate([h[2] for h in held])], schema=schema)
+                        np.concatenate([(h[2] >> 63).astype(np.int64) for h in held]),
+                        np.concatenate([(h[2] & LOWER).astype(np.int64) for h in held])], schema=schema)
 
     return run
