@@ -18,8 +18,6 @@ from rivulet.llm.common import arrow_schema, bounded_sample, texts_of
 CHUNK_BYTES = 1024
 DICTIONARY_BYTES = 32 << 10
 LEVEL = 1
-#: Bytes of each class that a dictionary is built from.
-DICTIONARY_TEXT = 8 << 20
 
 
 class CompressionModel:
@@ -102,14 +100,26 @@ def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 0.02, rounds: int =
     return w
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
+def _chunks_in_turn(texts: list[bytes], most: int) -> list[bytes]:
+    """Chunks of up to ``most`` bytes in all: the first of every text, then the second of every text, and so on.
+
+    So a very long text takes the place of no other text's beginning.
+    """
+    chunks, held, at, left = [], 0, 0, [t for t in texts if t]
+    while left:
+        for text in left:
+            if held >= most:
+                return chunks
+            chunks.append(text[at:at + min(CHUNK_BYTES, most - held)])
+            held += len(chunks[-1])
+        at += CHUNK_BYTES
+        left = [t for t in left if len(t) > at]
+    return chunks
+
+
+def _dictionary(texts: list[bytes], most: int) -> bytes:
     """A dictionary trained on chunks of the texts; raw content where there are too few to train."""
-    chunks, held = [], 0
-    for text in texts:
-        for at in range(0, len(text), CHUNK_BYTES):
-            if held < DICTIONARY_TEXT:
-                chunks.append(text[at:at + CHUNK_BYTES])
-                held += len(chunks[-1])
+    chunks = _chunks_in_turn(texts, most)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, chunks).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -117,22 +127,28 @@ def _dictionary(texts: list[bytes]) -> bytes:
 
 
 def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-        label_column: str = "label", sample_rows: int = 2500) -> CompressionModel:
+        label_column: str = "label", sample_rows: int = 2500,
+        dictionary_text: int = 8 << 20) -> CompressionModel:
     """Learns from at most about ``sample_rows`` labelled rows of each label (0, 1).
 
     The sample (documented bound; by the hash of the id) goes to one task as compressed
     text. Half of it builds the dictionaries and the other half calibrates, so the calibration
-    sees texts that are not in the dictionaries, each label weighing as in all labelled rows. Null texts count as empty; rows with other labels or null ones are left out.
+    sees texts that are not in the dictionaries, each label weighing as in all labelled rows. A dictionary is built
+    from at most ``dictionary_text`` bytes of its half (a second bound), some of each text before more of one. Null texts count as empty; rows with other labels or null ones are left out.
     Without rows of both labels the model scores every text 0.5.
     """
     sample = bounded_sample(labelled.where(F.col(label_column).isin(0, 1)), id_column, label_column,
                             text_column, sample_rows)
     packed = sample.select("h", F.col("label").cast("int").alias("y"), "text", "weight")
-    rows = packed.groupBy(F.lit(0).alias("one")).applyInPandas(_learn, "model binary").collect()
+
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        return _learn(rows, dictionary_text)
+
+    rows = packed.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "model binary").collect()
     return pickle.loads(rows[0]["model"]) if rows else CompressionModel(b"", b"")
 
 
-def _learn(rows: pd.DataFrame) -> pd.DataFrame:
+def _learn(rows: pd.DataFrame, dictionary_text: int) -> pd.DataFrame:
     rows = rows.sort_values(["h", "y"], kind="stable").reset_index(drop=True)
     texts, y = [t or "" for t in rows["text"]], rows["y"].to_numpy()
     if len(np.unique(y)) < 2:
@@ -142,7 +158,7 @@ def _learn(rows: pd.DataFrame) -> pd.DataFrame:
     def raw(label: int) -> list[bytes]:
         return [texts[i].encode("utf-8", "surrogatepass") for i in np.flatnonzero(built & (y == label))]
 
-    model = CompressionModel(_dictionary(raw(1)), _dictionary(raw(0)))
+    model = CompressionModel(_dictionary(raw(1), dictionary_text), _dictionary(raw(0), dictionary_text))
     rest = np.flatnonzero(~built if not built.all() else built)
     x = np.array([model.features(texts[i]) for i in rest])
     model.weights = calibrate(_expanded(x), y[rest].astype(float), weights=rows["weight"].to_numpy()[rest])
