@@ -227,14 +227,18 @@ def train_field(tokens: list[list[str]], labels: list[list[int]], rounds: int =
 
 
 def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-        label_column: str = "label", sample_rows: int = 1500) -> ToxicField:
+        label_column: str = "label", sample_rows: int = 1500, features: int = 5000,
+        plain_sequences: int = 2000) -> ToxicField:
     """Learns from at most about ``sample_rows`` labelled rows of each label (0, 1).
 
     Only documents are labelled, so words get their labels first: Spark counts in how many toxic and
     other sample documents each word and word beginning occurs, and words of toxic documents
     with a feature far likelier there are labelled toxic. The field is trained on the
     sequences around those words and as many others, in one task; document scores are then calibrated on
-    the document labels, each weighing as in all labelled rows. The sample (documented bound) is taken by the hash of the id.
+    the document labels, each weighing as in all labelled rows. The sample (documented bound) is taken by the hash of the id. Two more
+    bounds on learning: the ``features`` strongest words and beginnings may mark words, and of the sample's sequences
+    without such a word evenly spaced ones are taken, fewer than twice the larger of ``plain_sequences`` and
+    double the number of the others.
     Rows with other or null labels are left out; without rows of both labels every score is 0.
     """
     sample = bounded_sample(labelled.where(F.col(label_column).isin(0, 1)), id_column, label_column,
@@ -242,10 +246,10 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     # Read three times below; written, so that the documents are searched for it only once.
     sample = written(sample.select("h", F.col("label").cast("int").alias("y"), "text", "weight"),
                      "toxic-sample")
-    candidates = _candidates(sample)
+    candidates = _candidates(sample, features)
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"model": [pickle.dumps(_learn(rows, candidates))]})
+        return pd.DataFrame({"model": [pickle.dumps(_learn(rows, candidates, plain_sequences))]})
 
     rows = sample.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "model binary").collect()
     return pickle.loads(rows[0]["model"]) if rows else _empty()
@@ -255,7 +259,7 @@ def _empty() -> ToxicField:
     return ToxicField(np.zeros(DIMENSIONS, dtype=np.float32), np.zeros((2, 2)), -20.0)
 
 
-def _candidates(sample: DataFrame, most: int = 5000) -> dict[str, float]:
+def _candidates(sample: DataFrame, most: int) -> dict[str, float]:
     """Features likelier in toxic documents, with the ratio: the strongest, ``most`` at most."""
     schema = arrow_schema("feature string, y int")
 
@@ -310,7 +314,7 @@ def explaining(candidates: dict[str, float], documents: list[set[str]], least: f
     return chosen
 
 
-def _learn(rows: pd.DataFrame, candidates: dict[str, float]) -> ToxicField:
+def _learn(rows: pd.DataFrame, candidates: dict[str, float], plain_sequences: int) -> ToxicField:
     rows = rows.sort_values(["h", "y"], kind="stable").reset_index(drop=True)
     y = rows["y"].to_numpy()
     if len(np.unique(y)) < 2:
@@ -330,7 +334,7 @@ def _learn(rows: pd.DataFrame, candidates: dict[str, float]) -> ToxicField:
                 labels.append(marks if y[i] else [0] * len(words))
             else:
                 plain.append(words)
-    step = max(1, len(plain) // max(2000, 2 * len(tokens)))
+    step = max(1, len(plain) // max(1, plain_sequences, 2 * len(tokens)))
     tokens += plain[::step]
     labels += [[0] * len(w) for w in plain[::step]]
     if not any(map(any, labels)):
