@@ -12,7 +12,7 @@ from rivulet.operators import score, stats
 from rivulet.plans import ctes as Q
 from rivulet.plans.registry import query
 from rivulet.session import new_path
-from rivulet.sources import caches, files
+from rivulet.sources import caches, files, store
 from rivulet.sources.tables import page_rows, samples, table
 
 SCAN_COLUMNS = ["stn_code", "monitoring_location", "water_body_type", "state", "year", *Q.MEASURES]
@@ -175,6 +175,17 @@ def cache_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caches.cache_upsert(old, new, ["monitoring_location", "state"])
 
 
+@query("cache_store", Q.wrap(f"SELECT * FROM cache WHERE success UNION ALL ({_NEW})", CACHE_SQL))
+def cache_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cache kept in hash buckets: all entries, then the failed ones again."""
+    old, path = geocode_cache(spark, sf_dir), new_path(spark, "cache-store")
+    store.create_store(spark, path, old.schema, ["monitoring_location", "state"])
+    store.upsert(spark, path, old)
+    failed = store.read_store(spark, path).filter(~F.col("success"))
+    store.upsert(spark, path, failed.withColumns({"lat": F.lit(0.5), "query": F.lit("again"), "success": F.lit(True)}))
+    return store.read_store(spark, path)
+
+
 @query("newest_cache_entry", """SELECT event_type, user_id, max(ts) AS ts, arg_max(event_id, row(ts, event_id)) AS event_id,
   arg_max(value, row(ts, event_id)) AS value FROM events GROUP BY event_type, user_id""")
 def newest_cache_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
