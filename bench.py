@@ -18,7 +18,7 @@ HEADLINES = [
     "locations_feed", "overview_stats", "yearly_trend", "parameter_stats", "most_common_violation",
     "station_year_means", "trend_summary", "top_polluted", "box_stats", "score_histogram",
     "confusion_matrix", "compare_stations", "compare_years", "join_geocode_cache", "join_insights",
-    "join_gazetteer_ranked", "enrich_samples", "batch_predict", "forecast_router",
+    "join_gazetteer_ranked", "enrich_samples", "batch_predict", "forecast_router", "forecast_changepoints", "cache_store",
     "forecast_backtest", "history_forecast_merge", "manifest_first_seen", "extract_samples",
     "chunk_tokens", "knn_topk", "chat_history_window", "suggest_questions",
     "scan_samples_csv", "scan_samples_multi", "rescore_files", "chunk_pages", "error_histogram",
