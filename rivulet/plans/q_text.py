@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from rivulet import rules as R
 from rivulet.functions.text import split_list
 from rivulet.functions.violations import violation_structs
-from rivulet.operators import evaluate, knowledge, latest, score, stats, vector_index
+from rivulet.operators import evaluate, ingest, knowledge, latest, score, stats, vector_index
 from rivulet.plans import ctes as Q
 from rivulet.plans.registry import query
+from rivulet.session import new_path
 from rivulet.sources.tables import samples, table
 
 
@@ -73,6 +74,22 @@ def ingest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knowledge.ingest_pages(old, turns.filter(F.col("role") == "assistant"), "turn", size=40, overlap=5)
 
 
+_EDITED = _JOINED.replace("FROM conversations", "FROM (SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 THEN text || ' (edited)' ELSE text END AS text FROM conversations)")
+
+
+@query("ingest_changed", Q.wrap(
+    f"SELECT *, CASE WHEN CAST(source AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END AS batch FROM ({_stored('joined', 60, 10)})", _EDITED))
+def ingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations are stored, a third is edited, and all are given again: only that third is written."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    edited = turns.withColumn("text", F.when(F.col("conv_id") % 3 == 0, F.concat("text", F.lit(" (edited)"))).otherwise(F.col("text")))
+    path = new_path(spark, "chunk-store")
+    ingest.create_chunk_store(spark, path, buckets=16)
+    for pages in (turns, edited):
+        ingest.ingest_changed(spark, path, pages, "turn", source="conv_id", size=60, overlap=10)
+    return ingest.read_chunks(spark, path)
+
+
 _HITS = """queries AS (SELECT label AS query_id, arg_min(embedding, vec_id) AS q FROM embeddings GROUP BY label),
 hits AS (SELECT query_id, vec_id AS chunk_id, distance, CAST(rank AS INT) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM (
