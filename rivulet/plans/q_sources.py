@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet import schema as S
 from rivulet.functions.detect import invalid_report_name
 from rivulet.functions.text import state_slug
-from rivulet.operators import score, stats
+from rivulet.operators import latest, score, stats
 from rivulet.plans import ctes as Q
 from rivulet.plans.registry import query
 from rivulet.session import new_path
-from rivulet.sources import caches, files, store
+from rivulet.sources import caches, files, managed, store
 from rivulet.sources.tables import page_rows, samples, table
 
 SCAN_COLUMNS = ["stn_code", "monitoring_location", "water_body_type", "state", "year", *Q.MEASURES]
@@ -206,13 +208,33 @@ def source_replace_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caches.source_replace_upsert(old, new)
 
 
+def sample_table(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A fresh bucketed table of the rows, read back."""
+    name = f"samples_{uuid.uuid4().hex[:12]}"
+    managed.create_table(df, name, buckets=8, path=new_path(spark, "managed-samples"))
+    return managed.read_table(spark, name)
+
+
 @query("dataset_cache", Q.on_samples(
     "SELECT water_body_type, year, count(*) AS n FROM samples GROUP BY 1, 2"))
 def dataset_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = caches.dataset_cache(samples(spark, sf_dir, names=False, states=False))
+    kept = sample_table(spark, samples(spark, sf_dir, names=False, states=False))
     return kept.groupBy("water_body_type", "year").agg(F.count("*").alias("n"))
 
 
+@query("dataset_cache_latest", Q.on_samples(
+    "SELECT stn_code, max(year) AS year, min(year) AS first_year, arg_max(k1, row(year, sampled_at, k1, k2, k3)) AS k1, "
+    "list_aggregate(list_sort(list(DISTINCT year)), 'string_agg', ',') AS years FROM samples GROUP BY stn_code"))
+def dataset_cache_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest row and years of each station, joined on the bucketed table without an exchange."""
+    kept = sample_table(spark, samples(spark, sf_dir, names=False, states=False))
+    newest = latest.latest_row(kept).select("stn_code", "year", "k1")
+    years = latest.available_years(kept).select(
+        "stn_code", F.get("available_years", F.lit(0)).alias("first_year"),
+        F.array_join(F.col("available_years").cast("array<string>"), ",").alias("years"))
+    return newest.join(years, "stn_code")
+
+
 @query("rescore_files", Q.on_scored(
     f"SELECT stn_code, {_PLACE} AS monitoring_location, state, year, {', '.join(Q.MEASURES)}, pollution_score FROM scored"))
 def rescore_files(spark: SparkSession, sf_dir: str) -> DataFrame:

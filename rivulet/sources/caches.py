@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,9 +41,3 @@ def anti_uncached(requests: DataFrame, cache: DataFrame, keys: Sequence[str]) ->
 def cached_count(requests: DataFrame, cache: DataFrame, keys: Sequence[str]) -> DataFrame:
     hits = requests.join(cache.select(*keys).distinct(), list(keys), "left_semi")
     return hits.agg(F.count("*").alias("cached_count"))
-
-
-def dataset_cache(df: DataFrame) -> DataFrame:
-    """Keeps a table for repeated use; blocks that do not fit go to disk and lost ones are
-    computed again."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
