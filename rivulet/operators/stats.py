@@ -33,7 +33,11 @@ def label_counts() -> list[Column]:
 
 def overview_stats(df: DataFrame, year: int | None = None) -> DataFrame:
     """Stations, label counts and mean score over the latest state of each station."""
-    latest = latest_per_station(filter_samples(df, year), columns=LABEL_COLUMNS)
+    return overview_of(latest_per_station(filter_samples(df, year), columns=LABEL_COLUMNS))
+
+
+def overview_of(latest: DataFrame) -> DataFrame:
+    """The overview from one row per station with its latest label and score."""
     return latest.agg(
         F.count("*").alias("total_stations"), *label_counts(),
         round_mean(F.avg("pollution_score"), 2).alias("avg_pollution_score"),
@@ -46,7 +50,11 @@ def overview_stats(df: DataFrame, year: int | None = None) -> DataFrame:
 
 def yearly_trend(df: DataFrame) -> DataFrame:
     """Per year the mean score and label counts of each station's last state in that year."""
-    states = last_per_station_year(df, columns=["pollution_score", "safety_label"])
+    return trend_of(last_per_station_year(df, columns=["pollution_score", "safety_label"]))
+
+
+def trend_of(states: DataFrame) -> DataFrame:
+    """The trend from one row per station and year with its last label and score."""
     return states.groupBy("year").agg(
         round_mean(F.avg("pollution_score"), 4).alias("avg_score"), *label_counts()
     )
