@@ -36,30 +36,60 @@ def json_object(text: Column) -> Column:
     )
 
 
-def render_item(item: Column) -> Column:
-    """One reply item (text, number or object, as JSON text) as a readable line."""
-    fields = F.from_json(item, "map<string, string>")
-    preferred = [
-        F.nullif(strip(F.try_element_at(fields, F.lit(key))), F.lit(""))
-        for key in R.REPLY_ITEM_KEYS
-    ]
-    known = F.filter(F.map_entries(fields), lambda e: e["value"].isNotNull())
-    line = F.array_join(F.transform(known, lambda e: F.concat(
-        title_case(F.replace(e["key"], F.lit("_"), F.lit(" "))), F.lit(": "), e["value"])), "; ")
-    is_object = F.startswith(strip(item), F.lit("{")) & fields.isNotNull()
-    return F.when(is_object, F.coalesce(*preferred, line)).otherwise(
-        strip(F.coalesce(item, F.lit("")))
-    )
+def kind_of(item: Column) -> Column:
+    """Type of a VARIANT value without what is inside it: STRING, BIGINT, OBJECT, ARRAY, VOID and so on."""
+    return F.regexp_extract(F.schema_of_variant(item), r"^[A-Z]+", 0)
+
+
+def value_text(item: Column) -> Column:
+    """A VARIANT value as text: truth values as True and False, objects and lists as JSON, null as NULL."""
+    written = F.try_variant_get(item, "$", "string")
+    return F.when(kind_of(item) == "BOOLEAN", F.initcap(written)).otherwise(written)
+
+
+def says_something(item: Column) -> Column:
+    """False for null, false, zero, an empty text, list or object."""
+    kind, written = kind_of(item), F.try_variant_get(item, "$", "string")
+    return F.coalesce(
+        F.when(kind == "STRING", written != "").when(kind == "BOOLEAN", written == "true")
+        .when(kind == "OBJECT", written != "{}").when(kind == "ARRAY", written != "[]")
+        .when(kind == "VOID", F.lit(False)).otherwise(F.try_variant_get(item, "$", "double") != 0.0),
+        F.lit(False))
+
+
+def render_item(raw: Column, item: Column) -> Column:
+    """One reply item (text, number, truth value, list or object) as a readable line.
+
+    ``item`` is the VARIANT value and decides how it is read, so a text that looks like an object stays a
+    text. ``raw`` is its JSON text: VARIANT keeps fields by name, the line keeps them as written.
+    """
+    fields = F.try_variant_get(item, "$", "map<string, variant>")
+
+    def said(key: Column) -> Column:
+        value = F.try_element_at(fields, key)
+        return F.when(says_something(value), strip(value_text(value)))
+
+    keys = F.array(*[F.lit(key) for key in R.REPLY_ITEM_KEYS])
+    preferred = F.get(F.filter(F.transform(keys, said), lambda text: text != ""), F.lit(0))
+    parts = F.transform(F.json_object_keys(raw), lambda key: F.concat(
+        title_case(F.replace(key, F.lit("_"), F.lit(" "))), F.lit(": "), value_text(F.try_element_at(fields, key))))
+    line = F.array_join(F.filter(parts, lambda part: part.isNotNull()), "; ")
+    return F.when(kind_of(item) == "OBJECT", F.coalesce(preferred, line)).otherwise(
+        strip(F.coalesce(value_text(item), F.lit(""))))
 
 
 def response_list(json_text: Column, key: str) -> Column:
-    """Field of a reply as a list of readable lines; a single item becomes a list of one."""
-    raw = F.get_json_object(json_text, f"$.{key}")
-    items = F.when(
-        F.startswith(raw, F.lit("[")), F.from_json(raw, "array<string>")
-    ).otherwise(F.array(raw))
-    lines = F.transform(items, render_item)
+    """Field of a reply as a list of readable lines; a single item becomes a list of one, a missing one an empty list."""
+    field, raw = F.try_variant_get(F.try_parse_json(json_text), f"$.{key}", "variant"), F.get_json_object(json_text, f"$.{key}")
+    lines = F.when(kind_of(field) == "ARRAY", F.zip_with(
+        F.from_json(raw, "array<string>"), F.try_variant_get(field, "$", "array<variant>"), render_item,
+    )).otherwise(F.array(render_item(raw, field)))
     return F.coalesce(
         F.filter(lines, lambda line: line.isNotNull() & (line != "")),
         F.array().cast("array<string>"),
     )
+
+
+def text_list(field: Column) -> Column:
+    """A VARIANT list as texts in order, nulls kept; NULL where it is no list."""
+    return F.when(kind_of(field) == "ARRAY", F.transform(F.try_variant_get(field, "$", "array<variant>"), value_text))

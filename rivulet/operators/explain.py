@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet.functions import violations as V
-from rivulet.functions.replies import json_object
-from rivulet.functions.text import clean_items, json_list, split_list, strip
+from rivulet.functions.replies import json_object, text_list, value_text
+from rivulet.functions.text import clean_items, json_list, split_list
 from rivulet.operators.score import scored
 
 
@@ -65,12 +65,6 @@ def followups(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.posexplode(questions).alias("position", "question"))
 
 
-INSIGHT_REPLY = (
-    "station_name string, water_body_type string, violated_params string, "
-    "causes_of_pollution string, recommended_measures string"
-)
-
-
 def extract_json_object(df: DataFrame, text: str = "reply") -> DataFrame:
     """Adds the JSON text found in a reply, or an error."""
     return df.withColumn("json", json_object(F.col(text))).withColumn(
@@ -79,22 +73,24 @@ def extract_json_object(df: DataFrame, text: str = "reply") -> DataFrame:
 
 
 def normalize_insight(df: DataFrame) -> DataFrame:
-    """Typed insight fields of parsed replies.
+    """Typed insight fields of parsed replies, whatever else the reply holds.
 
     Input: json, station_name, water_body_type, violated_params (array) and context_count of the
-    request. A missing field takes the request's value, a field that is no list becomes empty.
+    request. A missing field takes the request's value; a list that is a text, number or object is
+    taken as missing or, for causes and measures, as empty. Items of any type are given as texts.
     """
-    parsed = df.withColumn("_r", F.from_json("json", INSIGHT_REPLY))
+    parsed = df.withColumn("_r", F.try_parse_json("json"))
+
+    def field(name: str):
+        return F.try_variant_get("_r", f"$.{name}", "variant")
 
-    def items(field: str, default):
-        raw = strip(F.col(f"_r.{field}"))
-        values = F.when(F.startswith(raw, F.lit("[")), F.from_json(raw, "array<string>"))
-        return clean_items(F.coalesce(values, default))
+    def items(name: str, default):
+        return clean_items(F.coalesce(text_list(field(name)), default))
 
     none = F.array().cast("array<string>")
     return parsed.withColumns({
-        "station_name": F.coalesce("_r.station_name", "station_name"),
-        "water_body_type": F.coalesce("_r.water_body_type", "water_body_type"),
+        "station_name": F.coalesce(value_text(field("station_name")), "station_name"),
+        "water_body_type": F.coalesce(value_text(field("water_body_type")), "water_body_type"),
         "violated_params": items("violated_params", F.col("violated_params")),
         "causes_of_pollution": items("causes_of_pollution", none),
         "recommended_measures": items("recommended_measures", none),

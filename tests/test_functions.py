@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet.functions import detect, geo, numbers, replies, scoring, text, violations
+from rivulet.operators import explain
 
 C = F.col
 
@@ -156,6 +157,27 @@ def test_response_list(values):
         ["a", "5", "go", "First Step: x; N: 2"], ["one"], [], [], []]
 
 
+def test_response_items_of_any_type(values):
+    rows = [('{"k": [true, 2.50, 1e3, ["x", {"b": 1, "a": 2}], {"z": {"q": [1]}, "a": false, "n": null}, {"action": "", "risk": 0, "note": 7}]}',),
+            # Texts stay texts, also those that look like JSON.
+            ('{"k": ["{\\"action\\": \\"x\\"}", "[1]", "true"]}',), ('{"k": "[not a list"}',), ('{"k": {"text": ["deep"]}}',),
+            ('{"k": [{}, [], null, ""]}',), ('{"k": [{"action": {"x": 1}, "text": "t"}]}',), ("broken",), (None,)]
+    assert values(rows, "t string", replies.response_list(C("t"), "k")) == [
+        ["True", "2.5", "1000.0", '["x",{"a":2,"b":1}]', 'Z: {"q":[1]}; A: False', "7"],
+        ['{"action": "x"}', "[1]", "true"], ["[not a list"], ['["deep"]'], ["[]"], ['{"x":1}'], [], []]
+
+
+def test_insight_lists_of_any_type(spark):
+    rows = [(1, '{"station_name": 7, "water_body_type": null, "violated_params": ["pH", 2, null, {"a": 1}], "recommended_measures": "[x]"}'),
+            (2, '{"violated_params": {"a": 1}, "causes_of_pollution": [[1], true, " c "]}'), (3, None)]
+    df = spark.createDataFrame(rows, "id int, json string").selectExpr(
+        "*", "'S' AS station_name", "'River' AS water_body_type", "array(' BOD ') AS violated_params", "3 AS context_count")
+    got = {r.id: (r.station_name, r.water_body_type, r.violated_params, r.causes_of_pollution, r.recommended_measures)
+           for r in explain.normalize_insight(df).collect()}
+    assert got == {1: ("7", "River", ["pH", "2", '{"a":1}'], [], []), 2: ("S", "River", ["BOD"], ["[1]", "True", "c"], []),
+                   3: ("S", "River", ["BOD"], [], [])}
+
+
 def test_title_case_keeps_every_character(values):
     cells = ["R.d.24b", "o'NEIL  st.\n\tnew town", "\x01 a\x01 b", "12ab-cd", "\x01", "", None]
     assert values([(c,) for c in cells], "c string", text.title_case(C("c"))) == [
