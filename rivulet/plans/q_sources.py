@@ -56,6 +56,34 @@ def scan_samples_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
         "file_state", "file_year", "stn_code", "monitoring_location", "do_avg", "ph_avg", "bod_avg")
 
 
+_LAST_WRITTEN = "arg_max({0}, row(-k1, -k2)) FILTER (WHERE {0} IS NOT NULL) AS {0}"
+
+
+@query("last_per_station_year_files", Q.on_samples(
+    f"SELECT year, stn_code, {_LAST_WRITTEN.format('do_avg')}, {_LAST_WRITTEN.format('ph_avg')} FROM samples GROUP BY year, stn_code"))
+def last_per_station_year_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files a year, later orders first; the last row in the files counts."""
+    rows = awkward_places(samples(spark, sf_dir, states=False)).withColumn("stem", F.concat(F.lit("all_"), F.col("year").cast("string")))
+    order = ["stem", F.desc("k1"), F.desc("k2")]
+    path = new_path(spark, "samples-in-order")
+    written = rows.select("stem", "k1", "k2", "stn_code", "monitoring_location", "year", "do_avg", "ph_avg")
+    (written.repartitionByRange(*order).sortWithinPartitions(*order).drop("k1", "k2").write.partitionBy("stem")
+     .option("header", True).option("escape", '"').csv(path))
+    found = files.scan_samples_multi(spark, path, ["stn_code", "year", "do_avg", "ph_avg"], origin=True)
+    return latest.last_per_station_year(found, order=["origin"], columns=["do_avg", "ph_avg"])
+
+
+@query("dedupe_locations_files", """SELECT user_id AS id, arg_min(event_type, event_id) AS event_type,
+  arg_min(value, event_id) AS value FROM events GROUP BY user_id""")
+def dedupe_locations_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet files with the newest events first; the values of the last row in the files stay."""
+    path = new_path(spark, "events-in-order")
+    order = F.desc("event_id")
+    table(spark, sf_dir, "events").repartitionByRange(order).sortWithinPartitions(order).select(
+        F.col("user_id").alias("id"), "event_type", "value").write.parquet(path)
+    return latest.dedupe_locations(files.scan_parquet_origin(spark, path), "id", ["origin"]).select("id", "event_type", "value")
+
+
 @query("scan_year_partitions", Q.on_samples(
     "SELECT DISTINCT year, TRUE AS has_files FROM samples WHERE year <> 2000"))
 def scan_year_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:

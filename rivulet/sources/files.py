@@ -20,7 +20,7 @@ CELLS = {"escape": '"', "quote": '"', "multiLine": "true", "mode": "PERMISSIVE"}
 
 
 def scan_samples_csv(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], origin: bool = False
 ) -> DataFrame:
     """Sample CSV files with a header each, typed and brought to one column list.
 
@@ -29,6 +29,8 @@ def scan_samples_csv(
     header is the first row of a file and names the station code or the location; a file with
     rows whose first row does not raises an error with its path. Quoted cells may hold line
     breaks, and large files are read in many splits all the same (see ``quoted``).
+    With ``origin`` a column of that name holds the place of each row (path, block, row), which sorts rows by
+    file name and by their order in the file.
     """
     records, splits = scan_records(spark, paths)
     width = F.max(F.length("header") - F.length(F.replace(F.col("header"), F.lit(","))) + 1)
@@ -62,7 +64,15 @@ def scan_samples_csv(
             return value.try_cast("boolean").alias(name)
         return value.alias(name)
 
-    return bind(texts, **{name: typed(name) for name in columns}).select("path", *columns)
+    place = [F.struct("path", "block", "row").alias("origin")] if origin else []
+    return bind(texts, **{name: typed(name) for name in columns}).select("path", *columns, *place)
+
+
+def scan_parquet_origin(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Parquet files with the place of each row as ``origin``: (path, block, row), sorted as in ``scan_samples_csv``."""
+    meta = F.col("_metadata")
+    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths)).select("*", F.struct(
+        meta["file_path"].alias("path"), F.lit(0).cast("bigint").alias("block"), meta["row_index"].alias("row")).alias("origin"))
 
 
 def with_file_parts(df: DataFrame) -> DataFrame:
@@ -79,14 +89,14 @@ def with_file_parts(df: DataFrame) -> DataFrame:
 
 def scan_samples_multi(
     spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
-    exclude_years: Iterable[int] = (), cleaned: bool = False,
+    exclude_years: Iterable[int] = (), cleaned: bool = False, origin: bool = False,
 ) -> DataFrame:
     """All yearly sample files of a folder.
 
     State and year come from the file stem. Files without a year in the stem, training files and
     excluded years are left out; ``cleaned`` chooses between '<stem>' and '<stem>_clean' files.
     """
-    rows = with_file_parts(scan_samples_csv(spark, paths, columns))
+    rows = with_file_parts(scan_samples_csv(spark, paths, columns, origin))
     is_clean = F.endswith("file_stem", F.lit("_clean"))
     kept = rows.filter(
         F.col("file_year").isNotNull()

@@ -24,6 +24,8 @@ from rivulet.session import new_path
 KEPT = 1 << 20
 #: Splits (about a hundred bytes each) whose table is broadcast; beyond that lines are sorted by split.
 BROADCAST_SPLITS = 50_000
+#: Place of a record behind all others that begin in its split.
+AFTER_ALL = 1 << 62
 
 _SURVEY = ("path string, block bigint, first string, odd boolean, closes boolean, tail string, "
            "tail_long boolean, head string, head_long boolean")
@@ -113,30 +115,34 @@ def _survey(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(fragments: bool):
-    """Records that lie in one split, or with ``fragments`` the lines at its ends that do not."""
-    schema = pa.schema([("split", pa.int64()), ("kind", pa.int32()), ("record", pa.string())])
+    """Records that lie in one split, or with ``fragments`` the lines at its ends that do not.
 
-    def out(split: int, texts: pa.Array | list[str], kind: int = 0) -> pa.RecordBatch:
+    ``row`` counts lines from the start of the split, so it orders the records of a split."""
+    schema = pa.schema([("split", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("row", pa.int64()),
+                        ("record", pa.string())])
+
+    def out(split: tuple[int, int], texts: pa.Array | list[str], rows: np.ndarray | list[int], kind: int = 0) -> pa.RecordBatch:
         column = pa.array(texts, type=pa.string()) if isinstance(texts, list) else texts
         n = len(column)
-        return pa.record_batch([pa.array(np.full(n, split)), pa.array(np.full(n, kind, dtype=np.int32)), column],
+        return pa.record_batch([pa.array(np.full(n, split[0])), pa.array(np.full(n, split[1])),
+                                pa.array(np.full(n, kind, dtype=np.int32)), pa.array(rows, type=pa.int64()), column],
                                schema=schema)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, inside, foreign, header, held = None, 0, False, False, []
+        last, inside, foreign, header, held, begun, seen = None, 0, False, False, [], 0, 0
 
         def close() -> Iterator[pa.RecordBatch]:
             if fragments and held:
-                yield out(last, ["\n".join(held)], 0 if foreign else 1)
+                yield out(last, ["\n".join(held)], [begun], 0 if foreign else 1)
 
         for batch in source:
             for a, b in _runs(batch, ("split",)):
-                split = batch.column("split")[a].as_py()
+                split = batch.column("split")[a].as_py(), batch.column("block")[a].as_py()
                 if split != last:
                     yield from close()
                     inside = int(batch.column("inside")[a].as_py())
-                    last, foreign, held = split, bool(inside), []
-                    header = batch.column("block")[a].as_py() == 0
+                    last, foreign, held, seen = split, bool(inside), [], 0
+                    header = split[1] == 0
                 lines = batch.column("value").slice(a, b - a)
                 if header:
                     at = next((i for i, x in enumerate(lines.to_pylist()) if x.strip("\r﻿ \t")), len(lines))
@@ -146,31 +152,36 @@ def _cut(fragments: bool):
                 before = np.concatenate([[inside], after[:-1]]) if len(after) else after
                 whole = (before == 0) & (after == 0)
                 if not fragments and whole.any():
-                    yield out(split, lines if whole.all() else lines.filter(pa.array(whole)))
+                    yield out(split, lines if whole.all() else lines.filter(pa.array(whole)), seen + np.flatnonzero(whole))
                 ready: list[str] = []
+                rows: list[int] = []
                 for i in np.flatnonzero(~whole):
                     # The last lines of a cell that began in an earlier split belong to that split's record.
-                    held = [lines[i].as_py()] if before[i] == 0 else [*held, lines[i].as_py()]
+                    if before[i] == 0:
+                        held, begun = [], seen + int(i)
+                    held = [*held, lines[i].as_py()]
                     if after[i] == 0:
                         if foreign and fragments:
-                            yield out(split, ["\n".join(held)])
+                            yield out(split, ["\n".join(held)], [begun])
                         elif not foreign and not fragments:
                             ready.append("\n".join(held))
+                            rows.append(begun)
                         foreign, held = False, []
                 if ready:
-                    yield out(split, ready)
+                    yield out(split, ready, rows)
                 inside = int(after[-1]) if len(after) else inside
+                seen += len(lines)
         yield from close()
 
     return run
 
 
 def scan_records(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(split, record) of every record but each file's first, and (split, path, header) of every split.
+    """(split, block, row, record) of every record but each file's first, and (split, path, header) of every split.
 
     A record is the text of a row, line breaks in its cells kept. The first line of a file that is not
-    blank is its header; it must not hold a line break. Blank records are left out. Rows have no
-    order. Files that cannot be split (compressed ones) are one split each.
+    blank is its header; it must not hold a line break. Blank records are left out. Rows come
+    in any order; block and row, in this sequence, are the place of a record in its file. Files that cannot be split (compressed ones) are one split each.
     """
     found = new_path(spark, "csv-splits")
     _lines(spark, paths).mapInArrow(_survey, _SURVEY).withColumn(
@@ -196,18 +207,19 @@ def scan_records(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataF
             joined = joined.repartition("split").sortWithinPartitions("split", "at")
         return joined.select("split", "block", "inside", "value")
 
-    kinds = "split bigint, kind int, record string"
-    whole = lines().mapInArrow(_cut(fragments=False), kinds).select("split", "record")
+    kinds = "split bigint, block bigint, kind int, row bigint, record string"
+    whole = lines().mapInArrow(_cut(fragments=False), kinds).select("split", "block", "row", "record")
     tail = splits.where("inside").select("path", "block", "split", F.lit(0).alias("kind"), F.col("tail").alias("record"))
     head = splits.where("ends and closes").select(
         "path", "block", "split", F.lit(1).alias("kind"), F.col("head").alias("record"))
     if splits.where("(inside and tail_long) or (ends and closes and head_long)").limit(1).count():
-        ends = lines().mapInArrow(_cut(fragments=True), kinds).join(splits.select("path", "block", "split"), "split")
+        ends = lines().mapInArrow(_cut(fragments=True), kinds).drop("row").join(splits.select("path", "split"), "split")
     else:
         ends = tail.unionByName(head)
     order = W.partitionBy("path").orderBy("block", "kind")
     crossing = ends.withColumn("begun", F.sum("kind").over(order)).groupBy("path", "begun").agg(
         F.min("split").alias("split"), F.sort_array(F.collect_list(F.struct("block", "kind", "record"))).alias("parts"))
-    crossing = crossing.select("split", F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
+    # A record that leaves its split is the last that begins there.
+    crossing = crossing.select("split", F.get("parts", F.lit(0))["block"].alias("block"), F.lit(AFTER_ALL).alias("row"), F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
     records = whole.unionByName(crossing).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
     return records.where(F.trim("record") != ""), splits.select("split", "path", "header")
