@@ -56,20 +56,21 @@ def scan_samples_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
         "file_state", "file_year", "stn_code", "monitoring_location", "do_avg", "ph_avg", "bod_avg")
 
 
-_LAST_WRITTEN = "arg_max({0}, row(-k1, -k2)) FILTER (WHERE {0} IS NOT NULL) AS {0}"
+_LAST_WRITTEN = "arg_max({0}, row(-k1, -k2, -k3)) FILTER (WHERE {0} IS NOT NULL) AS {0}"
 
 
 @query("last_per_station_year_files", Q.on_samples(
     f"SELECT year, stn_code, {_LAST_WRITTEN.format('do_avg')}, {_LAST_WRITTEN.format('ph_avg')} FROM samples GROUP BY year, stn_code"))
 def last_per_station_year_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files a year, later orders first; the last row in the files counts."""
-    rows = awkward_places(samples(spark, sf_dir, states=False)).withColumn("stem", F.concat(F.lit("all_"), F.col("year").cast("string")))
-    order = ["stem", F.desc("k1"), F.desc("k2")]
+    """CSV files by year, later orders first; the last row in the files counts.
+
+    Not partitioned by folder: Spark sorts rows by a text folder column again and loses their order.
+    """
+    order = ["year", F.desc("k1"), F.desc("k2"), F.desc("k3")]
     path = new_path(spark, "samples-in-order")
-    written = rows.select("stem", "k1", "k2", "stn_code", "monitoring_location", "year", "do_avg", "ph_avg")
-    (written.repartitionByRange(*order).sortWithinPartitions(*order).drop("k1", "k2").write.partitionBy("stem")
-     .option("header", True).option("escape", '"').csv(path))
-    found = files.scan_samples_multi(spark, path, ["stn_code", "year", "do_avg", "ph_avg"], origin=True)
+    rows = awkward_places(samples(spark, sf_dir, states=False)).repartitionByRange(*order).sortWithinPartitions(*order)
+    files.sink_csv_flat(rows.select("stn_code", "monitoring_location", "year", "do_avg", "ph_avg"), path)
+    found = files.scan_samples_csv(spark, path, ["stn_code", "year", "do_avg", "ph_avg"], origin=True)
     return latest.last_per_station_year(found, order=["origin"], columns=["do_avg", "ph_avg"])
 
 
