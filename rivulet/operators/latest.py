@@ -1,7 +1,8 @@
 """Latest state per station and other per-key picks.
 
 All picks are aggregations of max/min over structs: each task reduces its rows to one per key
-before the shuffle, so a station holding a large share of the rows is no burden to one task.
+before the shuffle, so a station holding a large share of the rows is no burden to one task. A maximum
+over structs sorts each task's rows; ``gathered`` keeps these tasks small and brings a key's rows together.
 """
 
 from __future__ import annotations
@@ -17,6 +18,17 @@ from rivulet.operators.shaping import drop_missing_coords, filter_samples, not_n
 from rivulet.functions.text import strip
 
 
+def gathered(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows with known keys, those of a key mostly in one task and tasks of about equal size.
+
+    Large file splits make a pick sort more rows than a task's memory holds, and meet each key in many
+    tasks. After this exchange of the plain rows the sorts are small and one row per key is left of most
+    tasks. Rows of a hot key are split over several tasks; the hash, unlike the key itself, leaves the
+    exchange of the picks in the plan that puts those together. Not needed on bucketed tables.
+    """
+    return not_null(df, *keys).withColumn("_place", F.hash(*keys)).hint("rebalance", "_place").drop("_place")
+
+
 def last_known(column: str, order: Sequence[str]) -> Column:
     """Latest non-missing value of a column; equal orders are settled by the value itself."""
     entry = F.struct(*order, F.col(column).alias("value"))

@@ -12,7 +12,7 @@ from rivulet.operators import evaluate, ingest, knowledge, latest, score, stats,
 from rivulet.plans import ctes as Q
 from rivulet.plans.registry import query
 from rivulet.session import new_path
-from rivulet.sources.tables import samples, table
+from rivulet.sources.tables import samples, station_names, table
 
 
 def tokens_sql(text: str) -> str:
@@ -143,7 +143,9 @@ def retrieval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest.latest_row(score.scored(samples(spark, sf_dir, states=False)))
+    """Scored latest row per station; names join the finished rows."""
+    rows = latest.gathered(samples(spark, sf_dir, names=False, states=False), "stn_code")
+    return latest.latest_row(score.scored(rows)).join(station_names(spark, sf_dir), "stn_code", "left")
 
 
 @query("retrieval_query_text", Q.on_scored(

@@ -84,3 +84,24 @@ def test_lookups_keep_all_rows_of_a_hot_key(spark, hot):
         assert located.filter("geocoded").count() == hot.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_picks_sort_gathered_rows(spark, hot):
+    """A pick over gathered rows: balanced exchange of the rows first, the same rows as without it, none without a key."""
+    rows = hot.unionByName(hot.limit(5).withColumn("stn_code", F.lit(None).cast("string"))).drop("violated_params")
+    gathered = latest.gathered(rows, "stn_code")
+    assert gathered.columns == rows.columns and gathered.count() == hot.count()
+    got = latest.latest_row(gathered)
+    shown = plan(got)
+    assert "REBALANCE_PARTITIONS_BY_COL" in shown and "partial_max" in shown
+    # Rows of a hot station may lie in several tasks, so the picks still meet by station.
+    assert shown.count("Exchange hashpartitioning(stn_code") == 1
+    assert sorted(map(str, got.collect())) == sorted(map(str, latest.latest_row(rows).collect()))
+
+
+@pytest.mark.parametrize("name", ["latest_row", "latest_per_station", "retrieval_query_text", "merge_chat_answer",
+                                  "suggest_questions", "station_context_line"])
+def test_large_splits_are_not_sorted_whole(spark, name):
+    from rivulet.plans import QUERIES
+
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(QUERIES[name](spark, SF_DIR))
