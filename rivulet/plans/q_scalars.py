@@ -14,7 +14,7 @@ from rivulet.operators import explain, extract, knowledge, latest, score
 from rivulet.operators.shaping import pairwise_param_avgs as pairwise
 from rivulet.plans import ctes as Q
 from rivulet.plans.registry import query
-from rivulet.sources.tables import page_rows, samples, table
+from rivulet.sources.tables import page_rows, samples, station_names, table
 
 ROW = ["k1", "k2", "k3", "k4"]
 _ROW = ", ".join(ROW)
@@ -390,8 +390,9 @@ def _or_na(column: str) -> str:
     f"|| ', Pollution Score: ' || {_or_na('pollution_score')} || '/10, Violations: ' || coalesce(nullif(violated_params, ''), 'None') "
     "AS station_context FROM latest_row", Q.LATEST_ROW))
 def station_context_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest.latest_row(score.scored(samples(spark, sf_dir, states=False)))
-    return knowledge.station_context_line(rows).select("stn_code", "station_context")
+    rows = latest.gathered(samples(spark, sf_dir, names=False, states=False), "stn_code")
+    named = latest.latest_row(score.scored(rows)).join(station_names(spark, sf_dir), "stn_code", "left")
+    return knowledge.station_context_line(named).select("stn_code", "station_context")
 
 
 @query("ordered_distinct", "SELECT conv_id, array_to_string(list(role ORDER BY t), ',') AS roles FROM "
