@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rivulet import rules as R
 from rivulet.operators import compare, explain, locate, score, stats
+from rivulet.operators.latest import gathered
 from rivulet.plans import ctes as Q
 from rivulet.plans.q_scalars import _CANDIDATES, _PLACES, _SIMPLE, places
 from rivulet.plans.q_sources import CACHE_SQL, geocode_cache
@@ -187,7 +188,7 @@ def _compare_sql(p: str, label: str, unit: str, limit) -> str:
 
 @query("compare_stations", Q.on_scored(" UNION ALL ".join(_compare_sql(*p) for p in R.COMPARE_PARAMETERS), Q.LATEST_ROW, _PAIRS))
 def compare_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare.compare_stations(score.scored(samples(spark, sf_dir, states=False)), pairs(spark, sf_dir))
+    return compare.compare_stations(score.scored(gathered(samples(spark, sf_dir, states=False), "stn_code")), pairs(spark, sf_dir))
 
 
 def _change(p: str) -> str:
@@ -217,4 +218,4 @@ def compare_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("stn_code"), (1995 + F.col("p_size") % 7).alias("year_a"),
         (1997 + F.col("p_size") % 8).alias("year_b"))
-    return compare.compare_years(score.score_10(samples(spark, sf_dir, names=False, states=False)), requests)
+    return compare.compare_years(score.score_10(gathered(samples(spark, sf_dir, names=False, states=False), "stn_code")), requests)
