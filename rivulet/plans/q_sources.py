@@ -238,9 +238,9 @@ def source_replace_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_table(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """A fresh bucketed table of the rows, read back."""
+    """A fresh bucketed table of the rows, read back; its buckets grow in number, not in size."""
     name = f"samples_{uuid.uuid4().hex[:12]}"
-    managed.create_table(df, name, buckets=8, path=new_path(spark, "managed-samples"))
+    managed.create_table(df, name, buckets=managed.buckets_for(df), path=new_path(spark, "managed-samples"))
     return managed.read_table(spark, name)
 
 

@@ -71,3 +71,14 @@ def test_edges(spark):
     managed.drop_table(spark, name)
     with pytest.raises(AnalysisException):
         spark.table(name)
+
+
+def test_buckets_grow_in_number_with_the_rows(spark, monkeypatch):
+    from rivulet.plans import q_sources
+
+    monkeypatch.setattr(managed, "BUCKET_ROWS", 100)
+    assert managed.buckets_for(even(spark).limit(0)) == 8 and managed.buckets_for(even(spark).limit(801)) == 9
+    kept = q_sources.sample_table(spark, even(spark))
+    shown = plan(latest.latest_row(kept))
+    assert "SelectedBucketsCount: 40 out of 40" in shown and "hashpartitioning(stn_code" not in shown
+    assert kept.count() == 4000 and len(kept.inputFiles()) <= 40
