@@ -74,11 +74,11 @@ def _ranked(states: Sequence[str]) -> dict[str, str]:
     return ranked
 
 
-def _state_pattern(states: Sequence[str]) -> str:
-    """Letters of any state; the look-ahead skips digits and other letters cheaply."""
+def _state_pattern(states: Sequence[str], between: str = "") -> str:
+    """Letters of any state, with ``between`` allowed after each; the look-ahead skips digits and other letters cheaply."""
     letters = list(_ranked(states))
     initials = "".join(sorted({text[0] for text in letters}))
-    return f"(?=[{initials}])(?:{'|'.join(letters)})"
+    return f"(?=[{initials}])(?:{'|'.join(between.join(text) for text in letters)})"
 
 
 def names_state(cell: Column, states: Sequence[str] = R.STATES) -> Column:
@@ -94,34 +94,39 @@ def state_of_text(upper: Column, letters: Column, states: Sequence[str] = R.STAT
     """
     ranked = _ranked(states)
     single = F.regexp_replace(upper, r"(?U)\s+", " ")
-    names = F.array(*[F.lit(s) for s in states])
-    all_letters = F.array(*[F.lit(text) for text in ranked])
-    by_letters = F.create_map(*[F.lit(x) for pair in ranked.items() for x in pair])
-    contained = F.get(F.filter(all_letters, lambda text: F.contains(letters, text)), F.lit(0))
-    return F.coalesce(
-        F.when(F.array_contains(names, upper), upper),
-        F.when(F.array_contains(names, single), single),
-        F.try_element_at(by_letters, contained),
-    )
+    contained = F.lit(None).cast("string")
+    for text, state in reversed(ranked.items()):
+        contained = F.when(F.contains(letters, F.lit(text)), F.lit(state)).otherwise(contained)
+    return F.coalesce(F.when(upper.isin(*states), upper), F.when(single.isin(*states), single), contained)
 
 
 # Separates the cells of a row that is searched as one text.
 CELL_MARK = "\x01"
 
 
-def row_letters(cells: Column) -> Column:
-    """Upper-case letters and digits of all cells, with a mark between cells."""
-    return F.regexp_replace(
-        F.upper(F.array_join(cells, CELL_MARK, "")), f"[^A-Z0-9{CELL_MARK}]", "")
+def row_upper(cells: Column) -> Column:
+    """Upper-case text of all cells, with a mark between cells."""
+    return F.upper(F.array_join(cells, CELL_MARK, ""))
+
+
+def row_letters(upper: Column) -> Column:
+    """A row's upper-case text without the characters beyond ASCII that would shift positions.
+
+    Texts of ASCII characters alone stay as they are: the search skips what is no letter or digit, which
+    costs far less than taking it out of every row.
+    """
+    plain = F.octet_length(upper) == F.length(upper)
+    return F.when(plain, upper).otherwise(F.regexp_replace(upper, f"[^A-Z0-9{CELL_MARK}]+", ""))
 
 
 def before_state(letters: Column, states: Sequence[str] = R.STATES) -> Column:
-    """Row letters in front of the first state, NULL when no state is named.
+    """Row text in front of the first state, NULL when no state is named.
 
     All accepted ways imply that a cell contains the letters of a state, so one search over the
     row finds the first cell that names one.
     """
-    at = F.nullif(F.regexp_instr(letters, F.lit(_state_pattern(states))), F.lit(0))
+    skipped = f"[^A-Z0-9{CELL_MARK}]*+"
+    at = F.nullif(F.regexp_instr(letters, F.lit(_state_pattern(states, skipped))), F.lit(0))
     return F.substring(letters, F.lit(1), at - 1)
 
 

@@ -33,7 +33,8 @@ def with_layout(rows: DataFrame) -> DataFrame:
 
 def with_state(rows: DataFrame) -> DataFrame:
     """Adds the state of the first cell that names one."""
-    joined = bind(rows, _letters=D.row_letters(F.col("cells")))
+    upper = bind(rows, _upper=D.row_upper(F.col("cells")))
+    joined = bind(upper, _letters=D.row_letters(F.col("_upper"))).drop("_upper")
     found = bind(joined, _before=D.before_state(F.col("_letters")))
     cell = bind(found, _cell=F.get("cells", D.cell_position(F.col("_before"))))
     text = bind(cell, _upper=F.upper(strip("_cell")), _letters=normalize_alpha(F.col("_cell")))

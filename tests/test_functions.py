@@ -188,3 +188,20 @@ def test_numbers_of_an_array(values):
     cells = [" 7 ", "\u20091e3\u2009", "1d", "NaN", "1e999", "1e-400", "-", "", None, ".5"]
     assert values([(cells,)], "c array<string>", numbers.to_doubles(C("c"))) == [
         [7.0, 1000.0, None, None, None, None, None, None, None, 0.5]]
+
+
+def test_state_search_leaves_plain_rows_as_they_are(values):
+    """The row search skips what is no letter or digit; characters beyond ASCII and cell ends keep their meaning."""
+    from rivulet.functions import detect as D
+
+    cells = F.split("t", "[|]")
+    upper = D.row_upper(cells)
+    letters = D.row_letters(upper)
+    rows = [("1|x y|Tamil - Nadu|3",), ("KARNA|TAKA|1",), ("a😀b|é K.e.r.a.l.a😀|2",), ("KERA1LA",), ("J & K|GOA",), ("7.5|8.1",)]
+    kept, at = zip(*values(rows, "t string", letters, D.cell_position(D.before_state(letters))))
+    assert kept[0] == "1\x01X Y\x01TAMIL - NADU\x013" and kept[2] == "AB\x01KERALA\x012"
+    assert list(at) == [2, None, 1, None, 0, None]
+    text = F.upper(F.col("t"))
+    got = values([("Goalpara",), ("Tamil  Nadu",), ("KERALA",), ("kar-nataka state",), ("none",), (None,)], "t string",
+                 D.state_of_text(text, F.regexp_replace(text, "[^A-Z0-9]", "")))
+    assert got == ["GOA", "TAMIL NADU", "KERALA", "KARNATAKA", None, None]
