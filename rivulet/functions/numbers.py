@@ -40,9 +40,12 @@ def to_double(value: Column) -> Column:
 
 
 def to_doubles(texts: Column) -> Column:
-    """``to_double`` for every text of an array, each step done once per text."""
-    numbers = F.transform(F.transform(texts, strip), lambda t: F.when(t.rlike(rf"\A{PLAIN_NUMBER}\z"), t).try_cast("double"))
-    return F.transform(numbers, finite)
+    """``to_double`` for every text of an array, each step done once per text; only what is no number as it is gets stripped."""
+    def plain(text: Column) -> Column:
+        return text.rlike(rf"\A{PLAIN_NUMBER}\z")
+
+    found = F.transform(texts, lambda t: F.when(plain(t), t).otherwise(F.when(plain(strip(t)), strip(t))).try_cast("double"))
+    return F.transform(found, finite)
 
 
 def to_int(value: Column) -> Column:

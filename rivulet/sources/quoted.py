@@ -114,6 +114,11 @@ def _survey(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(split)
 
 
+def _joined(lines: pa.Array, starts: np.ndarray | list[int]) -> pa.Array:
+    """Lines from each start to the next one (or the end) as one text."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([*starts, len(lines)], type=pa.int32()), lines), "\n")
+
+
 def _cut(fragments: bool):
     """Records that lie in one split, or with ``fragments`` the lines at its ends that do not.
 
@@ -121,11 +126,10 @@ def _cut(fragments: bool):
     schema = pa.schema([("split", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("row", pa.int64()),
                         ("record", pa.string())])
 
-    def out(split: tuple[int, int], texts: pa.Array | list[str], rows: np.ndarray | list[int], kind: int = 0) -> pa.RecordBatch:
-        column = pa.array(texts, type=pa.string()) if isinstance(texts, list) else texts
-        n = len(column)
+    def out(split: tuple[int, int], texts: pa.Array, rows: np.ndarray | list[int], kind: int = 0) -> pa.RecordBatch:
+        n = len(texts)
         return pa.record_batch([pa.array(np.full(n, split[0])), pa.array(np.full(n, split[1])),
-                                pa.array(np.full(n, kind, dtype=np.int32)), pa.array(rows, type=pa.int64()), column],
+                                pa.array(np.full(n, kind, dtype=np.int32)), pa.array(rows, type=pa.int64()), texts],
                                schema=schema)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +137,7 @@ def _cut(fragments: bool):
 
         def close() -> Iterator[pa.RecordBatch]:
             if fragments and held:
-                yield out(last, ["\n".join(held)], [begun], 0 if foreign else 1)
+                yield out(last, _joined(pa.concat_arrays(held), [0]), [begun], 0 if foreign else 1)
 
         for batch in source:
             for a, b in _runs(batch, ("split",)):
@@ -147,29 +151,27 @@ def _cut(fragments: bool):
                 if header:
                     at = next((i for i, x in enumerate(lines.to_pylist()) if x.strip("\r﻿ \t")), len(lines))
                     header, lines = at == len(lines), lines.slice(at + 1)
-                odd = _odd(lines)
-                after = (inside + np.cumsum(odd)) & 1
-                before = np.concatenate([[inside], after[:-1]]) if len(after) else after
-                whole = (before == 0) & (after == 0)
-                if not fragments and whole.any():
-                    yield out(split, lines if whole.all() else lines.filter(pa.array(whole)), seen + np.flatnonzero(whole))
-                ready: list[str] = []
-                rows: list[int] = []
-                for i in np.flatnonzero(~whole):
+                if not len(lines):
+                    continue
+                after = (inside + np.cumsum(_odd(lines))) & 1
+                ends = np.flatnonzero(after == 0) + 1  # one past the last line of each record that ends here
+                done = int(ends[-1]) if len(ends) else 0
+                if inside and done:
                     # The last lines of a cell that began in an earlier split belong to that split's record.
-                    if before[i] == 0:
-                        held, begun = [], seen + int(i)
-                    held = [*held, lines[i].as_py()]
-                    if after[i] == 0:
-                        if foreign and fragments:
-                            yield out(split, ["\n".join(held)], [begun])
-                        elif not foreign and not fragments:
-                            ready.append("\n".join(held))
-                            rows.append(begun)
-                        foreign, held = False, []
-                if ready:
-                    yield out(split, ready, rows)
-                inside = int(after[-1]) if len(after) else inside
+                    if foreign == fragments:
+                        first = pa.concat_arrays([*held, lines.slice(0, int(ends[0]))])
+                        yield out(split, _joined(first, [0]), [begun])
+                    foreign, held = False, []
+                starts = ends[:-1] if inside else np.concatenate([[0], ends[:-1]])[:len(ends)]
+                if not fragments and len(starts):
+                    one = len(starts) == done - starts[0]  # no record here has a line break
+                    yield out(split, lines.slice(int(starts[0]), done - int(starts[0])) if one
+                              else _joined(lines.slice(0, done), starts), seen + starts)
+                if done < len(lines):
+                    if not held:
+                        begun = seen + done
+                    held = [*held, lines.slice(done)]
+                inside = int(after[-1])
                 seen += len(lines)
         yield from close()
 
@@ -221,5 +223,6 @@ def scan_records(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataF
         F.min("split").alias("split"), F.sort_array(F.collect_list(F.struct("block", "kind", "record"))).alias("parts"))
     # A record that leaves its split is the last that begins there.
     crossing = crossing.select("split", F.get("parts", F.lit(0))["block"].alias("block"), F.lit(AFTER_ALL).alias("row"), F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
-    records = whole.unionByName(crossing).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
+    records = whole.unionByName(crossing).withColumn("record", F.when(
+        F.endswith("record", F.lit("\r")), F.left("record", F.length("record") - 1)).otherwise(F.col("record")))
     return records.where(F.trim("record") != ""), splits.select("split", "path", "header")

@@ -88,3 +88,27 @@ def test_empty_and_blank_files(spark, tmp_path):
     (tmp_path / "goa_2019.csv").write_text("\n\n" + HEADER + "\n\n1,a,River,GOA,2018,1,2\n  \n")
     found = files.scan_samples_csv(spark, str(tmp_path), S.EXTRACTED_COLUMNS).collect()
     assert [(r["stn_code"], r["do_avg"]) for r in found] == [("1", 1.0)]
+
+
+def test_numbers_of_a_row_are_parsed_in_one_place(spark, tmp_path):
+    """A parser for each column grows into a method that the JVM does not compile."""
+    rows = [["1", "a", "River", "GOA", " 2018 ", "\t6.5 ", "7d"], ["2", " N/A ", "NA", " nan", "x", "1e3", ".5"]]
+    write(tmp_path / "goa_2018.csv", rows)
+    found = files.scan_samples_csv(spark, str(tmp_path), S.EXTRACTED_COLUMNS)
+    got = {r["stn_code"]: r for r in found.collect()}
+    assert [got["1"][c] for c in ("monitoring_location", "state", "year", "do_avg", "ph_avg")] == ["a", "GOA", 2018, 6.5, None]
+    assert [got["2"][c] for c in ("monitoring_location", "water_body_type", "state", "year", "do_avg", "ph_avg")] == [
+        None, None, None, None, 1000.0, 0.5]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("[eE]") <= 6
+
+
+def test_records_of_many_lines_over_two_batches():
+    import pyarrow as pa
+
+    n = 30_000
+    lines = ["h", *(x for i in range(n) for x in (f'{i},"a', "b", 'c"'))]
+    taken = pa.RecordBatch.from_pydict({
+        "split": [5] * len(lines), "block": [0] * len(lines), "inside": [False] * len(lines), "value": lines})
+    parts = [taken.slice(0, 50_000), taken.slice(50_000)]
+    found = [r for b in quoted._cut(fragments=False)(iter(parts)) for r in zip(b["row"].to_pylist(), b["record"].to_pylist())]
+    assert found == [(3 * i, f'{i},"a\nb\nc"') for i in range(n)]
