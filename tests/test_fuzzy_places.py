@@ -62,3 +62,44 @@ def test_no_pairing_of_all_texts_in_the_plan(spark):
     df = spark.createDataFrame([("abcdefgh, P, India",)], "query string")
     plan = locate.similar_places(df, df)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_crowded_places_lose_no_pair(spark):
+    rng = random.Random(5)
+    texts = {f"{rng.choice(['blue ring', 'red roof'])} {rng.randrange(10 ** 4)}" for _ in range(90)}
+    for w in sorted(texts):
+        t = list(w)
+        for _ in range(rng.randrange(1, 4)):
+            i = rng.randrange(len(t))
+            t[i:i + rng.randrange(2)] = rng.choice(["", "z", "o", t[i], "\U0001f30a"])
+        texts.add("".join(t))
+    half = set(sorted(texts)[::2]) | {f"small {i}" for i in range(20)}
+    df = spark.createDataFrame([(f"{t}, P, India",) for t in texts], "query string")
+    known = spark.createDataFrame([(f"{t}, P, India",) for t in half], "query string")
+    found = [tuple(r) for r in locate.similar_places(df, known).collect()]
+    tail = ", P, India"
+    expected = {(a + tail, b + tail, d) for a in texts for b in half
+                if abs(len(a) - len(b)) < 3 and 0 < (d := distance(a, b)) <= min(2, len(a) // 6)}
+    assert len(found) == len(set(found)) and set(found) == expected and len(expected) > 60
+
+
+def joined_rows(node) -> int:
+    """The most rows that a join of an executed plan gave."""
+    name, inner = node.nodeName(), []
+    if name == "AdaptiveSparkPlan":
+        inner = [node.executedPlan()]
+    elif name.endswith("QueryStage"):
+        inner = [node.plan()]
+    children = node.children()
+    inner += [children.apply(i) for i in range(children.size())]
+    own = node.metrics().get("numOutputRows").get().value() if "Join" in name else 0
+    return max([own] + [joined_rows(n) for n in inner])
+
+
+def test_numbered_places_do_not_all_meet(spark):
+    rng = random.Random(6)
+    numbers = rng.sample(range(10 ** 8, 10 ** 9), 3000)
+    df = spark.createDataFrame([(f"blue ring {n}, P, India",) for n in numbers], "query string")
+    near = locate.similar_places(df, df)
+    near.collect()
+    assert 0 < joined_rows(near._jdf.queryExecution().executedPlan()) < 20 * len(numbers)
