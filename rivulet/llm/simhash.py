@@ -100,7 +100,8 @@ def near_links(prints: DataFrame, radius: int = 4, bucket: int = BUCKET) -> Data
                              (F.col("m.mask") != 0).alias("cut"),
                              F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"))
         shared = dealt.groupBy("path", "key").agg(F.count("*").alias("n")).where("n > 1")
-        rows = written(dealt.join(shared, ["path", "key"]), "simhash-buckets")
+        # Never broadcast: Spark sizes exploded rows as the rows before, 31 times too low, and would send them to the driver.
+        rows = written(dealt.join(shared.hint("merge"), ["path", "key"]), "simhash-buckets")
         last = (F.col("n") <= bucket) | ~F.col("cut")
         found = (rows.where(last).repartition("path", "key")
                  .sortWithinPartitions("path", "key", "fp")

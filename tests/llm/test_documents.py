@@ -144,6 +144,24 @@ def test_hot_buckets_are_dealt_again(spark, bucket):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
 
 
+def test_exploded_fingerprints_are_never_broadcast(spark, monkeypatch):
+    """Spark takes them for 31 times smaller than they are; under its default threshold they filled the driver."""
+    plans, kept = [], simhash.written
+
+    def noted(df, name):
+        if name == "simhash-buckets":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(simhash, "written", noted)
+    draw = random.Random(5)
+    centre = draw.getrandbits(64)
+    prints = {centre ^ sum(1 << b for b in draw.sample(range(64), draw.randrange(6))) for _ in range(300)}
+    df = kept(spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp bigint"), "prints")
+    simhash.near_links(df, 4, bucket=20)
+    assert len(plans) > 1 and all("SortMergeJoin [path" in p for p in plans)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 102), (101, 102), (5, 5)],
                                   "a bigint, b bigint")
