@@ -48,9 +48,9 @@ def awkward_places(rows: DataFrame) -> DataFrame:
     f"{_PLACE} AS monitoring_location, do_avg, ph_avg, bod_avg FROM samples WHERE year <> 2001"))
 def scan_samples_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Locations with commas, quotes and line breaks in them."""
-    rows = awkward_places(samples(spark, sf_dir))
+    rows = awkward_places(samples(spark, sf_dir, dealt=True))
     path = new_path(spark, "samples-by-file")
-    files.sink_state_year_csv(rows.select(*SCAN_COLUMNS), path)
+    files.sink_state_year_csv(rows.select(*SCAN_COLUMNS), path, dealt=True)
     found = files.scan_samples_multi(spark, path, SCAN_COLUMNS, exclude_years=[2001])
     return found.select(
         "file_state", "file_year", "stn_code", "monitoring_location", "do_avg", "ph_avg", "bod_avg")
@@ -268,10 +268,10 @@ def dataset_cache_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT stn_code, {_PLACE} AS monitoring_location, state, year, {', '.join(Q.MEASURES)}, pollution_score FROM scored"))
 def rescore_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with 0-100 scores become files with 0-10 scores."""
-    rows = awkward_places(score.score_100(samples(spark, sf_dir)))
+    rows = awkward_places(score.score_100(samples(spark, sf_dir, dealt=True)))
     columns = [*SCAN_COLUMNS, "pollution_score"]
     before, after = new_path(spark, "scores-100"), new_path(spark, "scores-10")
-    files.sink_state_year_csv(rows.select(*columns), before)
+    files.sink_state_year_csv(rows.select(*columns), before, dealt=True)
     files.rescore_files(spark, before, after, columns)
     return files.scan_samples_multi(spark, after, columns).select(
         "stn_code", "monitoring_location", "state", "year", *Q.MEASURES, "pollution_score")
