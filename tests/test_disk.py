@@ -70,6 +70,18 @@ def test_a_compressed_file_holds_a_bounded_number_of_rows(spark, monkeypatch):
     assert sum(counts) == 4_800 and max(counts) <= 500
 
 
+def test_rescored_files_are_not_shuffled(spark, folder):
+    before, out = shuffled(spark), new_path(spark, "rescored")
+    files.rescore_files(spark, folder, out, COLUMNS)
+    assert left_behind(spark, before, 100_000) < 100_000  # splits only, not the rows
+    again = files.scan_samples_multi(spark, out, COLUMNS)
+    first = files.scan_samples_multi(spark, folder, COLUMNS)
+    same = [c for c in COLUMNS if c != "pollution_score"]
+    assert again.select(same).exceptAll(first.select(same)).count() == 0 and again.count() == first.count() == 24_000
+    assert sum(map(os.path.getsize, data_files(out))) < 1.2 * sum(map(os.path.getsize, data_files(folder)))
+    assert again.where("pollution_score = 50.5").count() == 0
+
+
 def test_headers_are_sent_to_the_rows(spark, folder):
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         found = files.scan_samples_csv(spark, folder, COLUMNS)
